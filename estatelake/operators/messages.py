@@ -30,17 +30,20 @@ def nan_to_null(df: DataFrame) -> DataFrame:
     return df.withColumns(cols) if cols else df
 
 
-def encode(records: DataFrame, stamp: Column | None = None) -> DataFrame:
+def encode(
+    records: DataFrame, stamp: Column | None = None, keep: tuple[str, ...] = ()
+) -> DataFrame:
     """Records with the message fields → one ``value`` string column of JSON.
 
     ``current_timestamp`` is the producer's ISO-8601 UTC send time unless the
-    records already carry one.  Extra columns are not sent.
+    records already carry one.  Extra columns are not sent; ``keep`` carries
+    some of them along next to ``value``.
     """
     df = nan_to_null(records)
     if "current_timestamp" not in df.columns:
         df = df.withColumn("current_timestamp", iso_stamp(stamp))
     payload = F.struct(*[F.col(c) for c in MESSAGE_FIELDS])
-    return df.select(F.to_json(payload, JSON_WRITE_OPTIONS).alias("value"))
+    return df.select(F.to_json(payload, JSON_WRITE_OPTIONS).alias("value"), *keep)
 
 
 def parse(

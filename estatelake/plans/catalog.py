@@ -17,9 +17,16 @@ from estatelake.functions.text import strip_fences
 from estatelake.operators import marts as M
 from estatelake.operators import messages
 from estatelake.operators.refine import deduplicate, drop_incomplete, normalize_types, refine
+from estatelake.operators.sample import exact_sample
 from estatelake.plans import sqlapi
-from estatelake.schemas import DEDUP_KEY, MESSAGE
-from estatelake.sources.listings import bronze_listings, listings, read_table
+from estatelake.schemas import DEDUP_KEY
+from estatelake.session import scratch_path
+from estatelake.sinks.parquet import append_partitioned
+from estatelake.sources.files import read_bronze, read_csv, read_silver
+from estatelake.sources.listings import as_bronze, bronze_listings, listings, read_table
+from estatelake.sources.messages import file_messages
+from estatelake.streaming.incremental import refine_batch, run_incremental_silver
+from estatelake.streaming.ingest import run_bronze
 
 # Survivor order of a duplicate group for compared output (a total order).
 SURVIVOR_ORDER = ["src_id", "src_line", "rooms", "floor", "building_type"]
@@ -35,6 +42,16 @@ SILVER_COLUMNS = [
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+def run_no() -> F.Column:
+    """Which of two runs delivers a listing: every row is delivered exactly once,
+    and the second copy of a listing goes in the other run than the first."""
+    return (F.col("src_id") + F.col("src_line") + F.col("copy_no")) % 2 + 1
+
+# Corruption applied to a message, by its line number (1 = none).
+#   2 cut short, 3 rooms sent as 2.0, 4 wrapped in an array,
+#   5 key PRICE in capitals, 6 not JSON, 7 empty message
+CORRUPTIONS = {2: "truncated", 3: "rooms_float", 4: "array", 5: "key_case", 6: "not_json", 7: "empty"}
+
 
 # ---- shared stage builders ---------------------------------------------------------
 
@@ -91,6 +108,60 @@ def q_message_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def corrupt(value: F.Column, kind: F.Column) -> F.Column:
+    """Damage a JSON message in one of the ``CORRUPTIONS`` ways."""
+    return (
+        F.when(kind == 2, F.expr("substring(value, 1, length(value) - 5)"))
+        .when(kind == 3, F.regexp_replace(value, r'"rooms":(-?[0-9]+)', '"rooms":$1.0'))
+        .when(kind == 4, F.concat(F.lit("["), value, F.lit("]")))
+        .when(kind == 5, F.regexp_replace(value, '"price":', '"PRICE":'))
+        .when(kind == 6, F.regexp_replace(value, "^[{]", "("))
+        .when(kind == 7, F.lit(""))
+        .otherwise(value)
+    )
+
+
+def q_bronze_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damaged messages are kept as rows: all-NULL, or NULL in the damaged field."""
+    msgs = messages.encode(listings(spark, sf_dir), keep=("src_line",))
+    damaged = msgs.withColumn("value", corrupt(F.col("value"), F.col("src_line")))
+    return messages.parse(damaged, time_col=None, keep=("src_line",)).select(
+        "src_line", *LISTING_COLUMNS
+    )
+
+
+def _deliver(spark: SparkSession, sf_dir: str, inbox: str, run: int) -> None:
+    """Land the messages of one run as JSON-lines files in the inbox folder."""
+    recs = listings(spark, sf_dir).where(run_no() == run)
+    messages.encode(recs).write.mode("append").text(inbox)
+
+
+def q_bronze_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two ``availableNow`` runs of the ingest over files arriving in between."""
+    root = scratch_path(spark, "bronze_stream")
+    for run in (1, 2):
+        _deliver(spark, sf_dir, f"{root}/inbox", run)
+        run_bronze(file_messages(spark, f"{root}/inbox"), f"{root}/bronze", f"{root}/_ck_bronze")
+    return read_bronze(spark, f"{root}/bronze").select(*LISTING_COLUMNS)
+
+
+def q_csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSV written and read back with the table's declared schema."""
+    part = read_table(spark, sf_dir, "part")
+    path = scratch_path(spark, "csv_scan")
+    part.write.option("header", "true").csv(path)
+    return read_csv(spark, path, part.schema)
+
+
+def q_sample_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact 10 % sample of lineitem (size checked; membership is random)."""
+    li = read_table(spark, sf_dir, "lineitem")
+    sampled = exact_sample(li, 0.1, key=["l_orderkey", "l_linenumber"], seed=42)
+    return sampled.agg(F.count(F.lit(1)).alias("sampled_rows")).withColumn(
+        "total_rows", F.lit(li.count())
+    )
+
+
 # ---- silver ----------------------------------------------------------------------
 
 def q_silver_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -118,6 +189,43 @@ def q_silver_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver(spark, sf_dir).select(*SILVER_COLUMNS)
 
 
+def q_silver_partition_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver written partitioned by district and read back with its schema."""
+    path = scratch_path(spark, "silver_roundtrip")
+    append_partitioned(silver(spark, sf_dir), path)
+    return read_silver(spark, path).select(*SILVER_COLUMNS)
+
+
+def q_silver_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs of stream ingest + incremental silver; each key lands once."""
+    root = scratch_path(spark, "silver_incremental")
+    for run in (1, 2):
+        _deliver(spark, sf_dir, f"{root}/inbox", run)
+        run_bronze(file_messages(spark, f"{root}/inbox"), f"{root}/bronze", f"{root}/_ck_bronze")
+        run_incremental_silver(
+            spark, f"{root}/bronze", f"{root}/silver", f"{root}/_ck_silver",
+            order_by=["rooms", "floor", "total_floors", "building_type"],
+        )
+    return read_silver(spark, f"{root}/silver").select(
+        "district", "address", "price", "area", "published_at", "price_per_sqm"
+    )
+
+
+def q_silver_reappend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reference's batch silver: all of bronze refined and appended on every run."""
+    root = scratch_path(spark, "silver_reappend")
+    recs = listings(spark, sf_dir)
+    for run in (1, 2):
+        as_bronze(recs.where(run_no() == run)).drop("src_id", "src_line", "copy_no") \
+            .write.mode("append").parquet(f"{root}/bronze")
+        refine_batch(spark, f"{root}/bronze", f"{root}/silver", mode="reappend")
+    return (
+        read_silver(spark, f"{root}/silver")
+        .groupBy("district")
+        .agg(F.count(F.lit(1)).alias("silver_rows"))
+    )
+
+
 # ---- gold ------------------------------------------------------------------------
 
 def q_gold_district(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -214,12 +322,19 @@ def q_stage_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "bronze_parse": q_bronze_parse,
     "bronze_events_json": q_bronze_events_json,
+    "bronze_malformed": q_bronze_malformed,
+    "bronze_stream": q_bronze_stream,
     "message_encode": q_message_encode,
+    "csv_scan": q_csv_scan,
+    "sample_exact": q_sample_exact,
     "silver_dedup": q_silver_dedup,
     "silver_dropna": q_silver_dropna,
     "silver_types": q_silver_types,
     "silver_price_per_sqm": q_silver_price_per_sqm,
     "silver_listings": q_silver_listings,
+    "silver_partition_roundtrip": q_silver_partition_roundtrip,
+    "silver_incremental": q_silver_incremental,
+    "silver_reappend": q_silver_reappend,
     "gold_district": q_gold_district,
     "gold_daily": q_gold_daily,
     "gold_rooms": q_gold_rooms,

@@ -99,6 +99,18 @@ ORACLE: dict[str, str] = {
     "message_encode": f"""WITH {LISTINGS}
         SELECT {LISTING_COLUMNS}, rooms IS NULL AS rooms_sent_as_null FROM listings""",
     "csv_scan": "SELECT * FROM part",
+    "bronze_malformed": f"""WITH {LISTINGS}
+        SELECT src_line,
+               CASE WHEN src_line IN (2, 4, 5, 6, 7) THEN NULL ELSE price END AS price,
+               CASE WHEN src_line IN (2, 4, 6, 7) THEN NULL ELSE area END AS area,
+               CASE WHEN src_line IN (2, 3, 4, 6, 7) THEN NULL ELSE rooms END AS rooms,
+               CASE WHEN src_line IN (2, 4, 6, 7) THEN NULL ELSE floor END AS floor,
+               CASE WHEN src_line IN (2, 4, 6, 7) THEN NULL ELSE total_floors END AS total_floors,
+               CASE WHEN src_line IN (2, 4, 6, 7) THEN NULL ELSE district END AS district,
+               CASE WHEN src_line IN (2, 4, 6, 7) THEN NULL ELSE address END AS address,
+               CASE WHEN src_line IN (2, 4, 6, 7) THEN NULL ELSE building_type END AS building_type,
+               CASE WHEN src_line IN (2, 4, 6, 7) THEN NULL ELSE published_at END AS published_at
+        FROM listings""",
     # ---- silver --------------------------------------------------------------
     "silver_dedup": f"""WITH {LISTINGS}
         SELECT DISTINCT district, address, price, area, published_at FROM listings""",
@@ -117,6 +129,16 @@ ORACLE: dict[str, str] = {
         FROM listings""",
     "silver_listings": f"WITH {SILVER} SELECT {SILVER_COLUMNS} FROM silver",
     "silver_partition_roundtrip": f"WITH {SILVER} SELECT {SILVER_COLUMNS} FROM silver",
+    "silver_reappend": f"""WITH {LISTINGS},
+        keyed AS (SELECT DISTINCT district, address, price, area, published_at,
+                         (src_id + src_line + copy_no) % 2 + 1 AS run_no
+                  FROM listings WHERE {VALID}),
+        run1 AS (SELECT DISTINCT district, address, price, area, published_at
+                 FROM keyed WHERE run_no = 1),
+        run12 AS (SELECT DISTINCT district, address, price, area, published_at FROM keyed),
+        appended AS (SELECT district FROM run1 UNION ALL SELECT district FROM run12)
+        SELECT NULLIF(district, '') AS district, count(*) AS silver_rows
+        FROM appended GROUP BY 1""",
     "silver_incremental": f"""WITH {SILVER}
         SELECT district, address, price, area, published_at, price_per_sqm FROM silver""",
     # ---- gold ----------------------------------------------------------------
