@@ -1,0 +1,93 @@
+"""Message encode/parse: the malformed-message table and the producer's data step."""
+
+from __future__ import annotations
+
+import json
+import math
+import re
+
+from pyspark.sql import functions as F
+
+from estatelake.operators import messages
+from estatelake.schemas import BRONZE, MESSAGE_FIELDS
+
+GOOD = {
+    "price": 1.0, "area": 2.5, "rooms": 2, "floor": 3, "total_floors": 9,
+    "district": "A", "address": "x", "building_type": "b",
+    "published_at": "2024-01-01 00:00:00",
+    "current_timestamp": "2024-01-01T00:00:00.000000+00:00",
+}
+
+
+def parse_texts(spark, texts):
+    raw = spark.createDataFrame([(t,) for t in texts], "value string")
+    out = messages.parse(raw, time_col=None)
+    return [r.asDict() for r in out.collect()]
+
+
+def test_parse_schema_matches_bronze(spark):
+    raw = spark.createDataFrame([(json.dumps(GOOD),)], "value string")
+    out = messages.parse(raw, time_col=None)
+    assert [f.name for f in out.schema.fields] == [f.name for f in BRONZE.fields]
+    assert [f.dataType for f in out.schema.fields] == [f.dataType for f in BRONZE.fields]
+    row = out.collect()[0]
+    assert {k: row[k] for k in MESSAGE_FIELDS} == GOOD
+    assert row["bronze_loaded_at"] is not None
+
+
+def test_wrong_typed_field_is_null_others_kept(spark):
+    rows = parse_texts(spark, ['{"price":1,"rooms":2.0,"floor":3}', '{"rooms":3000000000,"floor":1}'])
+    assert rows[0]["price"] == 1.0 and rows[0]["rooms"] is None and rows[0]["floor"] == 3
+    assert rows[1]["rooms"] is None and rows[1]["floor"] == 1
+
+
+def test_unparseable_messages_give_all_null_rows_and_are_kept(spark):
+    bad = ["not json", '{"price":1, "area":', "[{\"price\":1},{\"price\":2}]", "null", "{}", "", None,
+           '{"PRICE":5}']
+    rows = parse_texts(spark, bad)
+    assert len(rows) == len(bad)
+    for r in rows:
+        assert all(r[c] is None for c in MESSAGE_FIELDS)
+
+
+def test_nan_and_text_of_non_strings(spark):
+    rows = parse_texts(spark, ['{"price":NaN,"area":1}', '{"district":5}', '{"district":{"a":1}}'])
+    assert math.isnan(rows[0]["price"]) and rows[0]["area"] == 1.0
+    assert rows[1]["district"] == "5"
+    assert rows[2]["district"] == '{"a":1}'
+
+
+def test_lenient_ints_accepts_float_text(spark):
+    raw = spark.createDataFrame([('{"rooms":2.0,"floor":3}',)], "value string")
+    row = messages.parse(raw, time_col=None, lenient_ints=True).collect()[0]
+    assert row["rooms"] == 2 and row["floor"] == 3
+
+
+def test_binary_value_is_utf8(spark):
+    raw = spark.createDataFrame([(json.dumps({"district": "Хамовники"}, ensure_ascii=False),)], "value string")
+    raw = raw.select(F.col("value").cast("binary").alias("value"))
+    row = messages.parse(raw, time_col=None).collect()[0]
+    assert row["district"] == "Хамовники"
+
+
+def test_encode_keeps_nulls_and_turns_nan_into_null(spark):
+    recs = spark.createDataFrame(
+        [(float("nan"), None, None, 1, 2, "A", "x", "b", "2024-01-01 00:00:00")],
+        "price double, area double, rooms int, floor int, total_floors int, district string, "
+        "address string, building_type string, published_at string",
+    )
+    value = messages.encode(recs).collect()[0]["value"]
+    obj = json.loads(value)
+    assert list(obj) == MESSAGE_FIELDS
+    assert obj["price"] is None and obj["area"] is None and obj["rooms"] is None
+    assert '"rooms":null' in value
+    # ISO-8601 with microseconds and +00:00 (UTC session)
+    assert re.fullmatch(r"\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d\.\d{6}\+00:00", obj["current_timestamp"])
+
+
+def test_encode_parse_round_trip(spark):
+    recs = spark.createDataFrame([tuple(GOOD[c] for c in MESSAGE_FIELDS)], ", ".join(
+        f"{c} {t}" for c, t in zip(MESSAGE_FIELDS, ["double", "double", "int", "int", "int",
+                                                     "string", "string", "string", "string", "string"])))
+    back = messages.parse(messages.encode(recs), time_col=None).collect()[0]
+    assert {c: back[c] for c in MESSAGE_FIELDS} == GOOD
