@@ -1,0 +1,53 @@
+"""The feed's data steps as one Spark job: CSV → sample → JSON messages → sink.
+
+Pacing (a sleep between messages), progress logging and broker connection
+retries belong to a simulator and are not rebuilt; Spark's Kafka sink retries
+failed sends with the task.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
+
+from estatelake.operators.messages import encode
+from estatelake.operators.sample import bernoulli_sample, exact_sample
+from estatelake.sinks.messages import write_messages
+from estatelake.sources.files import read_csv
+
+# Fixed value: share of the listing table sent per run.
+SAMPLE_FRACTION = 0.1
+
+
+def sample_messages(
+    listings: DataFrame,
+    fraction: float = SAMPLE_FRACTION,
+    seed: int = 0,
+    exact_key: Sequence[str] | None = None,
+) -> DataFrame:
+    """A random share of the listings as JSON messages (NaN → null, ISO send stamp).
+
+    With ``exact_key`` the sample holds exactly ``round(n * fraction)`` rows
+    (``key`` must be unique); without it, it is a Bernoulli sample.
+    """
+    if exact_key:
+        picked = exact_sample(listings, fraction, exact_key, seed)
+    else:
+        picked = bernoulli_sample(listings, fraction, seed)
+    return encode(picked)
+
+
+def publish_from_csv(
+    spark: SparkSession,
+    csv_path: str,
+    schema: StructType | str,
+    fraction: float = SAMPLE_FRACTION,
+    seed: int = 0,
+    exact_key: Sequence[str] | None = None,
+    **sink,
+) -> None:
+    """Read the listing CSV with its schema, sample it and publish the messages."""
+    msgs = sample_messages(read_csv(spark, csv_path, schema), fraction, seed, exact_key)
+    write_messages(msgs, **sink)

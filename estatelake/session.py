@@ -69,3 +69,49 @@ def shared_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the shared root for one run of ``name``."""
     return f"{shared_root(spark)}/estatelake/{name}-{uuid.uuid4().hex}"
+
+
+def object_store_conf(
+    endpoint: str,
+    access_key: str,
+    secret_key: str,
+    path_style: bool = True,
+    ssl: bool = False,
+) -> dict[str, str]:
+    """Settings for an S3-compatible object store through S3A (``s3a://`` paths).
+
+    Credentials are arguments, never read from the environment here; the
+    ``hadoop-aws`` package must be on the cluster's classpath.
+    """
+    return {
+        "spark.hadoop.fs.s3a.endpoint": endpoint,
+        "spark.hadoop.fs.s3a.access.key": access_key,
+        "spark.hadoop.fs.s3a.secret.key": secret_key,
+        "spark.hadoop.fs.s3a.path.style.access": str(path_style).lower(),
+        "spark.hadoop.fs.s3a.impl": "org.apache.hadoop.fs.s3a.S3AFileSystem",
+        "spark.hadoop.fs.s3a.connection.ssl.enabled": str(ssl).lower(),
+    }
+
+
+def scale_conf(
+    input_bytes: int,
+    total_cores: int,
+    target_partition_bytes: int = 256 * 1024 * 1024,
+) -> dict[str, str]:
+    """Partition sizing for a run over ``input_bytes`` on ``total_cores`` cores.
+
+    Shuffle partitions are sized so that each holds about
+    ``target_partition_bytes`` before AQE coalesces the small ones (never fewer
+    than twice the cores); scan splits use the same size; AQE splits skewed
+    join partitions above five times the median.
+    """
+    target = int(target_partition_bytes)
+    shuffle = max(2 * total_cores, -(-int(input_bytes) // target))
+    return {
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.files.maxPartitionBytes": str(target),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target),
+    }
