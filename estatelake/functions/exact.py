@@ -21,17 +21,19 @@ def safe_ratio(num: str | Column, den: str | Column) -> Column:
     return F.try_divide(_col(num), _col(den))
 
 
-def exact_avg(c: str | Column, scale: int = 2, digits: int = 2) -> Column:
+def exact_avg(c: str | Column, scale: int = 2, digits: int = 2, precision: int = 18) -> Column:
     """Average of ``c`` rounded to ``digits``, independent of partitioning.
 
     ``avg(double)`` sums in whatever order the partial aggregates arrive, so the
     last bit (and sometimes the rounded cent) depends on the plan.  Summing the
-    values as ``DECIMAL(18, scale)`` is exact for inputs with at most ``scale``
-    decimals; the sum is a hash-aggregatable decimal buffer, so map-side partial
+    values as ``DECIMAL(precision, scale)`` is exact for inputs with at most
+    ``scale`` decimals (and ``precision - scale`` integer digits; larger values
+    fail loudly under ANSI instead of being skipped); the sum is a
+    hash-aggregatable decimal buffer with ten more digits, so map-side partial
     aggregation is kept.  NULLs are skipped as in ``avg``; an all-NULL group
     gives NULL.
     """
     x = _col(c)
-    total = F.sum(x.cast(DecimalType(18, scale))).cast("double")
+    total = F.sum(x.cast(DecimalType(precision, scale))).cast("double")
     n = F.count(x).cast("double")
     return F.round(F.try_divide(total, n), digits)

@@ -17,7 +17,7 @@ def oround(x: str) -> str:
 
 def oavg(c: str) -> str:
     return oround(
-        f"CAST(sum(CAST({c} AS DECIMAL(22,6))) AS DOUBLE) / NULLIF(CAST(count({c}) AS DOUBLE), 0)"
+        f"CAST(sum(CAST({c} AS DECIMAL(18,6))) AS DOUBLE) / NULLIF(CAST(count({c}) AS DOUBLE), 0)"
     )
 
 

@@ -52,7 +52,7 @@ DAY_COUNT_LATEST = """
 
 TWO_ROOM_BY_DISTRICT = """
     SELECT district,
-           round(try_divide(CAST(sum(CAST(price AS DECIMAL(22,6))) AS DOUBLE),
+           round(try_divide(CAST(sum(CAST(price AS DECIMAL(18,6))) AS DOUBLE),
                             CAST(count(price) AS DOUBLE)), 2) AS avg_price,
            count(*) AS listing_count
     FROM   silver_listings
