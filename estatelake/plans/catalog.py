@@ -157,8 +157,10 @@ def q_sample_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact 10 % sample of lineitem (size checked; membership is random)."""
     li = read_table(spark, sf_dir, "lineitem")
     sampled = exact_sample(li, 0.1, key=["l_orderkey", "l_linenumber"], seed=42)
-    return sampled.agg(F.count(F.lit(1)).alias("sampled_rows")).withColumn(
-        "total_rows", F.lit(li.count())
+    return spark.sql(
+        "SELECT (SELECT count(*) FROM {s}) AS sampled_rows, (SELECT count(*) FROM {t}) AS total_rows",
+        s=sampled,
+        t=li,
     )
 
 

@@ -95,6 +95,6 @@ def run_pipeline(
     if silver_mode == "stream":
         run_incremental_silver(spark, layout.bronze, layout.silver, layout.checkpoint("silver"))
     else:
-        report["silver_appended"] = refine_batch(spark, layout.bronze, layout.silver, silver_mode)
+        refine_batch(spark, layout.bronze, layout.silver, silver_mode, report=report)
     report.update(run_gold(spark, layout, jdbc_url, jdbc_properties))
     return report

@@ -122,21 +122,28 @@ def refine_batch(
     silver_path: str,
     mode: str = "new_only",
     order_by: Sequence[str] | None = None,
+    report: dict[str, int] | None = None,
 ) -> int:
     """Batch silver over all of bronze; returns the number of rows appended.
 
     ``mode="new_only"`` appends keys silver does not hold (same result as the
     streaming path); ``mode="reappend"`` appends the whole refined bronze on every
-    run, as the reference does.  The count is an ``Observation`` taken while
-    writing, so the write is the only job over the data.
+    run, as the reference does.  The counts are ``Observation``s taken while
+    writing, so the write is the only job over the data; ``report`` (if given)
+    also receives the number of bronze rows read.
     """
-    refined = refine(read_bronze(spark, bronze_path), order_by=order_by)
+    bronze_obs, appended_obs = Observation("bronze_read"), Observation("silver_append")
+    bronze = read_bronze(spark, bronze_path).observe(bronze_obs, F.count(F.lit(1)).alias("rows"))
+    refined = refine(bronze, order_by=order_by)
     if mode == "reappend":
         new = refined
     elif mode == "new_only":
         new = only_new(refined, _existing_silver(spark, silver_path))
     else:
         raise ValueError(f"unknown silver mode: {mode}")
-    obs = Observation("silver_append")
-    append_partitioned(new.observe(obs, F.count(F.lit(1)).alias("rows")), silver_path)
-    return int(obs.get["rows"])
+    append_partitioned(new.observe(appended_obs, F.count(F.lit(1)).alias("rows")), silver_path)
+    appended = int(appended_obs.get["rows"])
+    if report is not None:
+        report["bronze_rows"] = int(bronze_obs.get["rows"])
+        report["silver_appended"] = appended
+    return appended
