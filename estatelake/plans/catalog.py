@@ -25,7 +25,7 @@ from estatelake.sinks.parquet import append_partitioned
 from estatelake.sources.files import read_bronze, read_csv, read_silver
 from estatelake.sources.listings import as_bronze, bronze_listings, listings, read_table
 from estatelake.sources.messages import file_messages
-from estatelake.streaming.incremental import refine_batch, run_incremental_silver
+from estatelake.streaming.incremental import refine_batch, run_incremental_silver, run_state_silver
 from estatelake.streaming.ingest import run_bronze
 
 # Survivor order of a duplicate group for compared output (a total order).
@@ -213,6 +213,18 @@ def q_silver_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_silver_incremental_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs of stream ingest + state-store silver (seen keys kept as streaming state)."""
+    root = scratch_path(spark, "silver_incremental_state")
+    for run in (1, 2):
+        _deliver(spark, sf_dir, f"{root}/inbox", run)
+        run_bronze(file_messages(spark, f"{root}/inbox"), f"{root}/bronze", f"{root}/_ck_bronze")
+        run_state_silver(spark, f"{root}/bronze", f"{root}/silver", f"{root}/_ck_silver")
+    return read_silver(spark, f"{root}/silver").select(
+        "district", "address", "price", "area", "published_at", "price_per_sqm"
+    )
+
+
 def q_silver_reappend(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The reference's batch silver: all of bronze refined and appended on every run."""
     root = scratch_path(spark, "silver_reappend")
@@ -336,6 +348,7 @@ QUERIES: dict[str, Query] = {
     "silver_listings": q_silver_listings,
     "silver_partition_roundtrip": q_silver_partition_roundtrip,
     "silver_incremental": q_silver_incremental,
+    "silver_incremental_state": q_silver_incremental_state,
     "silver_reappend": q_silver_reappend,
     "gold_district": q_gold_district,
     "gold_daily": q_gold_daily,

@@ -141,6 +141,8 @@ ORACLE: dict[str, str] = {
         FROM appended GROUP BY 1""",
     "silver_incremental": f"""WITH {SILVER}
         SELECT district, address, price, area, published_at, price_per_sqm FROM silver""",
+    "silver_incremental_state": f"""WITH {SILVER}
+        SELECT district, address, price, area, published_at, price_per_sqm FROM silver""",
     # ---- gold ----------------------------------------------------------------
     "gold_district": f"WITH {MARTS} SELECT * FROM mart_avg_price_by_district",
     "gold_daily": f"WITH {MARTS} SELECT * FROM mart_listings_by_day",

@@ -16,7 +16,7 @@ from estatelake.operators.marts import marts_aggregate, split_marts
 from estatelake.sinks.jdbc import write_marts
 from estatelake.sinks.parquet import overwrite
 from estatelake.sources.files import read_silver
-from estatelake.streaming.incremental import refine_batch, run_incremental_silver
+from estatelake.streaming.incremental import refine_batch, run_incremental_silver, run_state_silver
 from estatelake.streaming.ingest import run_bronze
 
 
@@ -87,13 +87,17 @@ def run_pipeline(
 ) -> dict[str, int]:
     """One scheduled run: ingest → refine → marts.  Returns stage row counts.
 
-    ``silver_mode``: ``"stream"`` (incremental, each key once), ``"new_only"``
-    (batch with the same result) or ``"reappend"`` (the reference's behaviour).
+    ``silver_mode``: ``"stream"`` (incremental with an anti join against silver,
+    each key once), ``"state"`` (incremental with the seen keys in the streaming
+    state store), ``"new_only"`` (batch, same result as ``"stream"``) or
+    ``"reappend"`` (the reference's behaviour).
     """
     run_bronze(messages, layout.bronze, layout.checkpoint("bronze"))
     report: dict[str, int] = {}
     if silver_mode == "stream":
         run_incremental_silver(spark, layout.bronze, layout.silver, layout.checkpoint("silver"))
+    elif silver_mode == "state":
+        run_state_silver(spark, layout.bronze, layout.silver, layout.checkpoint("silver"))
     else:
         refine_batch(spark, layout.bronze, layout.silver, silver_mode, report=report)
     report.update(run_gold(spark, layout, jdbc_url, jdbc_properties))

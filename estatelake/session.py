@@ -103,7 +103,8 @@ def scale_conf(
     Shuffle partitions are sized so that each holds about
     ``target_partition_bytes`` before AQE coalesces the small ones (never fewer
     than twice the cores); scan splits use the same size; AQE splits skewed
-    join partitions above five times the median.
+    join partitions above five times the median.  Streaming state (the seen
+    keys of the state-store silver) lives in RocksDB instead of the JVM heap.
     """
     target = int(target_partition_bytes)
     shuffle = max(2 * total_cores, -(-int(input_bytes) // target))
@@ -114,4 +115,6 @@ def scale_conf(
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target),
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     }

@@ -21,8 +21,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from estatelake.operators.refine import refine
-from estatelake.schemas import BRONZE, DEDUP_KEY
+from estatelake.operators.refine import derive, drop_incomplete, normalize_types, refine
+from estatelake.schemas import BRONZE, DEDUP_KEY, SILVER
 from estatelake.sinks.parquet import append_partitioned
 from estatelake.sources.files import read_bronze, read_silver
 
@@ -116,6 +116,49 @@ def run_incremental_silver(spark: SparkSession, *args, **kwargs) -> StreamingQue
     return query
 
 
+def start_state_silver(
+    spark: SparkSession,
+    bronze_path: str,
+    silver_path: str,
+    checkpoint: str,
+    max_files_per_trigger: int | None = None,
+) -> StreamingQuery:
+    """Stream bronze → silver with the seen keys kept in the streaming state store.
+
+    ``dropDuplicates`` on a stream remembers every key it has emitted (state
+    partitioned by key hash over the shuffle partitions, checkpointed next to
+    the offsets), so a micro-batch is checked against its own keys only: the
+    cost per batch follows the batch, not the size of silver.  Rows that can
+    never reach silver (NULL/NaN price or area) are dropped before the state,
+    which keeps the same key set as the batch order dedup → filter.  The sink is
+    the exactly-once Parquet file sink partitioned by district, so a replayed
+    batch cannot append twice; silver must then be written by this query only
+    (readers go through its ``_spark_metadata`` log).  The survivor among
+    duplicates of one batch is arbitrary.  For large state use the RocksDB
+    state store (``scale_conf`` sets it).
+    """
+    reader = spark.readStream.schema(BRONZE)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    fresh = drop_incomplete(reader.parquet(bronze_path)).dropDuplicates(list(DEDUP_KEY))
+    rows = derive(normalize_types(fresh)).select(*[f.name for f in SILVER.fields])
+    return (
+        rows.writeStream.format("parquet")
+        .outputMode("append")
+        .partitionBy("district")
+        .option("path", silver_path)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+def run_state_silver(spark: SparkSession, *args, **kwargs) -> StreamingQuery:
+    query = start_state_silver(spark, *args, **kwargs)
+    query.awaitTermination()
+    return query
+
+
 def refine_batch(
     spark: SparkSession,
     bronze_path: str,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import pytest
+
 from estatelake.operators import messages
 from estatelake.plans.catalog import silver as silver_of
 from estatelake.plans.pipeline import Layout, run_pipeline
@@ -11,20 +13,21 @@ from estatelake.sources.messages import file_messages
 from tests.conftest import SF_SMALL
 
 
-def test_pipeline_twice(spark, scratch):
+@pytest.mark.parametrize("mode", ["stream", "state"])
+def test_pipeline_twice(spark, scratch, mode):
     root = scratch("pipeline")
     layout = Layout(root)
     inbox = f"{root}/inbox"
     messages.encode(listings(spark, SF_SMALL)).write.mode("append").text(inbox)
 
-    first = run_pipeline(spark, file_messages(spark, inbox), layout, silver_mode="stream")
+    first = run_pipeline(spark, file_messages(spark, inbox), layout, silver_mode=mode)
     expected = silver_of(spark, SF_SMALL).count()
     assert first["silver_rows"] == expected
     assert first["mart_avg_price_by_district"] == 26
     assert read_silver(spark, layout.silver).count() == expected
 
     # no new messages: silver unchanged, marts overwritten (one copy)
-    second = run_pipeline(spark, file_messages(spark, inbox), layout, silver_mode="stream")
+    second = run_pipeline(spark, file_messages(spark, inbox), layout, silver_mode=mode)
     assert second == first
     mart = spark.read.parquet(f"{layout.gold}/mart_avg_price_by_district")
     assert mart.count() == 26
