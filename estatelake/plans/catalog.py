@@ -42,15 +42,18 @@ SILVER_COLUMNS = [
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+
 def run_no() -> F.Column:
     """Which of two runs delivers a listing: every row is delivered exactly once,
     and the second copy of a listing goes in the other run than the first."""
     return (F.col("src_id") + F.col("src_line") + F.col("copy_no")) % 2 + 1
 
+
 # Corruption applied to a message, by its line number (1 = none).
 #   2 cut short, 3 rooms sent as 2.0, 4 wrapped in an array,
 #   5 key PRICE in capitals, 6 not JSON, 7 empty message
 CORRUPTIONS = {2: "truncated", 3: "rooms_float", 4: "array", 5: "key_case", 6: "not_json", 7: "empty"}
+_CODE = {name: code for code, name in CORRUPTIONS.items()}
 
 
 # ---- shared stage builders ---------------------------------------------------------
@@ -109,14 +112,15 @@ def q_message_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def corrupt(value: F.Column, kind: F.Column) -> F.Column:
-    """Damage a JSON message in one of the ``CORRUPTIONS`` ways."""
+    """Damage a JSON message in one of the ``CORRUPTIONS`` ways (other kinds: intact)."""
     return (
-        F.when(kind == 2, F.expr("substring(value, 1, length(value) - 5)"))
-        .when(kind == 3, F.regexp_replace(value, r'"rooms":(-?[0-9]+)', '"rooms":$1.0'))
-        .when(kind == 4, F.concat(F.lit("["), value, F.lit("]")))
-        .when(kind == 5, F.regexp_replace(value, '"price":', '"PRICE":'))
-        .when(kind == 6, F.regexp_replace(value, "^[{]", "("))
-        .when(kind == 7, F.lit(""))
+        F.when(kind == _CODE["truncated"], value.substr(F.lit(1), F.length(value) - 5))
+        .when(kind == _CODE["rooms_float"],
+              F.regexp_replace(value, r'"rooms":(-?[0-9]+)', '"rooms":$1.0'))
+        .when(kind == _CODE["array"], F.concat(F.lit("["), value, F.lit("]")))
+        .when(kind == _CODE["key_case"], F.regexp_replace(value, '"price":', '"PRICE":'))
+        .when(kind == _CODE["not_json"], F.regexp_replace(value, "^[{]", "("))
+        .when(kind == _CODE["empty"], F.lit(""))
         .otherwise(value)
     )
 
