@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from estatelake.plans.producer import publish_from_csv
+from estatelake.plans.feed import publish_from_csv
 from estatelake.session import object_store_conf, scale_conf
 from estatelake.sources.files import read_bronze
 from estatelake.sources.listings import listings
