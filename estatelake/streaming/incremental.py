@@ -130,7 +130,8 @@ def start_state_silver(
     the offsets), so a micro-batch is checked against its own keys only: the
     cost per batch follows the batch, not the size of silver.  Rows that can
     never reach silver (NULL/NaN price or area) are dropped before the state,
-    which keeps the same key set as the batch order dedup → filter.  The sink is
+    which keeps the same key set as the batch order dedup → filter; signed
+    zeros in the floating keys are merged as the batch dedup merges them.  The sink is
     the exactly-once Parquet file sink partitioned by district, so a replayed
     batch cannot append twice; silver must then be written by this query only
     (readers go through its ``_spark_metadata`` log).  The survivor among
@@ -140,7 +141,13 @@ def start_state_silver(
     reader = spark.readStream.schema(BRONZE)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    fresh = drop_incomplete(reader.parquet(bronze_path)).dropDuplicates(list(DEDUP_KEY))
+    valid = drop_incomplete(reader.parquet(bronze_path))
+    # Batch dedup (an aggregate) treats -0.0 and 0.0 as one key and returns 0.0;
+    # the streaming dedup compares raw bytes, so normalise the floating keys first.
+    valid = valid.withColumns(
+        {c: F.when(F.col(c) == 0.0, F.lit(0.0)).otherwise(F.col(c)) for c in ("price", "area")}
+    )
+    fresh = valid.dropDuplicates(list(DEDUP_KEY))
     rows = derive(normalize_types(fresh)).select(*[f.name for f in SILVER.fields])
     return (
         rows.writeStream.format("parquet")

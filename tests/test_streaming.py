@@ -116,3 +116,17 @@ def test_state_store_silver_adds_only_new(spark, scratch):
     assert got == [("", 2.0), ("A", 1.0), ("C", 5.0)]
     # the state holds every key seen so far; the batch only added the new one
     assert q.lastProgress["stateOperators"][0]["numRowsTotal"] == 3
+
+
+def test_state_store_silver_merges_signed_zero(spark, scratch):
+    from estatelake.streaming.incremental import run_state_silver
+
+    root = scratch("state_signed_zero")
+    inbox, bronze, silver = f"{root}/inbox", f"{root}/bronze", f"{root}/silver"
+    land(spark, inbox, [message("A", 0.0), message("A", -0.0), message("B", 1.0, area=-0.0),
+                        message("B", 1.0, area=0.0)])
+    run_bronze(file_messages(spark, inbox), bronze, f"{root}/_ck_b")
+    run_state_silver(spark, bronze, silver, f"{root}/_ck_s")
+    rows = read_silver(spark, silver).collect()
+    assert len(rows) == 2
+    assert all(str(r["price"]) != "-0.0" and str(r["area"]) != "-0.0" for r in rows)
