@@ -19,6 +19,7 @@ from estatelake.operators import messages
 from estatelake.operators.refine import deduplicate, drop_incomplete, normalize_types, refine
 from estatelake.operators.sample import exact_sample
 from estatelake.plans import sqlapi
+from estatelake.plans.pipeline import Layout, run_pipeline
 from estatelake.schemas import DEDUP_KEY
 from estatelake.session import scratch_path
 from estatelake.sinks.parquet import append_partitioned
@@ -258,6 +259,19 @@ def q_gold_rooms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.mart_by_rooms(silver(spark, sf_dir))
 
 
+def q_gold_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All messages → stream ingest → incremental silver → one-pass marts → storage.
+
+    Returns the district mart as written.  It depends on dedup keys only, so the
+    arbitrary survivor of the streaming path does not change it.
+    """
+    layout = Layout(scratch_path(spark, "end_to_end"))
+    inbox = f"{layout.root}/inbox"
+    messages.encode(listings(spark, sf_dir)).write.mode("append").text(inbox)
+    run_pipeline(spark, file_messages(spark, inbox), layout, silver_mode="stream")
+    return spark.read.parquet(f"{layout.gold}/mart_avg_price_by_district")
+
+
 # ---- dashboard and SQL surface ---------------------------------------------------------
 
 def q_dash_top_districts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -357,6 +371,7 @@ QUERIES: dict[str, Query] = {
     "gold_district": q_gold_district,
     "gold_daily": q_gold_daily,
     "gold_rooms": q_gold_rooms,
+    "gold_end_to_end": q_gold_end_to_end,
     "dash_top_districts": q_dash_top_districts,
     "dash_daily": q_dash_daily,
     "dash_rooms": q_dash_rooms,

@@ -147,6 +147,7 @@ ORACLE: dict[str, str] = {
     "gold_district": f"WITH {MARTS} SELECT * FROM mart_avg_price_by_district",
     "gold_daily": f"WITH {MARTS} SELECT * FROM mart_listings_by_day",
     "gold_rooms": f"WITH {MARTS} SELECT * FROM mart_avg_price_by_rooms",
+    "gold_end_to_end": f"WITH {MARTS} SELECT * FROM mart_avg_price_by_district",
     # ---- dashboard and SQL surface ---------------------------------------------
     "dash_top_districts": f"""WITH {MARTS}
         SELECT district, avg_price, avg_price_per_sqm, listing_count
