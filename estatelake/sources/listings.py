@@ -32,18 +32,21 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread_small_scan(scan: DataFrame, key: str) -> DataFrame:
-    """Hash-partition a scan that yields fewer splits than the cluster has cores.
+    """Spread a scan that yields fewer splits than the cluster has cores.
 
     A small file with a single row group is read by one task, and everything
     up to the first shuffle (join probe, JSON, regex) would run in that task.
-    Only then is the scan spread by ``key`` (deterministic on retry).  A large
-    input already has at least as many splits as cores and is left as it is,
-    so no shuffle is added at scale.  The check only plans the scan's splits.
+    Only then is the scan rebalanced by ``key`` (hash, so deterministic on
+    retry); AQE sizes the result (``REBALANCE`` is coalesced toward the cluster's
+    parallelism and skewed parts are split), so a mid-size input on a big
+    cluster does not turn into thousands of tiny partitions.  A large input
+    already has at least as many splits as cores and is left as it is, so no
+    shuffle is added at scale.  The check only plans the scan's splits.
     """
     cores = scan.sparkSession.sparkContext.defaultParallelism
     if scan.rdd.getNumPartitions() >= cores:
         return scan
-    return scan.repartition(cores, key)
+    return scan.hint("rebalance", key)
 
 
 def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
