@@ -50,6 +50,32 @@ def abridged(df) -> str:
     return tree.strip() + "\n\n" + "\n".join(kept)
 
 
+# Queries that run several jobs or write files first; their plans are shown in the cases above.
+MULTI_JOB = {"bronze_stream", "silver_incremental", "silver_incremental_state", "silver_reappend",
+             "silver_partition_roundtrip", "csv_scan", "gold_end_to_end", "sample_exact"}
+
+
+def shape(df) -> dict[str, str]:
+    """Exchanges and scans of a query's executed (AQE final) plan."""
+    df.write.format("noop").mode("overwrite").save()
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain(mode="formatted")
+    text = buf.getvalue()
+    args = re.findall(r"^\(\d+\) Exchange\s*\n(?:.*\n)*?Arguments: (.*)$", text, flags=re.M)
+    hash_n = sum(1 for a in args if a.startswith("hashpartitioning") and "REBALANCE" not in a
+                 and "REPARTITION" not in a)
+    small = sum(1 for a in args if "REBALANCE" in a or "REPARTITION" in a)
+    range_n = sum(1 for a in args if a.startswith("rangepartitioning"))
+    single = sum(1 for a in args if a.startswith("SinglePartition"))
+    bcast = len(re.findall(r"^\(\d+\) BroadcastExchange", text, flags=re.M))
+    scans = []
+    for loc, schema in re.findall(r"Location: \w+ \[[^\]]*?/(\w+)\.parquet\]\s*\n(?:.*\n)*?ReadSchema: struct<(.*)>", text):
+        scans.append(f"{loc}({len(schema.split(','))})")
+    return {"hash": str(hash_n), "small": str(small), "range": str(range_n), "single": str(single),
+            "bcast": str(bcast), "scans": " ".join(sorted(set(scans)))}
+
+
 def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = build_session(master="local[8]", shuffle_partitions=8,
@@ -91,6 +117,20 @@ def main() -> None:
     out = ["# Physical plans (abridged)", "",
            f"Generated by `tools/show_plans.py` at `{sf}` on local[8] after one execution "
            "(AQE final plans). Detail lines keep only scan pushdown, exchanges, keys and join types.", ""]
+    out += ["## Shuffles per query", "",
+            "Every batch query, from its executed plan. *hash*: shuffles on keys (all with a map-side "
+            "partial aggregate, or a join); *small*: the rebalance that spreads a one-row-group input "
+            "(absent when the input has at least as many splits as cores); *single*: final merge of a "
+            "global aggregate (one row per map task); *bcast*: broadcasts Catalyst chose from "
+            "statistics under `autoBroadcastJoinThreshold`; *scans*: table(columns read).", "",
+            "| query | hash | small | range | single | bcast | scans |", "|---|---|---|---|---|---|---|"]
+    for name, fn in QUERIES.items():
+        if name in MULTI_JOB:
+            continue
+        sh = shape(fn(spark, sf))
+        out.append(f"| {name} | {sh['hash']} | {sh['small']} | {sh['range']} | {sh['single']} | "
+                   f"{sh['bcast']} | {sh['scans']} |")
+    out.append("")
     for title, df, note in cases:
         out += [f"## {title}", "", note, "", "```", abridged(df), "```", ""]
     os.makedirs(os.path.join(ROOT, "docs"), exist_ok=True)
