@@ -32,6 +32,21 @@ def read_jdbc(
     url: str,
     table: str,
     properties: dict[str, str] | None = None,
+    column: str | None = None,
+    lower_bound: int | None = None,
+    upper_bound: int | None = None,
+    num_partitions: int | None = None,
 ) -> DataFrame:
-    """A table (or ``(subquery) alias``) over JDBC."""
+    """A table (or ``(subquery) alias``) over JDBC.
+
+    A mart is small and is read through one connection.  For a large table,
+    ``column`` with bounds and ``num_partitions`` splits the read into that many
+    range queries run in parallel (the bounds only set the stride; no row is
+    left out).
+    """
+    if column is not None:
+        return spark.read.jdbc(
+            url=url, table=table, column=column, lowerBound=lower_bound,
+            upperBound=upper_bound, numPartitions=num_partitions, properties=properties or {},
+        )
     return spark.read.jdbc(url=url, table=table, properties=properties or {})
