@@ -64,5 +64,5 @@ def test_jdbc_overwrite_keeps_one_copy(spark):
     day = read_jdbc(spark, url, "mart_listings_by_day", props).collect()
     assert day[0]["listing_date"] == dt.date(2024, 1, 1) and day[0]["listings_count"] == 3
     split = read_jdbc(spark, url, "mart_avg_price_by_district", props,
-                      column="listing_count", lower_bound=0, upper_bound=2, num_partitions=3)
+                      column="listing_count", lower_bound=0, upper_bound=9, num_partitions=3)
     assert split.rdd.getNumPartitions() == 3 and split.count() == 3
