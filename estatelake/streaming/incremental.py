@@ -13,6 +13,7 @@ found in silver and skipped); a failed write job commits no files.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 from functools import reduce
 
@@ -39,6 +40,33 @@ def _existing_silver(spark: SparkSession, silver_path: str) -> DataFrame | None:
         return None
 
 
+def _batch_reach(refined: DataFrame, prune_limit: int) -> tuple[list, object, object, bool] | None:
+    """Districts of the batch and the range of its ``published_at`` (one small aggregate).
+
+    Read with ``limit(prune_limit + 1)``: above the limit nothing is pruned.
+    """
+    rows = (
+        refined.groupBy("district")
+        .agg(
+            F.min("published_at").alias("lo"),
+            F.max("published_at").alias("hi"),
+            F.max(F.col("published_at").isNull().cast("int")).alias("has_null"),
+        )
+        .limit(prune_limit + 1)
+        .collect()
+    )
+    if len(rows) > prune_limit:
+        return None
+    los = [r["lo"] for r in rows if r["lo"] is not None]
+    his = [r["hi"] for r in rows if r["hi"] is not None]
+    return (
+        [r["district"] for r in rows],
+        min(los) if los else None,
+        max(his) if his else None,
+        any(r["has_null"] for r in rows),
+    )
+
+
 def only_new(
     refined: DataFrame,
     silver: DataFrame | None,
@@ -47,24 +75,33 @@ def only_new(
 ) -> DataFrame:
     """Rows of ``refined`` whose key silver does not hold (NULL-safe key equality).
 
-    The silver side is cut to the key columns and, when the batch touches at
-    most ``prune_limit`` districts, to those district partitions, so the cost
-    of the anti join follows the batch, not the size of silver.  The district
-    list is read with ``limit(prune_limit + 1)``: its size is checked before use.
+    The silver side is cut to the key columns and to the rows that can match
+    at all: the batch's districts (partition pruning) and ``published_at``
+    inside the batch's range or NULL (a range filter pushed to the Parquet
+    scan, which skips row groups of other periods; the range is widened by a
+    day on each side, so no match is lost to time-zone conversion).  Both come
+    from one aggregate read with ``limit(prune_limit + 1)``, so their size is
+    checked before use; above the limit silver is not pruned.
     """
     if silver is None:
         return refined
-    old = silver.select(*[F.col(c).alias(f"_old_{c}") for c in key])
-    if "district" in key:
-        districts = [
-            r[0] for r in refined.select("district").distinct().limit(prune_limit + 1).collect()
-        ]
-        if len(districts) <= prune_limit:
+    if "district" in key and "published_at" in key:
+        reach = _batch_reach(refined, prune_limit)
+        if reach is not None:
+            districts, lo, hi, has_null = reach
             named = [d for d in districts if d is not None]
-            keep = F.col("_old_district").isin(named) if named else F.lit(False)
+            keep = F.col("district").isin(named) if named else F.lit(False)
             if len(named) < len(districts):
-                keep = keep | F.col("_old_district").isNull()
-            old = old.where(keep)
+                keep = keep | F.col("district").isNull()
+            if lo is not None:
+                in_range = F.col("published_at").between(
+                    F.lit(lo - dt.timedelta(days=1)), F.lit(hi + dt.timedelta(days=1))
+                )
+                when = in_range | F.col("published_at").isNull() if has_null else in_range
+            else:
+                when = F.col("published_at").isNull()
+            silver = silver.where(keep & when)
+    old = silver.select(*[F.col(c).alias(f"_old_{c}") for c in key])
     cond = reduce(
         lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_old_{c}")) for c in key]
     )

@@ -130,3 +130,30 @@ def test_state_store_silver_merges_signed_zero(spark, scratch):
     rows = read_silver(spark, silver).collect()
     assert len(rows) == 2
     assert all(str(r["price"]) != "-0.0" and str(r["area"]) != "-0.0" for r in rows)
+
+
+def test_anti_join_prunes_silver_by_batch_reach(spark, scratch):
+    """Silver is cut to the batch's districts and date range, yet no match is lost."""
+    from estatelake.operators.refine import refine
+    from estatelake.sinks.parquet import append_partitioned
+    from estatelake.sources.listings import as_bronze
+    from estatelake.streaming.incremental import only_new
+    from tests.helpers import plan_text
+
+    rec = ("price double, area double, rooms int, floor int, total_floors int, district string, "
+           "address string, building_type string, published_at string")
+    old_rows = [(1.0, 1.0, 1, 1, 1, "A", "a", "b", "2020-01-01 00:00:00"),
+                (2.0, 1.0, 1, 1, 1, "A", "a", "b", "2024-05-01 10:00:00"),
+                (3.0, 1.0, 1, 1, 1, "A", "a", "b", "bad date"),
+                (4.0, 1.0, 1, 1, 1, "C", "a", "b", "2024-05-01 10:00:00")]
+    path = scratch("reach")
+    append_partitioned(refine(as_bronze(spark.createDataFrame(old_rows, rec))), path)
+    batch_rows = [(2.0, 1.0, 1, 1, 1, "A", "a", "b", "2024-05-01 10:00:00"),   # known, range edge
+                  (3.0, 1.0, 1, 1, 1, "A", "a", "b", "n/a"),                   # known, NULL date
+                  (5.0, 1.0, 1, 1, 1, "A", "a", "b", "2024-05-02 10:00:00")]   # new
+    batch = refine(as_bronze(spark.createDataFrame(batch_rows, rec)))
+    new = only_new(batch, read_silver(spark, path))
+    assert [r["price"] for r in new.collect()] == [5.0]
+    plan = plan_text(new, "formatted")
+    assert "GreaterThanOrEqual(published_at" in plan and "IsNull(published_at)" in plan
+    assert "district" in plan.split("PartitionFilters: [")[-1].split("]")[0]

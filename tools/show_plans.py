@@ -101,8 +101,9 @@ def main() -> None:
          .where(F.col("district") == "Brand#3").groupBy("rooms").count(),
          "Partition pruning: only the district's folder is listed and read."),
         ("incremental anti join (batch vs silver)", only_new(fresh, read_silver(spark, f"{root}/silver")),
-         "NULL-safe equality becomes equi-join keys; silver is read with its key columns only and "
-         "pruned to the batch's districts. In this batch form Catalyst pushes the anti join below the "
+         "NULL-safe equality becomes equi-join keys; silver is read with its key columns only, "
+         "pruned to the batch's districts (PartitionFilters) and to the batch's published_at range or "
+         "NULL (PushedFilters, row-group skipping). In this batch form Catalyst pushes the anti join below the "
          "dedup aggregate (its keys are grouping keys), so known listings leave before the dedup "
          "shuffle; the left side is then raw rows, and AQE's skew-join split (which covers the left "
          "side of a left-anti join) handles a hot key. The streaming path persists the refined batch "
