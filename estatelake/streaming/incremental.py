@@ -159,6 +159,7 @@ def start_state_silver(
     silver_path: str,
     checkpoint: str,
     max_files_per_trigger: int | None = None,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Stream bronze → silver with the seen keys kept in the streaming state store.
 
@@ -174,6 +175,11 @@ def start_state_silver(
     (readers go through its ``_spark_metadata`` log).  The survivor among
     duplicates of one batch is arbitrary.  For large state use the RocksDB
     state store (``scale_conf`` sets it).
+
+    The state is split into ``state_partitions`` parts (default: the cluster's
+    parallelism).  The number is fixed when the query first starts and is kept
+    in the checkpoint afterwards; every part commits per micro-batch, so it
+    should follow the cores, not a large batch-oriented shuffle setting.
     """
     reader = spark.readStream.schema(BRONZE)
     if max_files_per_trigger:
@@ -186,15 +192,23 @@ def start_state_silver(
     )
     fresh = valid.dropDuplicates(list(DEDUP_KEY))
     rows = derive(normalize_types(fresh)).select(*[f.name for f in SILVER.fields])
-    return (
+    writer = (
         rows.writeStream.format("parquet")
         .outputMode("append")
         .partitionBy("district")
         .option("path", silver_path)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .start()
     )
+    parts = state_partitions or spark.sparkContext.defaultParallelism
+    # The query clones the session's settings when it starts, so the override
+    # only needs to hold around ``start``.
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
 def run_state_silver(spark: SparkSession, *args, **kwargs) -> StreamingQuery:

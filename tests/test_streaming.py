@@ -115,7 +115,10 @@ def test_state_store_silver_adds_only_new(spark, scratch):
     got = sorted((r["district"] or "", r["price"]) for r in read_silver(spark, silver).collect())
     assert got == [("", 2.0), ("A", 1.0), ("C", 5.0)]
     # the state holds every key seen so far; the batch only added the new one
-    assert q.lastProgress["stateOperators"][0]["numRowsTotal"] == 3
+    state = q.lastProgress["stateOperators"][0]
+    assert state["numRowsTotal"] == 3
+    # state parts follow the cores, not the (batch-oriented) shuffle setting
+    assert state["numShufflePartitions"] == spark.sparkContext.defaultParallelism
 
 
 def test_state_store_silver_merges_signed_zero(spark, scratch):
