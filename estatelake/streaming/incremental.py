@@ -72,6 +72,7 @@ def only_new(
     silver: DataFrame | None,
     key: Sequence[str] = DEDUP_KEY,
     prune_limit: int = PRUNE_LIMIT,
+    reach_from: DataFrame | None = None,
 ) -> DataFrame:
     """Rows of ``refined`` whose key silver does not hold (NULL-safe key equality).
 
@@ -81,12 +82,14 @@ def only_new(
     scan, which skips row groups of other periods; the range is widened by a
     day on each side, so no match is lost to time-zone conversion).  Both come
     from one aggregate read with ``limit(prune_limit + 1)``, so their size is
-    checked before use; above the limit silver is not pruned.
+    checked before use; above the limit silver is not pruned.  ``reach_from``
+    (rows with the same normalised district and parsed date, before dedup)
+    lets that aggregate skip the dedup shuffle.
     """
     if silver is None:
         return refined
     if "district" in key and "published_at" in key:
-        reach = _batch_reach(refined, prune_limit)
+        reach = _batch_reach(reach_from if reach_from is not None else refined, prune_limit)
         if reach is not None:
             districts, lo, hi, has_null = reach
             named = [d for d in districts if d is not None]
@@ -114,14 +117,18 @@ def process_batch(
     order_by: Sequence[str] | None = None,
     prune_limit: int = PRUNE_LIMIT,
 ) -> None:
-    """Refine one bronze batch and append its new keys to silver."""
+    """Refine one bronze batch and append its new keys to silver.
+
+    Nothing is cached: the batch's reach (districts, date range) is a small
+    partial aggregate over the raw batch, and the refine + anti join + write is
+    one job (a cached plan would also keep every shuffle partition, as AQE does
+    not coalesce the output of cached plans by default).
+    """
     spark = batch.sparkSession
-    refined = refine(batch, order_by=order_by).persist()
-    try:
-        new = only_new(refined, _existing_silver(spark, silver_path), DEDUP_KEY, prune_limit)
-        append_partitioned(new, silver_path)
-    finally:
-        refined.unpersist()
+    refined = refine(batch, order_by=order_by)
+    reach_from = normalize_types(drop_incomplete(batch))
+    new = only_new(refined, _existing_silver(spark, silver_path), DEDUP_KEY, prune_limit, reach_from)
+    append_partitioned(new, silver_path)
 
 
 def start_incremental_silver(

@@ -103,12 +103,10 @@ def main() -> None:
         ("incremental anti join (batch vs silver)", only_new(fresh, read_silver(spark, f"{root}/silver")),
          "NULL-safe equality becomes equi-join keys; silver is read with its key columns only, "
          "pruned to the batch's districts (PartitionFilters) and to the batch's published_at range or "
-         "NULL (PushedFilters, row-group skipping). In this batch form Catalyst pushes the anti join below the "
-         "dedup aggregate (its keys are grouping keys), so known listings leave before the dedup "
-         "shuffle; the left side is then raw rows, and AQE's skew-join split (which covers the left "
-         "side of a left-anti join) handles a hot key. The streaming path persists the refined batch "
-         "(it is read twice), which keeps the dedup and its partial aggregate below the join, so there "
-         "the join keys are unique on both sides. Silver is broadcast here only because its statistics "
+         "NULL (PushedFilters, row-group skipping). Catalyst pushes the anti join below the dedup "
+         "aggregate (its keys are grouping keys), so known listings leave before the dedup shuffle; "
+         "the left side is then raw rows, and AQE's skew-join split (which covers the left side of a "
+         "left-anti join) handles a hot key. Silver is broadcast here only because its statistics "
          "are under the threshold; at scale it is a sort-merge join."),
         ("stage_metrics", QUERIES["stage_metrics"](spark, sf),
          "Three stage counts from one grouping of the dedup key."),
