@@ -31,6 +31,7 @@ def test_pipeline_twice(spark, scratch, mode):
     assert second == first
     mart = spark.read.parquet(f"{layout.gold}/mart_avg_price_by_district")
     assert mart.count() == 26
+    assert len(mart.inputFiles()) == 1  # one row per group: one file, not one per shuffle partition
     assert sum(r["listing_count"] for r in mart.collect()) == expected
 
 
