@@ -167,6 +167,7 @@ def start_state_silver(
     checkpoint: str,
     max_files_per_trigger: int | None = None,
     state_partitions: int | None = None,
+    writers_per_district: int = 8,
 ) -> StreamingQuery:
     """Stream bronze → silver with the seen keys kept in the streaming state store.
 
@@ -187,6 +188,12 @@ def start_state_silver(
     parallelism).  The number is fixed when the query first starts and is kept
     in the checkpoint afterwards; every part commits per micro-batch, so it
     should follow the cores, not a large batch-oriented shuffle setting.
+
+    The file sink has no adaptive sizing, so before it the rows are
+    hash-partitioned by (district, salt) with ``writers_per_district`` salt
+    values: a micro-batch writes at most that many files per district whatever
+    the number of cores, and a district holding a third of the rows is spread
+    over that many writers.
     """
     reader = spark.readStream.schema(BRONZE)
     if max_files_per_trigger:
@@ -199,6 +206,9 @@ def start_state_silver(
     )
     fresh = valid.dropDuplicates(list(DEDUP_KEY))
     rows = derive(normalize_types(fresh)).select(*[f.name for f in SILVER.fields])
+    parts = state_partitions or spark.sparkContext.defaultParallelism
+    salt = F.pmod(F.xxhash64("address", "price", "area", "published_at"), F.lit(writers_per_district))
+    rows = rows.repartition(parts, F.col("district"), salt)
     writer = (
         rows.writeStream.format("parquet")
         .outputMode("append")
@@ -207,7 +217,6 @@ def start_state_silver(
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
     )
-    parts = state_partitions or spark.sparkContext.defaultParallelism
     # The query clones the session's settings when it starts, so the override
     # only needs to hold around ``start``.
     before = spark.conf.get("spark.sql.shuffle.partitions")
