@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from estatelake.llm.lookup_sharding import SHARDS, SIZE, fill
+
 # A-Z lower-cased one by one, as the word contract says; `lower` would change other alphabets too.
 ASCII_WORDS = (
     "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),"
@@ -30,4 +32,11 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM doc LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
-ORACLE = {"op3_decontaminate": OP3}
+OP7 = f"""
+WITH keyed AS (
+  SELECT doc_id, CAST(('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15)) AS BIGINT) % {SIZE} AS slot
+  FROM documents)
+SELECT doc_id, CAST(slot AS INTEGER) AS slot, printf('shard-%02d', {fill(SHARDS)}[slot + 1]) AS shard FROM keyed
+"""
+
+ORACLE = {"op3_decontaminate": OP3, "op7_lookup_sharding": OP7}

@@ -6,7 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from estatelake.llm.decontaminate import decontaminate
+from estatelake.llm.language_bloom import identify
 from estatelake.llm.license_diagonals import scan_licenses
+from estatelake.llm.lookup_sharding import place
+from estatelake.llm.simhash_bktree import near_duplicates
+from estatelake.llm.slack_packing import pack
 from estatelake.llm.url_filter import filter_urls
 
 
@@ -14,6 +18,12 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op2_language_bloom(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of each document, learned from the documents that are not held out."""
+    out = identify(read(spark, sf_dir, "documents"))
+    return out.select(F.col("id").alias("doc_id"), "held_out", F.col("lang").alias("lang_pred"), "score")
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of each document that stand inside benchmark windows."""
     out = decontaminate(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
@@ -27,6 +37,38 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_simhash_bktree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash of each document and its component of linked fingerprints."""
+    out = near_duplicates(read(spark, sf_dir, "documents"))
+    return out.select(
+        F.col("doc").alias("doc_id"),
+        F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+        F.col("component").alias("component_id"),
+    )
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    return pack(docs).select(
+        F.col("doc").alias("doc_id"),
+        "piece",
+        "start",
+        "length",
+        F.col("crc").alias("ids_crc32"),
+        F.col("sequence").alias("sequence_id"),
+        "offset",
+    )
+
+
+def op6_slack_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents packed into sequences of at most 2048 tokens."""
+    return packed(read(spark, sf_dir, "documents"))
+
+
+def op7_lookup_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shard of each document."""
+    return place(read(spark, sf_dir, "documents"), "doc_id").withColumnRenamed("key", "doc_id")
+
+
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License phrases and lines of each document."""
     return scan_licenses(read(spark, sf_dir, "documents")).withColumnRenamed("doc", "doc_id")
@@ -37,4 +79,15 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(read(spark, sf_dir, "pages")).withColumnRenamed("id", "page_id")
 
 
-QUERIES = {f.__name__: f for f in (op3_decontaminate, op8_license_scan, op9_url_filter)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op2_language_bloom,
+        op3_decontaminate,
+        op5_simhash_bktree,
+        op6_slack_packing,
+        op7_lookup_sharding,
+        op8_license_scan,
+        op9_url_filter,
+    )
+}

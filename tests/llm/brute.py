@@ -65,3 +65,42 @@ def url_rule(url):
     fits = [(len(h + p), h + p, v) for h, p, v in RULES if (host == h or host.endswith("." + h)) and path.startswith(p)]
     best = max(fits, default=(0, None, None))
     return host, path, best[1], best[2]
+
+
+def simhash(text, n=3):
+    import xxhash
+
+    w = re.findall(rb"[^\x20\x09-\x0D]+", (text or "").translate(UPPER).encode())
+    if not w:
+        return 0
+    shingles = [b" ".join(w[i : i + n]) for i in range(max(1, len(w) - n + 1))]
+    hashes = [xxhash.xxh64(s, seed=42).intdigest() for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def classes(nodes, linked):
+    """{node: smallest node reachable} for pairs on which linked(a, b) holds."""
+    nodes = sorted(nodes)
+    parent = {x: x for x in nodes}
+
+    def top(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i, a in enumerate(nodes):
+        for b in nodes[i + 1 :]:
+            if linked(a, b):
+                ra, rb = sorted((top(a), top(b)))
+                parent[rb] = ra
+    return {x: top(x) for x in nodes}
+
+
+def near_copies(docs):
+    """{id: (fingerprint, component)}"""
+    fps = {d: simhash(t) for d, t in docs}
+    first = {}
+    for d in sorted(fps):
+        first.setdefault(fps[d], d)
+    cls = classes(first.values(), lambda a, b: (fps[a] ^ fps[b]).bit_count() <= 3)
+    return {d: (f"{f:016x}", cls[first[f]]) for d, f in fps.items()}
