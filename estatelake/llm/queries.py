@@ -11,6 +11,7 @@ from estatelake.llm.license_diagonals import scan_licenses
 from estatelake.llm.lookup_sharding import place
 from estatelake.llm.simhash_bktree import near_duplicates
 from estatelake.llm.slack_packing import pack
+from estatelake.llm.suffix_dedup import remove_repeats
 from estatelake.llm.url_filter import filter_urls
 
 
@@ -18,6 +19,14 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of each document without the strings of 100 bytes that also start earlier."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return remove_repeats(docs).select(
+        F.col("row.doc_id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op2_language_bloom(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of each document, learned from the documents that are not held out."""
     out = identify(read(spark, sf_dir, "documents"))
@@ -82,6 +91,7 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_suffix_dedup,
         op2_language_bloom,
         op3_decontaminate,
         op5_simhash_bktree,

@@ -104,3 +104,21 @@ def near_copies(docs):
         first.setdefault(fps[d], d)
     cls = classes(first.values(), lambda a, b: (fps[a] ^ fps[b]).bit_count() <= 3)
     return {d: (f"{f:016x}", cls[first[f]]) for d, f in fps.items()}
+
+
+def remove_repeats(docs, length=100):
+    """{id: (n_bytes, n_removed, n_spans, sha256 of what is left)}"""
+    texts = sorted((d, (t or "").encode()) for d, t in docs)
+    seen, out = set(), {}
+    for d, t in texts:
+        gone = bytearray(len(t))
+        for i in range(len(t) - length + 1):
+            s = t[i : i + length]
+            if s in seen:
+                gone[i : i + length] = b"\1" * length
+            else:
+                seen.add(s)
+        left = bytes(c for c, g in zip(t, gone) if not g)
+        runs = sum(g and not (i and gone[i - 1]) for i, g in enumerate(gone))
+        out[d] = (len(t), sum(gone), runs, hashlib.sha256(left).hexdigest())
+    return out
