@@ -148,3 +148,13 @@ def decontaminate(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
         F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"),
     )
+
+
+def clean_documents(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` without any word inside a window occurrence."""
+    found, _ = find_windows(docs, items, id_col, text_col, **options)
+    hit = cut_lineage(found.select(F.col("doc").alias("hit_doc"), F.col("text_hash").alias("hit_hash")).distinct())
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select(row.alias("row"), F.col(id_col).alias("doc"), F.xxhash64(F.col(text_col)).alias("text_hash"))
+    same = F.col("doc").eqNullSafe(F.col("hit_doc")) & (F.col("text_hash") == F.col("hit_hash"))
+    return rows.join(small(hit), same, "left_anti").select("row.*")

@@ -224,3 +224,11 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
         F.col(id_col).alias("id"), held_out(F.col(id_col)).alias("held_out"), language(F.col(text_col), filter_).alias("found")
     )
     return found.select("id", "held_out", "found.lang", "found.score")
+
+
+def known_language(docs: DataFrame, least: float, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """The rows of ``docs`` whose text is in a learned language with a score of ``least`` or more."""
+    filter_ = learn(docs.where(~held_out(F.col(id_col))), id_col, text_col, lang_col)
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    found = docs.select(row.alias("row"), language(F.col(text_col), filter_).alias("found"))
+    return found.where((F.col("found.lang") != UNKNOWN) & (F.col("found.score") >= least)).select("row.*")

@@ -7,12 +7,14 @@ from pyspark.sql import functions as F
 
 from estatelake.llm.decontaminate import decontaminate
 from estatelake.llm.language_bloom import identify
+from estatelake.llm.lattice_neardup import near_vectors
 from estatelake.llm.license_diagonals import scan_licenses
 from estatelake.llm.lookup_sharding import place
 from estatelake.llm.simhash_bktree import near_duplicates
 from estatelake.llm.slack_packing import pack
 from estatelake.llm.suffix_dedup import remove_repeats
 from estatelake.llm.url_filter import filter_urls
+from estatelake.llm.wrapper_extract import main_texts
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -46,6 +48,17 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_lattice_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links of each vector and the component it is in."""
+    out, _ = near_vectors(read(spark, sf_dir, "embeddings"))
+    return out.select(
+        F.col("id").alias("vec_id"),
+        "n_links",
+        F.col("component").alias("component_id"),
+        F.coalesce(F.col("id") == F.col("component"), F.lit(False)).alias("kept"),
+    )
+
+
 def op5_simhash_bktree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash of each document and its component of linked fingerprints."""
     out = near_duplicates(read(spark, sf_dir, "documents"))
@@ -88,16 +101,24 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(read(spark, sf_dir, "pages")).withColumnRenamed("id", "page_id")
 
 
+def op10_wrapper_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of each page."""
+    out = main_texts(read(spark, sf_dir, "pages"))
+    return out.select(F.col("id").alias("page_id"), "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_suffix_dedup,
         op2_language_bloom,
         op3_decontaminate,
+        op4_lattice_neardup,
         op5_simhash_bktree,
         op6_slack_packing,
         op7_lookup_sharding,
         op8_license_scan,
         op9_url_filter,
+        op10_wrapper_extract,
     )
 }

@@ -60,15 +60,16 @@ def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """``doc, fp`` (the 64 bits as a signed long) for every row."""
+    """``doc, mark, fp`` (the 64 bits as a signed long) for every row; ``mark`` is a hash of the text."""
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = [fingerprint(t, shingle) for t in batch.column(1).cast(pa.binary()).to_pylist()]
-            yield pa.record_batch([batch.column(0), pa.array(np.array(fps, np.uint64).view(np.int64))], ["doc", "fp"])
+            fps = [fingerprint(t, shingle) for t in batch.column(2).cast(pa.binary()).to_pylist()]
+            columns = [batch.column(0), batch.column(1), pa.array(np.array(fps, np.uint64).view(np.int64))]
+            yield pa.record_batch(columns, ["doc", "mark", "fp"])
 
-    pairs = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
-    return pairs.mapInArrow(hashed, "doc long, fp long")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.xxhash64(F.col(text_col)).alias("mark"), F.col(text_col).alias("text"))
+    return rows.mapInArrow(hashed, "doc long, mark long, fp long")
 
 
 def bk_forest(shard: np.ndarray, fps: np.ndarray, radius: int = RADIUS) -> tuple[np.ndarray, np.ndarray]:
@@ -186,15 +187,34 @@ def near_links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, radius: int = RADIUS
 ) -> DataFrame:
-    """``doc, fp, component`` for every row: its fingerprint and the smallest id reachable over links."""
+    """``doc, mark, fp, component, kept`` for every row.
+
+    ``component`` is the smallest id reachable over links; ``mark`` is a hash of the text that tells rows apart
+    which repeat an id; ``kept`` holds for the least (id, mark) of a component, ids before null.
+    """
     if radius >= PARTS:
         raise ValueError(f"a radius of {PARTS - 1} bits at most is exact with {PARTS} parts")
     rows = cut_lineage(fingerprints(docs, id_col, text_col, shingle))
-    distinct = cut_lineage(rows.groupBy("fp").agg(F.min("doc").alias("least")))
+    order = F.struct(F.col("doc").isNull().alias("none"), "doc", "mark")
+    distinct = cut_lineage(rows.groupBy("fp").agg(F.min(order).alias("least")))
     linked = components(near_links(distinct.select("fp"), radius))
     rooted = distinct.join(linked, distinct["fp"] == linked["node"], "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root")
     )
-    named = rooted.groupBy("root").agg(F.min("least").alias("component"))
-    classes = rooted.join(named, "root").select("fp", "component")
-    return rows.join(classes, "fp").select("doc", "fp", "component")
+    named = rooted.groupBy("root").agg(F.min("least").alias("first"))
+    classes = rooted.join(named, "root").select("fp", "first")
+    kept = F.col("doc").eqNullSafe(F.col("first.doc")) & (F.col("mark") == F.col("first.mark"))
+    return rows.join(classes, "fp").select("doc", "mark", "fp", F.col("first.doc").alias("component"), kept.alias("kept"))
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` without near-duplicates: of each component the least (id, text hash) stays, once."""
+    kept = near_duplicates(docs, id_col, text_col, **options).where("kept").select("doc", "mark").distinct()
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        F.col(id_col).cast("long").alias("id"),
+        F.xxhash64(F.col(text_col)).alias("hash"),
+    )
+    met = rows.join(kept, F.col("id").eqNullSafe(F.col("doc")) & (F.col("hash") == F.col("mark")))
+    # Rows that repeat both id and text may differ in other columns: the first in order stays.
+    return met.groupBy("doc", "mark").agg(F.min("row").alias("row")).select("row.*")

@@ -371,8 +371,11 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return found.groupBy("doc", "mark").agg(F.array_sort(F.collect_list("span")).alias("spans"))
 
 
-def cut_out(text: Column, removed: Column) -> Column:
-    """``struct<n_bytes, n_removed, n_spans, kept>`` of a text (binary) and its packed spans (null: none)."""
+def cut_out(text: Column, removed: Column, whole_characters: bool = False) -> Column:
+    """``struct<n_bytes, n_removed, n_spans, kept>`` of a text (binary) and its packed spans (null: none).
+
+    With ``whole_characters``, what is left of a character that loses some of its bytes is not in ``kept`` either.
+    """
 
     @F.pandas_udf("n_bytes long, n_removed long, n_spans long, kept binary")
     def cut(texts: pd.Series, removed: pd.Series) -> pd.DataFrame:
@@ -388,15 +391,18 @@ def cut_out(text: Column, removed: Column) -> Column:
                     end = at = max(end, stop)
             kept.append(data[at:])
             left = b"".join(kept)
-            rows.append((len(data), len(data) - len(left), runs, left))
+            gone = len(data) - len(left)
+            if whole_characters and gone:
+                left = left.decode("utf-8", "ignore").encode()
+            rows.append((len(data), gone, runs, left))
         return pd.DataFrame(rows, columns=["n_bytes", "n_removed", "n_spans", "kept"])
 
     return cut(text, removed)
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> DataFrame:
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, whole_characters: bool = False) -> DataFrame:
     """``row`` (the input row), ``n_bytes, n_removed, n_spans, kept`` (the bytes left) for every row."""
     found = repeated_spans(docs, id_col, text_col, length).withColumnsRenamed({"doc": "d", "mark": "m"})
     rows = keyed(docs, id_col, text_col)
     joined = rows.join(found, (rows["doc"] == found["d"]) & (rows["mark"] == found["m"]), "left")
-    return joined.select("row", cut_out(F.col("bytes"), F.col("spans")).alias("cut")).select("row", "cut.*")
+    return joined.select("row", cut_out(F.col("bytes"), F.col("spans"), whole_characters).alias("cut")).select("row", "cut.*")
