@@ -36,10 +36,11 @@ def suffix_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     A character that loses some of its bytes goes whole; ``n_chars`` follows the text.
     """
     cut = remove_repeats(docs, whole_characters=True)
-    left = cut.where((F.col("n_removed") == 0) | (F.trim(F.col("kept").cast("string")) != ""))
-    text = F.when(F.col("n_removed") == 0, F.col("row.text")).otherwise(F.col("kept").cast("string"))
-    fresh = {"text": text, "n_chars": F.when(F.col("n_removed") == 0, F.col("row.n_chars")).otherwise(F.length(text).cast("long"))}
-    return left.select(*[fresh.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
+    text = F.col("kept").cast("string")
+    left = cut.where((F.col("n_removed") == 0) | (F.trim(text) != ""))
+    size = F.when(F.col("n_removed") == 0, F.col("row.n_chars")).otherwise(F.length(text).cast("long"))
+    fresh = {"text": text, "n_chars": size}
+    return left.select(*[fresh[c].alias(c) if c in fresh else F.col(f"row.`{c}`") for c in docs.columns])
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

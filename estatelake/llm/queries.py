@@ -25,7 +25,7 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of each document without the strings of 100 bytes that also start earlier."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return remove_repeats(docs).select(
-        F.col("row.doc_id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+        F.col("row.doc_id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2(F.coalesce("kept", F.lit(b"")), 256).alias("kept_sha256")
     )
 
 

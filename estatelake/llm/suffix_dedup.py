@@ -188,8 +188,8 @@ def cut_unit(rows: list[tuple[int, int, bytes]], buckets: int, length: int) -> I
             )
 
 
-def suffix_order(text: bytes, heads: np.ndarray, ends: np.ndarray, windows: np.ndarray, depth: int) -> np.ndarray:
-    """Places of the suffixes, in order of their first ``depth`` bytes, from each segment's windows.
+def suffix_order(text: bytes, heads: np.ndarray, ends: np.ndarray, windows: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the suffixes, in order of their first ``depth`` bytes, from each segment's windows; and their segments.
 
     Segment ``i`` is ``text[heads[i]:ends[i]]``; its suffixes from the first ``windows[i]`` places
     are wanted (further ones that the second stage needs may come too).  A suffix ends with its
@@ -204,6 +204,7 @@ def suffix_order(text: bytes, heads: np.ndarray, ends: np.ndarray, windows: np.n
     head = heads + np.arange(many)
     total = n + many
     index = np.arange(total)
+    segment_at = np.repeat(np.arange(many), ends - heads + 1)
     change = np.where(symbols[1:] != symbols[:-1], index, total - 1)
     change = np.minimum.accumulate(change[::-1])[::-1]
     direct = symbols[change + 1] > symbols[change]  # smaller than the successor
@@ -216,7 +217,7 @@ def suffix_order(text: bytes, heads: np.ndarray, ends: np.ndarray, windows: np.n
 
     # First stage: sort the suffixes that are smaller than their successors.
     chosen = np.flatnonzero(direct & wanted)
-    segment = np.searchsorted(head, chosen, side="right") - 1
+    segment = segment_at[chosen]
     begin = chosen - segment
     finish = np.minimum(begin + depth, ends[segment])
     keys = [text[a:b] for a, b in zip(begin.tolist(), finish.tolist(), strict=True)]
@@ -249,9 +250,10 @@ def suffix_order(text: bytes, heads: np.ndarray, ends: np.ndarray, windows: np.n
         for piece, symbol_ in zip(np.split(before, edges[1:]), of[edges], strict=False):
             waiting[symbol_].append(piece)
     order = np.concatenate(order) if order else chosen[:0]
-    segment = np.searchsorted(head, order, side="right") - 1
+    segment = segment_at[order]
     place = order - segment
-    return place[place < heads[segment] + windows[segment]]
+    whole = place < heads[segment] + windows[segment]
+    return place[whole], segment[whole]
 
 
 def common_prefix(words: np.ndarray, order: np.ndarray, length: int) -> np.ndarray:
@@ -299,14 +301,13 @@ def solve(payloads: list[bytes], length: int) -> Iterator[pa.RecordBatch]:
     doc, start, mark, size = doc[kept], start[kept], mark[kept], size[kept]
     ends = np.cumsum(size)
     heads = ends - size
-    order = suffix_order(text, heads, ends, size - length + 1, length)
+    order, segment = suffix_order(text, heads, ends, size - length + 1, length)
     words = words_at(np.frombuffer(text + bytes(8), np.uint8))
     same = common_prefix(words, order, length)
     run = np.cumsum(~same)
     several = same.copy()
     several[:-1] |= same[1:]
-    order, run = order[several], run[several]
-    segment = np.searchsorted(heads, order, side="right") - 1
+    order, run, segment = order[several], run[several], segment[several]
     of, at = doc[segment], start[segment] + order - heads[segment]
     by = np.lexsort((at, of, run))
     run, of, at, segment = run[by], of[by], at[by], segment[by]
@@ -316,14 +317,19 @@ def solve(payloads: list[bytes], length: int) -> Iterator[pa.RecordBatch]:
     yield spans(of[gone], mark[segment[gone]], at[gone], at[gone] + length)
 
 
-def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``docs`` with ``doc`` (a null id as the smallest), ``mark`` (tells rows apart that repeat an id) and ``bytes``."""
-    mark = F.xxhash64(F.col(text_col)).bitwiseAND(F.lit((1 << 31) - 1)).cast("int")
+def mark(text: Column) -> Column:
+    """31 bits of a text's hash, to tell rows apart that repeat an id."""
+    return F.xxhash64(text).bitwiseAND(F.lit((1 << 31) - 1)).cast("int")
+
+
+def keyed(docs: DataFrame, id_col: str, text_col: str, *more: Column) -> DataFrame:
+    """``doc`` (a null id as the smallest), ``mark``, ``bytes`` of the text and ``more``."""
+    text = F.col(text_col)
     return docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
         F.coalesce(F.col(id_col).cast("long"), F.lit(FIRST)).alias("doc"),
-        mark.alias("mark"),
-        F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")).alias("bytes"),
+        mark(text).alias("mark"),
+        F.coalesce(text.cast("binary"), F.lit(b"")).alias("bytes"),
+        *more,
     )
 
 
@@ -331,7 +337,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """``doc, mark, spans``: the removed places of each text that has any, as sorted packed spans."""
     if length < GRAM + 1:
         raise ValueError(f"strings must be longer than {GRAM} bytes")
-    rows = keyed(docs, id_col, text_col).select("doc", "mark", "bytes")
+    rows = keyed(docs, id_col, text_col)
     total = docs.agg(F.sum(F.octet_length(F.col(text_col)))).first()[0] or 0
     buckets = max(1, -(-int(total) // BUCKET))
 
@@ -371,18 +377,29 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return found.groupBy("doc", "mark").agg(F.array_sort(F.collect_list("span")).alias("spans"))
 
 
+def squeezed(text: Column) -> Column:
+    """Texts (binary) compressed one by one, for the shuffle."""
+
+    @F.pandas_udf("binary")
+    def squeeze(texts: pd.Series) -> pd.Series:
+        pack = zstandard.ZstdCompressor(level=3)
+        return pd.Series([pack.compress(t) for t in texts], dtype=object)
+
+    return squeeze(text)
+
+
 def cut_out(text: Column, removed: Column, whole_characters: bool = False) -> Column:
-    """``struct<n_bytes, n_removed, n_spans, kept>`` of a text (binary) and its packed spans (null: none).
+    """``struct<n_bytes, n_removed, n_spans, kept>`` of a ``squeezed`` text and its packed spans (null: none).
 
     With ``whole_characters``, what is left of a character that loses some of its bytes is not in ``kept`` either.
     """
 
     @F.pandas_udf("n_bytes long, n_removed long, n_spans long, kept binary")
     def cut(texts: pd.Series, removed: pd.Series) -> pd.DataFrame:
-        rows = []
+        rows, unpack = [], zstandard.ZstdDecompressor()
         for data, packed in zip(texts, removed, strict=True):
-            data, kept, end, runs, at = bytes(data), [], 0, 0, 0
-            if packed is not None and len(packed):
+            data, kept, end, runs, at = unpack.decompress(data), [], 0, 0, 0
+            if packed is not None:
                 for span in packed.tolist():
                     start, stop = span >> SPAN_BITS, (span >> SPAN_BITS) + (span & ((1 << SPAN_BITS) - 1))
                     if start > end or not runs:
@@ -400,9 +417,14 @@ def cut_out(text: Column, removed: Column, whole_characters: bool = False) -> Co
     return cut(text, removed)
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, whole_characters: bool = False) -> DataFrame:
-    """``row`` (the input row), ``n_bytes, n_removed, n_spans, kept`` (the bytes left) for every row."""
+def remove_repeats(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, whole_characters: bool = False
+) -> DataFrame:
+    """``row`` (the input row without its text), ``n_bytes, n_removed, n_spans, kept`` (the bytes left; null for a null text)."""
     found = repeated_spans(docs, id_col, text_col, length).withColumnsRenamed({"doc": "d", "mark": "m"})
-    rows = keyed(docs, id_col, text_col)
+    others = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col]).alias("row")
+    rows = keyed(docs, id_col, text_col, others, F.col(text_col).isNotNull().alias("given"))
+    rows = rows.select("doc", "mark", "row", "given", squeezed(F.col("bytes")).alias("packed"))
     joined = rows.join(found, (rows["doc"] == found["d"]) & (rows["mark"] == found["m"]), "left")
-    return joined.select("row", cut_out(F.col("bytes"), F.col("spans"), whole_characters).alias("cut")).select("row", "cut.*")
+    cut = joined.select("row", "given", cut_out(F.col("packed"), F.col("spans"), whole_characters).alias("cut"))
+    return cut.select("row", "cut.n_bytes", "cut.n_removed", "cut.n_spans", F.when(F.col("given"), F.col("cut.kept")).alias("kept"))
