@@ -6,6 +6,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
+# Six decimals are exact; 22 integer digits leave room for 10^10 such values in a sum of 38 digits.
+EXACT = DecimalType(28, 6)
+
 
 def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -21,19 +24,20 @@ def safe_ratio(num: str | Column, den: str | Column) -> Column:
     return F.try_divide(_col(num), _col(den))
 
 
-def exact_avg(c: str | Column, scale: int = 2, digits: int = 2, precision: int = 18) -> Column:
-    """Average of ``c`` rounded to ``digits``, independent of partitioning.
+def exact_avg(c: str | Column, digits: int = 2) -> Column:
+    """Average of ``c`` rounded to ``digits``, independent of partitioning, for every double.
 
     ``avg(double)`` sums in whatever order the partial aggregates arrive, so the
-    last bit (and sometimes the rounded cent) depends on the plan.  Summing the
-    values as ``DECIMAL(precision, scale)`` is exact for inputs with at most
-    ``scale`` decimals (and ``precision - scale`` integer digits; larger values
-    fail loudly under ANSI instead of being skipped); the sum is a
-    hash-aggregatable decimal buffer with ten more digits, so map-side partial
-    aggregation is kept.  NULLs are skipped as in ``avg``; an all-NULL group
-    gives NULL.
+    last bit (and sometimes the rounded cent) depends on the plan.  Values that
+    fit ``EXACT`` are summed as decimals, at six decimals each; what does not fit (a
+    magnitude of 10^22 or more, Infinity, NaN) is summed beside them as doubles, so that
+    Infinity and NaN reach the average as they do in ``avg``.  Both buffers are
+    hash-aggregatable, so map-side partial aggregation is kept.  NULLs are
+    skipped as in ``avg``; an all-NULL group gives NULL.
     """
     x = _col(c)
-    total = F.sum(x.cast(DecimalType(precision, scale))).cast("double")
-    n = F.count(x).cast("double")
-    return F.round(F.try_divide(total, n), digits)
+    fitting = x.try_cast(EXACT)
+    total = F.coalesce(F.sum(fitting).cast("double"), F.lit(0.0)) + F.coalesce(
+        F.sum(F.when(fitting.isNull(), x)), F.lit(0.0)
+    )
+    return F.round(F.try_divide(total, F.count(x).cast("double")), digits)

@@ -13,19 +13,11 @@ from pyspark.sql import functions as F
 
 from estatelake.functions.exact import exact_avg
 
-# Decimal scale of the exact sums: exact for inputs with up to 6 decimals.
-SUM_SCALE = 6
-
-
-def _avg(c: str) -> F.Column:
-    return exact_avg(c, scale=SUM_SCALE)
-
-
 def mart_by_district(silver: DataFrame) -> DataFrame:
     """district → avg_price, avg_price_per_sqm, listing_count.  NULL district is a group."""
     return silver.groupBy("district").agg(
-        _avg("price").alias("avg_price"),
-        _avg("price_per_sqm").alias("avg_price_per_sqm"),
+        exact_avg("price").alias("avg_price"),
+        exact_avg("price_per_sqm").alias("avg_price_per_sqm"),
         F.count(F.lit(1)).alias("listing_count"),
     )
 
@@ -39,8 +31,8 @@ def mart_by_day(silver: DataFrame) -> DataFrame:
         .groupBy("listing_date")
         .agg(
             F.count(F.lit(1)).alias("listings_count"),
-            _avg("price").alias("avg_price"),
-            _avg("price_per_sqm").alias("avg_price_per_sqm"),
+            exact_avg("price").alias("avg_price"),
+            exact_avg("price_per_sqm").alias("avg_price_per_sqm"),
         )
     )
 
@@ -51,9 +43,9 @@ def mart_by_rooms(silver: DataFrame) -> DataFrame:
         silver.where(F.col("rooms").isNotNull() & (F.col("rooms") > 0))
         .groupBy("rooms")
         .agg(
-            _avg("price").alias("avg_price"),
-            _avg("price_per_sqm").alias("avg_price_per_sqm"),
-            _avg("area").alias("avg_area_sqm"),
+            exact_avg("price").alias("avg_price"),
+            exact_avg("price_per_sqm").alias("avg_price_per_sqm"),
+            exact_avg("area").alias("avg_area_sqm"),
             F.count(F.lit(1)).alias("listing_count"),
         )
     )
@@ -105,9 +97,9 @@ def marts_aggregate(silver: DataFrame) -> DataFrame:
         "district", "listing_date", "rooms", "_rooms_ok",
     ).agg(
         F.grouping_id().alias("_gid"),
-        _avg("price").alias("avg_price"),
-        _avg("price_per_sqm").alias("avg_price_per_sqm"),
-        _avg("area").alias("avg_area_sqm"),
+        exact_avg("price").alias("avg_price"),
+        exact_avg("price_per_sqm").alias("avg_price_per_sqm"),
+        exact_avg("area").alias("avg_area_sqm"),
         F.count(F.lit(1)).alias("n"),
     )
 
