@@ -41,10 +41,10 @@ BRONZE = StructType(
 DEDUP_KEY = ["district", "address", "price", "area", "published_at"]
 CRITICAL = ["price", "area"]
 
-# Format of ``published_at``; anything else parses to NULL.
+# Fixed value: the format of ``published_at``; anything else parses to NULL.
 TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
-# Silver as written (district is the partition column and comes last on read).
+# The columns of silver as written (district is the partition column and comes last on read).
 SILVER = StructType(
     [
         StructField("price", DoubleType(), True),
@@ -64,6 +64,10 @@ SILVER = StructType(
     ]
 )
 
+# A listing as its CSV has it: the message fields without the send stamp.
+LISTING = StructType(MESSAGE.fields[:-1])
+
+# The columns of the three marts.
 MART_BY_DISTRICT = StructType(
     [
         StructField("district", StringType(), True),

@@ -66,9 +66,37 @@ def shared_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+# Scratch folders handed out in this process and not yet deleted.
+_scratch: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder below the shared root for one run of ``name``."""
-    return f"{shared_root(spark)}/estatelake/{name}-{uuid.uuid4().hex}"
+    """A fresh, unique folder below the shared root for one run of ``name``.
+
+    Results that are read lazily may live there, so nothing is deleted on its
+    own: call ``clean_scratch`` when the results have been used.
+    """
+    path = f"{shared_root(spark)}/estatelake/{name}-{uuid.uuid4().hex}"
+    _scratch.append(path)
+    return path
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists in the file system it names."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at))
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder, if it exists, in the file system it names."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def clean_scratch(spark: SparkSession) -> None:
+    """Delete the scratch folders that this process has made."""
+    while _scratch:
+        delete(spark, _scratch.pop())
 
 
 def object_store_conf(

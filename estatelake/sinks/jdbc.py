@@ -24,8 +24,11 @@ def write_jdbc(
 
 
 def write_marts(
-    marts: dict[str, DataFrame], url: str, properties: dict[str, str] | None = None
+    marts: dict[str, DataFrame],
+    url: str,
+    properties: dict[str, str] | None = None,
+    num_partitions: int | None = None,
 ) -> None:
-    """Overwrite every mart table (they are small: one row per group)."""
+    """Overwrite every mart table; ``num_partitions`` caps the connections that write at once."""
     for table, df in marts.items():
-        write_jdbc(df, url, table, properties, mode="overwrite", num_partitions=1)
+        write_jdbc(df, url, table, properties, mode="overwrite", num_partitions=num_partitions)

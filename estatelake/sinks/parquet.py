@@ -21,12 +21,6 @@ def append_partitioned(df: DataFrame, path: str, partition_col: str = "district"
     )
 
 
-def overwrite(df: DataFrame, path: str, max_files: int | None = 1) -> None:
-    """Replace a mart folder.
-
-    A mart holds one row per group (districts, days, room counts), so its size
-    does not grow with the data; it is written as ``max_files`` files instead of
-    one small file per shuffle partition.
-    """
-    out = df.coalesce(max_files) if max_files else df
-    out.write.mode("overwrite").parquet(path)
+def overwrite(df: DataFrame, path: str) -> None:
+    """Replace a mart folder; AQE sizes its files (a ``REBALANCE`` merges small partitions and splits large ones)."""
+    df.hint("rebalance").write.mode("overwrite").parquet(path)

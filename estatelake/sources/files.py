@@ -3,14 +3,39 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from estatelake.schemas import BRONZE, SILVER
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType | str, header: bool = True) -> DataFrame:
-    """Header CSV with a declared schema (no inference pass over the data)."""
-    return spark.read.schema(schema).option("header", str(header).lower()).csv(path)
+def read_csv(
+    spark: SparkSession,
+    path: str,
+    schema: StructType | str,
+    header: bool = True,
+    multiline: bool = False,
+) -> DataFrame:
+    """CSV with a declared schema (no inference pass over the data), by column name.
+
+    The header says where each declared column stands; columns it has beside
+    the declared ones are left out, and a declared column that is missing is an error.
+    Every file must have the same header (``enforceSchema=false`` checks each one).
+    Quotes inside a quoted field are doubled.  ``multiline`` allows line breaks in
+    quoted fields; such files cannot be split, so each is read by one task.
+    Without a header the declared order counts.
+    """
+    wanted = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+    options = {"escape": '"', "multiLine": str(multiline).lower(), "header": str(header).lower()}
+    if not header:
+        return spark.read.options(**options).schema(wanted).csv(path)
+    names = spark.read.options(**options).csv(path).columns  # reads the first line only
+    missing = [f.name for f in wanted.fields if f.name not in names]
+    if missing:
+        raise ValueError(f"the CSV header lacks {', '.join(missing)}")
+    types = {f.name: f.dataType for f in wanted.fields}
+    placed = StructType([StructField(n, types.get(n, StringType()), True) for n in names])
+    rows = spark.read.options(enforceSchema="false", **options).schema(placed).csv(path)
+    return rows.select(*[f"`{f.name}`" for f in wanted.fields])
 
 
 def read_bronze(spark: SparkSession, path: str) -> DataFrame:

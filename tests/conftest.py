@@ -31,6 +31,9 @@ def spark():
     if not session.conf.get("spark.checkpoint.dir", None) and not session.sparkContext.getCheckpointDir():
         session.sparkContext.setCheckpointDir(ck)
     yield session
+    from estatelake.session import clean_scratch
+
+    clean_scratch(session)
     session.stop()
 
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import datetime as dt
 
+import pytest
+
 from estatelake.operators import marts as M
 from estatelake.sinks.jdbc import write_marts
 from estatelake.sinks.parquet import append_partitioned
@@ -51,6 +53,26 @@ def test_csv_with_schema(spark, scratch):
     assert sorted(map(tuple, back.collect()), key=str) == sorted(map(tuple, df.collect()), key=str)
 
 
+def test_csv_by_name_with_quotes_and_line_breaks(spark, scratch):
+    path = scratch("csv_by_name")
+    text = 'area,note,price,address\r\n1.5,x,20.0,"say ""hi"", 5"\r\n2.5,y,30.0,"two\nlines"\r\n'
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(path)
+    back = read_csv(spark, path, "price double, area double, address string", multiline=True)
+    assert back.columns == ["price", "area", "address"]
+    assert sorted(map(tuple, back.collect())) == [(20.0, 1.5, 'say "hi", 5'), (30.0, 2.5, "two\nlines")]
+    with pytest.raises(ValueError, match="floor"):
+        read_csv(spark, path, "price double, floor int")
+
+
+def test_csv_files_with_another_header_fail(spark, scratch):
+    path = scratch("csv_headers")
+    df = spark.createDataFrame([(1.0, 2.0)], "price double, area double")
+    df.write.option("header", "true").csv(path)
+    df.select("area", "price").write.mode("append").option("header", "true").csv(path)
+    with pytest.raises(Exception, match="(?i)header"):
+        read_csv(spark, path, df.schema).collect()
+
+
 def test_jdbc_overwrite_keeps_one_copy(spark):
     """Embedded in-memory Derby (in this JVM only: no server, no port)."""
     url = "jdbc:derby:memory:estatelake_marts;create=true"
