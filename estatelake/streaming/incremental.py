@@ -6,6 +6,14 @@ The default follows the stated aim instead: bronze is read as a stream, each
 micro-batch is refined and only keys that silver does not hold yet are
 appended.
 
+A listing's key is its raw dedup key, before dates are parsed and blanks become
+NULL.  Silver's files carry 128 bits of its hash in two columns beside the silver columns
+(``KEY_HASH``; readers with the declared schema do not see them), so what counts
+as one listing does not depend on how bronze is cut into batches.
+
+Each silver folder belongs to one way of writing (``claim``): a run that would mix
+two of them in a folder is refused.
+
 Retries: ``foreachBatch`` is at-least-once.  The anti join against silver makes
 a replayed batch harmless once its files are committed (the rows are then
 found in silver and skipped); a failed write job commits no files.
@@ -13,122 +21,127 @@ found in silver and skipped); a failed write job commits no files.
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from estatelake.operators.refine import derive, drop_incomplete, normalize_types, refine
+from estatelake.operators.refine import deduplicate, derive, drop_incomplete, normalize_types
 from estatelake.schemas import BRONZE, DEDUP_KEY, SILVER
+from estatelake.session import exists
 from estatelake.sinks.parquet import append_partitioned
-from estatelake.sources.files import read_bronze, read_silver
+from estatelake.sources.files import read_bronze
 
-# Above this many districts in one batch, silver is not pruned by district.
-PRUNE_LIMIT = 10_000
+KEY_HASH = ["key_hash_1", "key_hash_2"]
 
+# The ways of writing silver and the modes that share one: both anti-join modes hold each key once.
+WRITERS = {"stream": "keyed", "new_only": "keyed", "state": "state", "reappend": "reappend"}
 
-def _existing_silver(spark: SparkSession, silver_path: str) -> DataFrame | None:
-    try:
-        existing = read_silver(spark, silver_path)
-        existing.schema  # resolves the path
-        return existing
-    except AnalysisException:
+
+def claim(spark: SparkSession, silver_path: str, mode: str) -> None:
+    """Mark a silver folder as written by ``mode``'s way of writing; raise if it belongs to another."""
+    if mode not in WRITERS:
+        raise ValueError(f"unknown silver mode: {mode}")
+    for writer in sorted(set(WRITERS.values())):
+        if writer != WRITERS[mode] and exists(spark, f"{silver_path}/_written_{writer}"):
+            raise ValueError(f"{silver_path} is written by mode(s) "
+                             f"{', '.join(m for m, w in WRITERS.items() if w == writer)}; use another folder for {mode!r}")
+    mark = spark._jvm.org.apache.hadoop.fs.Path(f"{silver_path}/_written_{WRITERS[mode]}")
+    mark.getFileSystem(spark._jsc.hadoopConfiguration()).create(mark, True).close()
+
+
+def with_key_hash(rows: DataFrame, key: Sequence[str] = DEDUP_KEY) -> DataFrame:
+    """``rows`` with the hash of the raw key: NULL differs from '', signed zeros are one."""
+    parts = []
+    for c in key:
+        value = F.col(c)
+        if dict(rows.dtypes)[c] == "double":
+            value = F.when(value == 0.0, F.lit(0.0)).otherwise(value)
+        parts += [value.isNull(), value]
+    return rows.withColumns({name: F.xxhash64(F.lit(name), *parts) for name in KEY_HASH})
+
+
+def _existing_keys(spark: SparkSession, silver_path: str) -> DataFrame | None:
+    """Key hashes and partition columns of silver, or ``None`` before the first append."""
+    if not exists(spark, silver_path):
         return None
+    fields = [f"{f.name} {f.dataType.simpleString()}" for f in SILVER.fields if f.name in ("published_at", "district")]
+    return spark.read.schema(", ".join([f"{k} long" for k in KEY_HASH] + fields)).parquet(silver_path)
 
 
-def _batch_reach(refined: DataFrame, prune_limit: int) -> tuple[list, object, object, bool] | None:
-    """Districts of the batch and the range of its ``published_at`` (one small aggregate).
+def only_new(rows: DataFrame, silver: DataFrame | None, reach_from: DataFrame | None = None) -> DataFrame:
+    """Rows whose key hash silver does not hold.
 
-    Read with ``limit(prune_limit + 1)``: above the limit nothing is pruned.
+    Silver is cut to rows that can match at all: the districts of the batch (a semi-join
+    on the partition column) and the range of its ``published_at``, one row of three values, or
+    NULL; the range is a filter pushed to the Parquet scan.  ``reach_from`` holds
+    the batch's normalised districts and parsed dates before dedup (default: ``rows``).
     """
-    rows = (
-        refined.groupBy("district")
-        .agg(
-            F.min("published_at").alias("lo"),
-            F.max("published_at").alias("hi"),
-            F.max(F.col("published_at").isNull().cast("int")).alias("has_null"),
-        )
-        .limit(prune_limit + 1)
-        .collect()
-    )
-    if len(rows) > prune_limit:
-        return None
-    los = [r["lo"] for r in rows if r["lo"] is not None]
-    his = [r["hi"] for r in rows if r["hi"] is not None]
-    return (
-        [r["district"] for r in rows],
-        min(los) if los else None,
-        max(his) if his else None,
-        any(r["has_null"] for r in rows),
-    )
+    if silver is None:
+        return rows
+    batch = rows if reach_from is None else reach_from
+    lo, hi, has_null = batch.agg(
+        F.min(F.unix_micros("published_at")), F.max(F.unix_micros("published_at")), F.bool_or(F.col("published_at").isNull())
+    ).first()
+    when = F.lit(False)
+    if lo is not None:
+        when = F.col("published_at").between(F.timestamp_micros(F.lit(lo)), F.timestamp_micros(F.lit(hi)))
+    if has_null:
+        when = when | F.col("published_at").isNull()
+    districts = batch.select(F.col("district").alias("_district")).distinct()
+    old = silver.where(when).join(districts, F.col("district").eqNullSafe(F.col("_district")), "left_semi")
+    return rows.join(old.select(*KEY_HASH), KEY_HASH, "left_anti")
 
 
-def only_new(
-    refined: DataFrame,
-    silver: DataFrame | None,
-    key: Sequence[str] = DEDUP_KEY,
-    prune_limit: int = PRUNE_LIMIT,
-    reach_from: DataFrame | None = None,
-) -> DataFrame:
-    """Rows of ``refined`` whose key silver does not hold (NULL-safe key equality).
-
-    The silver side is cut to the key columns and to the rows that can match
-    at all: the batch's districts (partition pruning) and ``published_at``
-    inside the batch's range or NULL (a range filter pushed to the Parquet
-    scan, which skips row groups of other periods; the range is widened by a
-    day on each side, so no match is lost to time-zone conversion).  Both come
-    from one aggregate read with ``limit(prune_limit + 1)``, so their size is
-    checked before use; above the limit silver is not pruned.  ``reach_from``
-    (rows with the same normalised district and parsed date, before dedup)
-    lets that aggregate skip the dedup shuffle.
-    """
-    if silver is None:
-        return refined
-    if "district" in key and "published_at" in key:
-        reach = _batch_reach(reach_from if reach_from is not None else refined, prune_limit)
-        if reach is not None:
-            districts, lo, hi, has_null = reach
-            named = [d for d in districts if d is not None]
-            keep = F.col("district").isin(named) if named else F.lit(False)
-            if len(named) < len(districts):
-                keep = keep | F.col("district").isNull()
-            if lo is not None:
-                in_range = F.col("published_at").between(
-                    F.lit(lo - dt.timedelta(days=1)), F.lit(hi + dt.timedelta(days=1))
-                )
-                when = in_range | F.col("published_at").isNull() if has_null else in_range
-            else:
-                when = F.col("published_at").isNull()
-            silver = silver.where(keep & when)
-    old = silver.select(*[F.col(c).alias(f"_old_{c}") for c in key])
-    cond = reduce(
-        lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_old_{c}")) for c in key]
-    )
-    return refined.join(old, cond, "left_anti")
+def _count(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
+    seen = Observation(name)
+    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
 
 
-def process_batch(
+def _observed(seen: Observation) -> int:
+    """The rows counted; a plan that Spark finds to be empty while it runs counts none and has no result row."""
+    row = seen._jo.getRow()
+    return int(row.getLong(0)) if row.length() else 0
+
+
+def append_new(
     batch: DataFrame,
     silver_path: str,
     order_by: Sequence[str] | None = None,
-    prune_limit: int = PRUNE_LIMIT,
+    report: dict[str, int] | None = None,
+    against_silver: bool = True,
+    unique: bool = False,
 ) -> None:
-    """Refine one bronze batch and append its new keys to silver.
+    """Refine bronze rows and append them to silver, with ``against_silver`` only those with new keys.
 
-    Nothing is cached: the batch's reach (districts, date range) is a small
-    partial aggregate over the raw batch, and the refine + anti join + write is
-    one job (a cached plan would also keep every shuffle partition, as AQE does
-    not coalesce the output of cached plans by default).
+    ``unique`` says that no key repeats within ``batch``.
+
+    Nothing is cached: the refine, the anti join and the write are one job.
+    ``report`` receives the rows read, left by the dedup, left by the null filter, and
+    appended (added to what it holds); the counts are observed in the same job.  Without
+    it, Catalyst moves the null filter below the dedup shuffle.
     """
     spark = batch.sparkSession
-    refined = refine(batch, order_by=order_by)
-    reach_from = normalize_types(drop_incomplete(batch))
-    new = only_new(refined, _existing_silver(spark, silver_path), DEDUP_KEY, prune_limit, reach_from)
-    append_partitioned(new, silver_path)
+    raw = with_key_hash(batch)
+    counts: dict[str, Observation] = {}
+
+    def counted(df: DataFrame, name: str) -> DataFrame:
+        if report is None:
+            return df
+        df, counts[name] = _count(df, name)
+        return df
+
+    rows = counted(raw, "bronze_rows")
+    if not unique:
+        rows = deduplicate(rows, [*DEDUP_KEY, *KEY_HASH], order_by)
+    rows = counted(drop_incomplete(counted(rows, "dedup_rows")), "valid_rows")
+    rows = derive(normalize_types(rows)).select(*[f.name for f in SILVER.fields], *KEY_HASH)
+    if against_silver:
+        rows = only_new(rows, _existing_keys(spark, silver_path), normalize_types(drop_incomplete(batch)))
+    append_partitioned(counted(rows, "silver_appended"), silver_path)
+    for name, seen in counts.items():
+        report[name] = report.get(name, 0) + _observed(seen)
 
 
 def start_incremental_silver(
@@ -138,15 +151,17 @@ def start_incremental_silver(
     checkpoint: str,
     order_by: Sequence[str] | None = None,
     max_files_per_trigger: int | None = None,
+    report: dict[str, int] | None = None,
 ) -> StreamingQuery:
     """Stream bronze → silver, adding only new keys (``availableNow`` run)."""
+    claim(spark, silver_path, "stream")
     reader = spark.readStream.schema(BRONZE)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     stream = reader.parquet(bronze_path)
     return (
         stream.writeStream.foreachBatch(
-            lambda df, _batch_id: process_batch(df, silver_path, order_by)
+            lambda df, _batch_id: append_new(df, silver_path, order_by, report)
         )
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
@@ -166,65 +181,46 @@ def start_state_silver(
     silver_path: str,
     checkpoint: str,
     max_files_per_trigger: int | None = None,
-    state_partitions: int | None = None,
-    writers_per_district: int = 8,
+    report: dict[str, int] | None = None,
 ) -> StreamingQuery:
     """Stream bronze → silver with the seen keys kept in the streaming state store.
 
-    ``dropDuplicates`` on a stream remembers every key it has emitted (state
-    partitioned by key hash over the shuffle partitions, checkpointed next to
+    Streaming dedup on the key hash remembers every key it has emitted (16 bytes
+    each, partitioned by key over the shuffle partitions, checkpointed next to
     the offsets), so a micro-batch is checked against its own keys only: the
     cost per batch follows the batch, not the size of silver.  Rows that can
     never reach silver (NULL/NaN price or area) are dropped before the state,
-    which keeps the same key set as the batch order dedup → filter; signed
-    zeros in the floating keys are merged as the batch dedup merges them.  The sink is
-    the exactly-once Parquet file sink partitioned by district, so a replayed
-    batch cannot append twice; silver must then be written by this query only
-    (readers go through its ``_spark_metadata`` log).  The survivor among
-    duplicates of one batch is arbitrary.  For large state use the RocksDB
-    state store (``scale_conf`` sets it).
-
-    The state is split into ``state_partitions`` parts (default: the cluster's
-    parallelism).  The number is fixed when the query first starts and is kept
-    in the checkpoint afterwards; every part commits per micro-batch, so it
-    should follow the cores, not a large batch-oriented shuffle setting.
-
-    The file sink has no adaptive sizing, so before it the rows are
-    hash-partitioned by (district, salt) with ``writers_per_district`` salt
-    values: a micro-batch writes at most that many files per district whatever
-    the number of cores, and a district holding a third of the rows is spread
-    over that many writers.
+    which keeps the same key set as the batch order dedup → filter.  The
+    survivor among duplicates is arbitrary.  For large state use the RocksDB state
+    store (``scale_conf`` sets it).
+
+    Two dedups follow each other: the first is on (key, input partition), so that a
+    listing that a third of the rows repeat is thinned out where it is spread over
+    the cluster, and the second, on the key, gets at most one row of it per input partition.
+
+    Each micro-batch is appended with the adaptive sizing of the batch sink.  Only
+    the first micro-batch after a start can be a replay, so only that one is checked
+    against silver.  The number of state partitions is the session's
+    ``spark.sql.shuffle.partitions`` when the query first starts; Spark keeps it
+    in the checkpoint, so size it for the cluster the query will run on.
     """
+    claim(spark, silver_path, "state")
     reader = spark.readStream.schema(BRONZE)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     valid = drop_incomplete(reader.parquet(bronze_path))
-    # Batch dedup (an aggregate) treats -0.0 and 0.0 as one key and returns 0.0;
-    # the streaming dedup compares raw bytes, so normalise the floating keys first.
-    valid = valid.withColumns(
-        {c: F.when(F.col(c) == 0.0, F.lit(0.0)).otherwise(F.col(c)) for c in ("price", "area")}
-    )
-    fresh = valid.dropDuplicates(list(DEDUP_KEY))
-    rows = derive(normalize_types(fresh)).select(*[f.name for f in SILVER.fields])
-    parts = state_partitions or spark.sparkContext.defaultParallelism
-    salt = F.pmod(F.xxhash64("address", "price", "area", "published_at"), F.lit(writers_per_district))
-    rows = rows.repartition(parts, F.col("district"), salt)
-    writer = (
-        rows.writeStream.format("parquet")
-        .outputMode("append")
-        .partitionBy("district")
-        .option("path", silver_path)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-    )
-    # The query clones the session's settings when it starts, so the override
-    # only needs to hold around ``start``.
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
-    try:
-        return writer.start()
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
+    # Batch dedup (an aggregate) returns 0.0 for signed zeros; so does this.
+    zeros = {c: F.when(F.col(c) == 0.0, F.lit(0.0)).otherwise(F.col(c)) for c in ("price", "area")}
+    valid = with_key_hash(valid.withColumns(zeros))
+    spread = valid.withColumn("_input", F.spark_partition_id())
+    fresh = spread.dropDuplicates([*KEY_HASH, "_input"]).dropDuplicates(KEY_HASH).drop("_input", *KEY_HASH)
+    started: list[int] = []
+
+    def append(batch: DataFrame, batch_id: int) -> None:
+        append_new(batch, silver_path, report=report, against_silver=not started, unique=True)
+        started.append(batch_id)
+
+    return fresh.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def run_state_silver(spark: SparkSession, *args, **kwargs) -> StreamingQuery:
@@ -245,22 +241,13 @@ def refine_batch(
 
     ``mode="new_only"`` appends keys silver does not hold (same result as the
     streaming path); ``mode="reappend"`` appends the whole refined bronze on every
-    run, as the reference does.  The counts are ``Observation``s taken while
-    writing, so the write is the only job over the data; ``report`` (if given)
-    also receives the number of bronze rows read.
+    run, as the reference does.  The counts are observed while
+    writing, so the write is the only job over the data.
     """
-    bronze_obs, appended_obs = Observation("bronze_read"), Observation("silver_append")
-    bronze = read_bronze(spark, bronze_path).observe(bronze_obs, F.count(F.lit(1)).alias("rows"))
-    refined = refine(bronze, order_by=order_by)
-    if mode == "reappend":
-        new = refined
-    elif mode == "new_only":
-        new = only_new(refined, _existing_silver(spark, silver_path))
-    else:
+    if mode not in ("new_only", "reappend"):
         raise ValueError(f"unknown silver mode: {mode}")
-    append_partitioned(new.observe(appended_obs, F.count(F.lit(1)).alias("rows")), silver_path)
-    appended = int(appended_obs.get["rows"])
-    if report is not None:
-        report["bronze_rows"] = int(bronze_obs.get["rows"])
-        report["silver_appended"] = appended
-    return appended
+    claim(spark, silver_path, mode)
+    counts: dict[str, int] = {} if report is None else report
+    before = counts.get("silver_appended", 0)
+    append_new(read_bronze(spark, bronze_path), silver_path, order_by, counts, against_silver=mode == "new_only")
+    return counts["silver_appended"] - before

@@ -9,7 +9,7 @@ import sys
 
 from estatelake.sources.files import read_bronze, read_silver
 from estatelake.sources.messages import file_messages
-from estatelake.streaming.incremental import process_batch
+from estatelake.streaming.incremental import append_new
 from estatelake.streaming.ingest import run_bronze
 from tests.conftest import SF_SMALL
 from tests.test_streaming import land, message
@@ -38,8 +38,8 @@ def test_replayed_batch_is_absorbed(spark, scratch):
     land(spark, inbox, [message("A", 1.0), message("B", 2.0), message("B", 2.0), message(None, 3.0)])
     run_bronze(file_messages(spark, inbox), bronze, f"{root}/_ck_b")
     batch = read_bronze(spark, bronze)
-    process_batch(batch, silver)
+    append_new(batch, silver)
     first = sorted(map(tuple, read_silver(spark, silver).select("district", "price").collect()), key=str)
-    process_batch(batch, silver)  # same batch again, as after a crash before the offset commit
+    append_new(batch, silver)  # same batch again, as after a crash before the offset commit
     again = sorted(map(tuple, read_silver(spark, silver).select("district", "price").collect()), key=str)
     assert first == again and len(first) == 3
