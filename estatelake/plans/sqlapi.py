@@ -50,15 +50,20 @@ DAY_COUNT_LATEST = """
     FROM   mart_listings_by_day
     WHERE  listing_date = (SELECT date_sub(max(listing_date), 1) FROM mart_listings_by_day)"""
 
+# Exact like ``functions.exact.exact_avg``: decimals where they fit, doubles beside them.
 TWO_ROOM_BY_DISTRICT = """
     SELECT district,
-           round(try_divide(CAST(sum(CAST(price AS DECIMAL(18,6))) AS DOUBLE),
+           round(try_divide(coalesce(CAST(sum(try_cast(price AS DECIMAL(28,6))) AS DOUBLE), 0D)
+                              + coalesce(sum(CASE WHEN try_cast(price AS DECIMAL(28,6)) IS NULL THEN price END), 0D),
                             CAST(count(price) AS DOUBLE)), 2) AS avg_price,
            count(*) AS listing_count
     FROM   silver_listings
     WHERE  rooms = 2
     GROUP  BY district"""
 
+# Leaves of an analysed plan that read no table.
+_TABLELESS = {"OneRowRelation", "LocalRelation", "Range", "CTERelationRef"}
+
 
 def register(tables: dict[str, DataFrame]) -> None:
     """Expose DataFrames as session temp views under the given names."""
@@ -70,20 +75,52 @@ def _clean(sql: str) -> str:
     return sql.strip().rstrip(";").strip()
 
 
+def _objection(df: DataFrame) -> str | None:
+    """Why an analysed statement may not run: a call into the JVM, or anything read but session views."""
+    items = lambda seq: [seq.apply(i) for i in range(seq.size())]
+    todo = [df._jdf.queryExecution().analyzed()]
+    while todo:
+        node = todo.pop()
+        kind = node.getClass().getSimpleName()
+        if kind == "View" and node.isTempView():
+            continue
+        if hasattr_jvm(node, "expressions"):
+            below = items(node.children())
+            if not below and kind not in _TABLELESS:
+                return f"only the registered views can be read, not {node.simpleString(100)}"
+            todo += below + items(node.expressions())
+        else:
+            if "Reflect" in kind:
+                return f"{node.prettyName()} is not allowed"
+            todo += items(node.children())
+            if hasattr_jvm(node, "plan"):  # a subquery
+                todo.append(node.plan())
+    return None
+
+
+def hasattr_jvm(node, name: str) -> bool:
+    """Whether a JVM object has a public method without arguments of that name."""
+    return any(m.getName() == name and m.getParameterCount() == 0 for m in node.getClass().getMethods())
+
+
 def run_sql(
     spark: SparkSession, sql: str, args: dict | None = None
 ) -> tuple[DataFrame | None, str | None]:
-    """Run one read-only statement: ``(frame, None)`` or ``(None, error text)``.
+    """Plan one read-only statement: ``(frame, None)`` or ``(None, error text)``.
 
     The text is wrapped as ``SELECT * FROM (<sql>)``, so the parser itself
     rejects DDL, DML (also after ``WITH``), ``SET`` and a second statement;
-    ``WITH … ORDER BY`` queries still run.  Analysis errors (unknown table or
-    column) come back as text instead of failing the caller.
+    ``WITH … ORDER BY`` queries still run.  On the analysed plan, calls of JVM methods
+    (``reflect``, ``java_method``) and reads of anything but the session's temp views (catalog
+    tables, files by path) are refused.  Analysis errors (unknown table or
+    column) come back as text instead of failing the caller; the frame is lazy, so
+    what fails while running fails in its action (``execute_sql`` returns that as text too).
     """
     text = _clean(sql)
     try:
-        df = spark.sql(f"SELECT * FROM ({text})", args=args)
-        return df, None
+        df = spark.sql(f"SELECT * FROM (\n{text}\n)", args=args)
+        refused = _objection(df)
+        return (None, refused) if refused else (df, None)
     except PySparkException as exc:  # ParseException, AnalysisException, ...
         return None, str(exc)
 
@@ -102,7 +139,7 @@ def preview(
         return None, err
     try:
         df = spark.sql(
-            f"SELECT *, (SELECT count(*) FROM ({text})) AS total_rows FROM ({text}) LIMIT {int(n)}",
+            f"SELECT *, (SELECT count(*) FROM (\n{text}\n)) AS total_rows FROM (\n{text}\n) LIMIT {int(n)}",
             args=args,
         )
         return df, None
@@ -110,6 +147,24 @@ def preview(
         return None, str(exc)
 
 
+def execute_sql(
+    spark: SparkSession, sql: str, n: int = 20, args: dict | None = None
+) -> tuple[list[dict], int, str | None]:
+    """Run one read-only statement: its first ``n`` rows, its total row count, and the error text.
+
+    Whatever fails, in parsing, analysis or at run time, comes back as text with no rows.
+    """
+    df, err = preview(spark, sql, n, args)
+    if err:
+        return [], 0, err
+    try:
+        rows = [r.asDict() for r in df.collect()]  # ``n`` rows at most
+    except PySparkException as exc:
+        return [], 0, str(exc)
+    total = rows[0]["total_rows"] if rows else 0
+    return [{k: v for k, v in r.items() if k != "total_rows"} for r in rows], total, None
+
+
 def day_count(spark: SparkSession, day: dt.date | None = None) -> DataFrame:
     """Listings on ``day`` (default: the day before the latest listing date)."""
     if day is None:
