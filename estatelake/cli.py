@@ -1,12 +1,14 @@
 """Command line for scheduled runs (one ``spark-submit`` per step, or all steps at once).
 
+    python -m estatelake.cli feed   --csv /data/listings.csv --inbox /data/inbox   # or --kafka host:9092 --topic t
     python -m estatelake.cli bronze --root s3a://bucket/lake --kafka host:9092 --topic t
     python -m estatelake.cli silver --root /data/lake [--silver-mode stream|state|new_only|reappend]
     python -m estatelake.cli gold   --root /data/lake [--jdbc-url jdbc:postgresql://... --jdbc-user u]
     python -m estatelake.cli run    --root /data/lake --inbox /data/inbox
     python -m estatelake.cli sql    --root /data/lake "SELECT * FROM mart_avg_price_by_rooms"
 
-Every setting is an argument (no environment files).  ``sql`` reads the marts
+Every setting is an argument (no environment files); ``--input-bytes`` with ``--cores`` sizes the
+partitions of the run, ``--s3-endpoint`` with its keys names an object store.  ``sql`` reads the marts
 written by ``gold`` and prints the first 20 rows and the total row count.
 """
 
@@ -17,24 +19,34 @@ import json
 
 from pyspark.sql import SparkSession
 
-from estatelake.plans.pipeline import Layout, run_gold, run_pipeline
-from estatelake.plans.sqlapi import preview, register
+from estatelake.plans.feed import SAMPLE_FRACTION, publish_from_csv
+from estatelake.plans.pipeline import Layout, run_gold, run_pipeline, run_silver
+from estatelake.plans.sqlapi import execute_sql, register
 from estatelake.schemas import MART_TABLES
-from estatelake.session import build_session
+from estatelake.session import build_session, object_store_conf, scale_conf
 from estatelake.sources.messages import file_messages, kafka_messages
-from estatelake.streaming.incremental import refine_batch, run_incremental_silver, run_state_silver
 from estatelake.streaming.ingest import run_bronze
 
 
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="estatelake")
-    p.add_argument("step", choices=["bronze", "silver", "gold", "run", "sql"])
+    p.add_argument("step", choices=["feed", "bronze", "silver", "gold", "run", "sql"])
     p.add_argument("statement", nargs="?", help="SQL text for the sql step")
-    p.add_argument("--root", required=True, help="lake root (bronze/, silver/, gold/, checkpoints/)")
+    p.add_argument("--root", help="lake root (bronze/, silver/, gold/, checkpoints/)")
     p.add_argument("--inbox", help="folder of JSON-lines message files (offline source)")
     p.add_argument("--kafka", help="Kafka bootstrap servers")
     p.add_argument("--topic", help="Kafka topic")
-    p.add_argument("--max-files-per-trigger", type=int)
+    p.add_argument("--max-files-per-trigger", type=int, help="bound of a micro-batch of bronze and of silver")
+    p.add_argument("--max-offsets-per-trigger", type=int, help="bound of a Kafka micro-batch")
+    p.add_argument("--csv", help="listing CSV of the feed step")
+    p.add_argument("--multiline", action="store_true", help="the CSV has line breaks inside quotes")
+    p.add_argument("--fraction", type=float, default=SAMPLE_FRACTION, help="share of the CSV sent per run")
+    p.add_argument("--seed", type=int, help="seed of the sample (default: a new one per run)")
+    p.add_argument("--input-bytes", type=int, help="size of the input, for partition sizing")
+    p.add_argument("--cores", type=int, help="cores of the cluster, for partition sizing")
+    p.add_argument("--s3-endpoint")
+    p.add_argument("--s3-access-key")
+    p.add_argument("--s3-secret-key")
     p.add_argument("--lenient-ints", action="store_true", help="accept 2.0 for integer fields")
     p.add_argument("--silver-mode", default="stream", choices=["stream", "state", "new_only", "reappend"])
     p.add_argument("--jdbc-url")
@@ -46,7 +58,8 @@ def _parser() -> argparse.ArgumentParser:
 
 def _messages(spark: SparkSession, args: argparse.Namespace):
     if args.kafka:
-        return kafka_messages(spark, args.kafka, args.topic)
+        bound = args.max_offsets_per_trigger
+        return kafka_messages(spark, args.kafka, args.topic, {"maxOffsetsPerTrigger": str(bound)} if bound else None)
     if args.inbox:
         return file_messages(spark, args.inbox, args.max_files_per_trigger)
     raise SystemExit("give --kafka/--topic or --inbox")
@@ -61,40 +74,48 @@ def _jdbc(args: argparse.Namespace) -> tuple[str | None, dict[str, str]]:
     return args.jdbc_url, props
 
 
+def _conf(args: argparse.Namespace) -> dict[str, str]:
+    """Session settings that the arguments ask for."""
+    conf: dict[str, str] = {}
+    if args.input_bytes and args.cores:
+        conf.update(scale_conf(args.input_bytes, args.cores))
+    if args.s3_endpoint:
+        conf.update(object_store_conf(args.s3_endpoint, args.s3_access_key, args.s3_secret_key))
+    return conf
+
+
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> dict:
-    args = _parser().parse_intermixed_args(argv)
-    spark = spark or build_session(app_name=f"estatelake-{args.step}")
-    layout = Layout(args.root.rstrip("/"))
+    parser = _parser()
+    args = parser.parse_intermixed_args(argv)
+    if args.step != "feed" and not args.root:
+        parser.error("--root is needed")
+    spark = spark or build_session(app_name=f"estatelake-{args.step}", extra_conf=_conf(args))
+    layout = Layout((args.root or "").rstrip("/"))
     out: dict = {"step": args.step}
-    if args.step == "bronze":
+    if args.step == "feed":
+        if not args.csv or not (args.inbox or args.kafka):
+            parser.error("give --csv, and --inbox or --kafka/--topic")
+        sink = {"fmt": "text", "path": args.inbox} if args.inbox else {
+            "fmt": "kafka", "bootstrap_servers": args.kafka, "topic": args.topic}
+        publish_from_csv(spark, args.csv, fraction=args.fraction, seed=args.seed, multiline=args.multiline, **sink)
+    elif args.step == "bronze":
         run_bronze(_messages(spark, args), layout.bronze, layout.checkpoint("bronze"),
                    lenient_ints=args.lenient_ints)
     elif args.step == "silver":
-        if args.silver_mode == "stream":
-            run_incremental_silver(spark, layout.bronze, layout.silver, layout.checkpoint("silver"))
-        elif args.silver_mode == "state":
-            run_state_silver(spark, layout.bronze, layout.silver, layout.checkpoint("silver"))
-        else:
-            report: dict[str, int] = {}
-            refine_batch(spark, layout.bronze, layout.silver, args.silver_mode, report=report)
-            out.update(report)
+        out.update(run_silver(spark, layout, args.silver_mode, args.max_files_per_trigger))
     elif args.step == "gold":
         url, props = _jdbc(args)
         out.update(run_gold(spark, layout, url, props))
     elif args.step == "run":
         url, props = _jdbc(args)
-        out.update(run_pipeline(spark, _messages(spark, args), layout, args.silver_mode, url, props))
+        out.update(run_pipeline(spark, _messages(spark, args), layout, args.silver_mode, url, props,
+                                args.lenient_ints, args.max_files_per_trigger))
     elif args.step == "sql":
         if not args.statement:
             raise SystemExit("give the SQL text")
         register({name: spark.read.parquet(f"{layout.gold}/{name}") for name in MART_TABLES})
-        df, err = preview(spark, args.statement, n=20)
-        if err:
-            out["error"] = err
-        else:
-            rows = [r.asDict() for r in df.collect()]  # at most 20 rows
-            out["total_rows"] = rows[0]["total_rows"] if rows else 0
-            out["rows"] = [{k: v for k, v in r.items() if k != "total_rows"} for r in rows]
+        rows, total, error = execute_sql(spark, args.statement, n=20)
+        out.update({"error": error} if error else {"total_rows": total, "rows": rows})
     print(json.dumps(out, default=str))
     return out
 

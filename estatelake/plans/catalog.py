@@ -19,10 +19,11 @@ from estatelake.operators import messages
 from estatelake.operators.refine import deduplicate, drop_incomplete, normalize_types, refine
 from estatelake.operators.sample import exact_sample
 from estatelake.plans import sqlapi
-from estatelake.plans.pipeline import Layout, run_pipeline
-from estatelake.schemas import DEDUP_KEY
+from estatelake.plans.feed import publish_from_csv
+from estatelake.plans.pipeline import Layout, run_pipeline, run_silver
+from estatelake.schemas import DEDUP_KEY, MART_TABLES
 from estatelake.session import scratch_path
-from estatelake.sinks.parquet import append_partitioned
+from estatelake.sinks.parquet import append_partitioned, overwrite
 from estatelake.sources.files import read_bronze, read_csv, read_silver
 from estatelake.sources.listings import as_bronze, bronze_listings, listings, read_table
 from estatelake.sources.messages import file_messages
@@ -68,22 +69,43 @@ def marts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return M.build_marts(silver(spark, sf_dir))
 
 
-def _with_marts(spark: SparkSession, sf_dir: str) -> None:
-    """Register the three marts (and silver) under the dashboard's table names."""
-    s = silver(spark, sf_dir)
-    tables = M.build_marts(s)
-    tables["silver_listings"] = s
+def _with_marts(spark: SparkSession, sf_dir: str, *names: str) -> None:
+    """Store the named marts (or silver) and register them under the dashboard's table names.
+
+    The panels and SQL read what a pipeline run has stored; nothing is derived again per panel.
+    """
+    root = scratch_path(spark, "marts")
+    refined = silver(spark, sf_dir)
+    tables: dict[str, DataFrame] = {}
+    for name in names:
+        path = f"{root}/{name}"
+        if name == "silver_listings":
+            append_partitioned(refined, path)
+            tables[name] = read_silver(spark, path)
+        else:
+            overwrite(M.build_marts(refined)[name], path)
+            tables[name] = spark.read.schema(MART_TABLES[name]).parquet(path)
     sqlapi.register(tables)
 
 
-def _sql(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
-    _with_marts(spark, sf_dir)
+def _sql(spark: SparkSession, sf_dir: str, sql: str, *names: str) -> DataFrame:
+    _with_marts(spark, sf_dir, *names)
     df, err = sqlapi.run_sql(spark, sql)
     if err:
         raise RuntimeError(err)
     return df
 
 
+def as_text(df: DataFrame, *columns: str) -> DataFrame:
+    """Times as text: the fixture has the years 1 and 9999, which not every reader of results holds."""
+    return df.withColumns({c: F.col(c).cast("string") for c in columns})
+
+
+def shown(df: DataFrame, *columns: str) -> DataFrame:
+    """NaN as -1: not every reader of results tells it from NULL."""
+    return df.withColumns({c: F.nanvl(c, F.lit(-1.0)) for c in columns})
+
+
 # ---- bronze ----------------------------------------------------------------------
 
 def q_bronze_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -151,28 +173,45 @@ def q_bronze_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """CSV written and read back with the table's declared schema."""
+    """CSV in another column order, with doubled quotes and line breaks in fields, read by its declared schema."""
     part = read_table(spark, sf_dir, "part")
     path = scratch_path(spark, "csv_scan")
-    part.write.option("header", "true").csv(path)
-    return read_csv(spark, path, part.schema)
+    said = F.concat(F.lit('say "'), "p_name", F.lit('", twice\n'), "p_name")
+    shuffled = part.withColumn("p_name", said).select(*reversed(part.columns))
+    shuffled.write.options(header="true", escape='"').csv(path)
+    return read_csv(spark, path, part.schema, multiline=True)
+
+
+def q_feed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed step over a listing CSV, with all rows sent."""
+    root = scratch_path(spark, "feed")
+    sent = listings(spark, sf_dir)
+    sent.write.options(header="true", escape='"').csv(f"{root}/csv")
+    publish_from_csv(spark, f"{root}/csv", fraction=1.0, fmt="text", path=f"{root}/inbox")
+    received = spark.read.text(f"{root}/inbox")
+    return messages.parse(received, time_col=None).select(*LISTING_COLUMNS)
 
 
 def q_sample_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Exact 10 % sample of lineitem (size checked; membership is random)."""
+    """Exact 10 % sample of lineitem: its size, its distinct keys, and those that the table holds."""
     li = read_table(spark, sf_dir, "lineitem")
-    sampled = exact_sample(li, 0.1, key=["l_orderkey", "l_linenumber"], seed=42)
+    key = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"]
+    listed = ", ".join(key)
+    sampled = exact_sample(li, 0.1, key=key, seed=42)
     return spark.sql(
-        "SELECT (SELECT count(*) FROM {s}) AS sampled_rows, (SELECT count(*) FROM {t}) AS total_rows",
-        s=sampled,
-        t=li,
+        "SELECT (SELECT count(*) FROM {s}) AS sampled_rows, "
+        f"(SELECT count(DISTINCT {listed}) FROM {{s}}) AS distinct_keys, "
+        f"(SELECT count(*) FROM {{s}} LEFT SEMI JOIN {{t}} USING ({listed})) AS known_keys, "
+        "(SELECT count(*) FROM {t}) AS total_rows",
+        s=sampled.select(*key),
+        t=li.select(*key),
     )
 
 
 # ---- silver ----------------------------------------------------------------------
 
 def q_silver_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return deduplicate(listings(spark, sf_dir), DEDUP_KEY).select(*DEDUP_KEY)
+    return shown(deduplicate(listings(spark, sf_dir), DEDUP_KEY).select(*DEDUP_KEY), "price", "area")
 
 
 def q_silver_dropna(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -181,26 +220,28 @@ def q_silver_dropna(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_silver_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     recs = listings(spark, sf_dir).withColumn("published_text", F.col("published_at"))
-    return normalize_types(recs).select(
+    out = normalize_types(recs).select(
         "price", "area", "rooms", "floor", "total_floors", "published_text", "published_at"
     )
+    return as_text(shown(out, "price", "area"), "published_at")
 
 
 def q_silver_price_per_sqm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return listings(spark, sf_dir).select(
+    out = listings(spark, sf_dir).select(
         "price", "area", round2(safe_ratio("price", "area")).alias("price_per_sqm")
     )
+    return shown(out, "price", "area", "price_per_sqm")
 
 
 def q_silver_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver(spark, sf_dir).select(*SILVER_COLUMNS)
+    return as_text(silver(spark, sf_dir).select(*SILVER_COLUMNS), "published_at")
 
 
 def q_silver_partition_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver written partitioned by district and read back with its schema."""
     path = scratch_path(spark, "silver_roundtrip")
     append_partitioned(silver(spark, sf_dir), path)
-    return read_silver(spark, path).select(*SILVER_COLUMNS)
+    return as_text(read_silver(spark, path).select(*SILVER_COLUMNS), "published_at")
 
 
 def q_silver_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -213,9 +254,10 @@ def q_silver_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
             spark, f"{root}/bronze", f"{root}/silver", f"{root}/_ck_silver",
             order_by=["rooms", "floor", "total_floors", "building_type"],
         )
-    return read_silver(spark, f"{root}/silver").select(
+    out = read_silver(spark, f"{root}/silver").select(
         "district", "address", "price", "area", "published_at", "price_per_sqm"
     )
+    return as_text(out, "published_at")
 
 
 def q_silver_incremental_state(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -225,9 +267,10 @@ def q_silver_incremental_state(spark: SparkSession, sf_dir: str) -> DataFrame:
         _deliver(spark, sf_dir, f"{root}/inbox", run)
         run_bronze(file_messages(spark, f"{root}/inbox"), f"{root}/bronze", f"{root}/_ck_bronze")
         run_state_silver(spark, f"{root}/bronze", f"{root}/silver", f"{root}/_ck_silver")
-    return read_silver(spark, f"{root}/silver").select(
+    out = read_silver(spark, f"{root}/silver").select(
         "district", "address", "price", "area", "published_at", "price_per_sqm"
     )
+    return as_text(out, "published_at")
 
 
 def q_silver_reappend(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -252,7 +295,7 @@ def q_gold_district(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_gold_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return M.mart_by_day(silver(spark, sf_dir))
+    return as_text(M.mart_by_day(silver(spark, sf_dir)), "listing_date")
 
 
 def q_gold_rooms(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -275,38 +318,38 @@ def q_gold_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- dashboard and SQL surface ---------------------------------------------------------
 
 def q_dash_top_districts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _sql(spark, sf_dir, sqlapi.DASH_TOP_DISTRICTS)
+    return _sql(spark, sf_dir, sqlapi.DASH_TOP_DISTRICTS, "mart_avg_price_by_district")
 
 
 def q_dash_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _sql(spark, sf_dir, sqlapi.DASH_DAILY)
+    return as_text(_sql(spark, sf_dir, sqlapi.DASH_DAILY, "mart_listings_by_day"), "listing_date")
 
 
 def q_dash_rooms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _sql(spark, sf_dir, sqlapi.DASH_ROOMS)
+    return _sql(spark, sf_dir, sqlapi.DASH_ROOMS, "mart_avg_price_by_rooms")
 
 
 def q_sql_top5_sqm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _sql(spark, sf_dir, sqlapi.TOP5_PRICE_PER_SQM)
+    return _sql(spark, sf_dir, sqlapi.TOP5_PRICE_PER_SQM, "mart_avg_price_by_district")
 
 
 def q_sql_day_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _with_marts(spark, sf_dir)
-    return sqlapi.day_count(spark)
+    _with_marts(spark, sf_dir, "mart_listings_by_day")
+    return as_text(sqlapi.day_count(spark), "listing_date")
 
 
 def q_sql_two_room(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _sql(spark, sf_dir, sqlapi.TWO_ROOM_BY_DISTRICT)
+    return _sql(spark, sf_dir, sqlapi.TWO_ROOM_BY_DISTRICT, "silver_listings")
 
 
 def q_sql_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _with_marts(spark, sf_dir)
+    _with_marts(spark, sf_dir, "mart_listings_by_day")
     df, err = sqlapi.preview(
-        spark, "SELECT * FROM mart_listings_by_day ORDER BY listing_date ASC NULLS LAST"
+        spark, "SELECT * FROM mart_listings_by_day ORDER BY listing_date ASC NULLS LAST -- by day"
     )
     if err:
         raise RuntimeError(err)
-    return df
+    return as_text(df, "listing_date")
 
 
 # ---- text ------------------------------------------------------------------------
@@ -333,22 +376,11 @@ def q_strip_fences(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- pipeline metrics --------------------------------------------------------------
 
 def q_stage_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Row counts at bronze, after dedup and after the null filter, in one shuffle.
-
-    The dedup groups carry their raw row count; since price and area are dedup
-    keys, the null filter is a predicate on the groups, so all three counts come
-    from one aggregate over the groups.
-    """
-    groups = listings(spark, sf_dir).groupBy(*DEDUP_KEY).agg(F.count(F.lit(1)).alias("n"))
-    valid = (
-        F.col("price").isNotNull() & ~F.isnan("price")
-        & F.col("area").isNotNull() & ~F.isnan("area")
-    )
-    return groups.agg(
-        F.sum("n").cast("long").alias("bronze_rows"),
-        F.count(F.lit(1)).alias("dedup_rows"),
-        F.count_if(valid).alias("silver_rows"),
-    )
+    """The counts that a silver run reports of its own stages, one row for each."""
+    layout = Layout(scratch_path(spark, "stage_metrics"))
+    as_bronze(listings(spark, sf_dir)).drop("src_id", "src_line", "copy_no").write.parquet(layout.bronze)
+    report = run_silver(spark, layout)
+    return spark.createDataFrame(sorted(report.items()), "stage string, row_count long")
 
 
 QUERIES: dict[str, Query] = {
@@ -358,6 +390,7 @@ QUERIES: dict[str, Query] = {
     "bronze_stream": q_bronze_stream,
     "message_encode": q_message_encode,
     "csv_scan": q_csv_scan,
+    "feed_messages": q_feed_messages,
     "sample_exact": q_sample_exact,
     "silver_dedup": q_silver_dedup,
     "silver_dropna": q_silver_dropna,

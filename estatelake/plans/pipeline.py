@@ -39,6 +39,7 @@ class Layout:
         return f"{self.root}/gold"
 
     def checkpoint(self, stage: str) -> str:
+        """Checkpoint of one stage; each streaming silver mode has its own (``silver-stream``, ``silver-state``)."""
         return f"{self.root}/checkpoints/{stage}"
 
 
@@ -77,28 +78,47 @@ def run_gold(
     return counts
 
 
-def run_pipeline(
+def run_silver(
     spark: SparkSession,
-    messages: DataFrame,
     layout: Layout,
-    silver_mode: str = "stream",
-    jdbc_url: str | None = None,
-    jdbc_properties: dict[str, str] | None = None,
+    mode: str = "stream",
+    max_files_per_trigger: int | None = None,
 ) -> dict[str, int]:
-    """One scheduled run: ingest → refine → marts.  Returns stage row counts.
+    """One silver run; returns the counts of its stages.
 
-    ``silver_mode``: ``"stream"`` (incremental with an anti join against silver,
+    ``mode``: ``"stream"`` (incremental with an anti join against silver,
     each key once), ``"state"`` (incremental with the seen keys in the streaming
     state store), ``"new_only"`` (batch, same result as ``"stream"``) or
-    ``"reappend"`` (the reference's behaviour).
+    ``"reappend"`` (the reference's behaviour).  Counts: rows read from bronze, left
+    by the dedup, left by the null filter, appended.  In ``"state"`` mode the null filter
+    comes first, so rows read and rows left by both are what can be told apart.
     """
-    run_bronze(messages, layout.bronze, layout.checkpoint("bronze"))
-    report: dict[str, int] = {}
-    if silver_mode == "stream":
-        run_incremental_silver(spark, layout.bronze, layout.silver, layout.checkpoint("silver"))
-    elif silver_mode == "state":
-        run_state_silver(spark, layout.bronze, layout.silver, layout.checkpoint("silver"))
+    report = {"bronze_rows": 0, "dedup_rows": 0, "valid_rows": 0, "silver_appended": 0}
+    if mode in ("stream", "state"):
+        run = run_incremental_silver if mode == "stream" else run_state_silver
+        query = run(
+            spark, layout.bronze, layout.silver, layout.checkpoint(f"silver-{mode}"),
+            max_files_per_trigger=max_files_per_trigger, report=report,
+        )
+        if mode == "state":
+            report["bronze_rows"] = sum(p["numInputRows"] for p in query.recentProgress)
     else:
-        refine_batch(spark, layout.bronze, layout.silver, silver_mode, report=report)
+        refine_batch(spark, layout.bronze, layout.silver, mode, report=report)
+    return report
+
+
+def run_pipeline(
+    spark: SparkSession,
+    messages: DataFrame,
+    layout: Layout,
+    silver_mode: str = "stream",
+    jdbc_url: str | None = None,
+    jdbc_properties: dict[str, str] | None = None,
+    lenient_ints: bool = False,
+    max_files_per_trigger: int | None = None,
+) -> dict[str, int]:
+    """One scheduled run: ingest → refine → marts.  Returns stage row counts."""
+    run_bronze(messages, layout.bronze, layout.checkpoint("bronze"), lenient_ints=lenient_ints)
+    report = run_silver(spark, layout, silver_mode, max_files_per_trigger)
     report.update(run_gold(spark, layout, jdbc_url, jdbc_properties))
     return report

@@ -46,7 +46,7 @@ def run(spark, sf, inject):
     marts = M.build_marts(silver)
     sample = exact_sample(recs, 0.1, ["src_id", "src_line", "copy_no"], seed=3)
     return {
-        "silver": canon(silver),
+        "silver": canon(silver.withColumn("published_at", F.col("published_at").cast("string"))),
         **{k: canon(v) for k, v in marts.items()},
         "sample": canon(sample.select("src_id", "src_line", "copy_no")),
     }

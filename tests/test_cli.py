@@ -22,6 +22,8 @@ def test_steps_in_order_then_sql(spark, scratch):
     assert res["total_rows"] == 6 and [r["rooms"] for r in res["rows"]] == [1, 2, 3, 4, 5, 6]
     bad = cli.main(["sql", "--root", root, "DROP TABLE mart_avg_price_by_rooms"], spark)
     assert "error" in bad
+    late = cli.main(["sql", "--root", root, "SELECT raise_error('late') FROM mart_avg_price_by_rooms"], spark)
+    assert "late" in late["error"]
 
 
 def test_reappend_step_reports_counts(spark, scratch):
@@ -32,3 +34,27 @@ def test_reappend_step_reports_counts(spark, scratch):
     out = cli.main(["silver", "--root", root, "--silver-mode", "reappend"], spark)
     assert out["bronze_rows"] == listings(spark, SF_SMALL).count()
     assert out["silver_appended"] == silver_of(spark, SF_SMALL).count()
+
+
+def test_feed_step_draws_anew(spark, scratch):
+    from estatelake.schemas import LISTING
+
+    root = scratch("cli_feed")
+    rows = [(float(i), 1.0, 1, 1, 1, "A", f"a{i}", "b", "2024-01-01 00:00:00") for i in range(2000)]
+    spark.createDataFrame(rows, LISTING).select(*reversed(LISTING.names)).write.option("header", "true").csv(f"{root}/csv")
+    sent = []
+    for run in (1, 2):
+        cli.main(["feed", "--csv", f"{root}/csv", "--inbox", f"{root}/inbox{run}", "--fraction", "0.1"], spark)
+        sent.append({r["value"] for r in spark.read.text(f"{root}/inbox{run}").selectExpr(
+            "get_json_object(value, '$.address') AS value").collect()})
+        assert 120 < len(sent[-1]) < 290
+    assert sent[0] != sent[1]
+
+
+def test_settings_come_from_arguments():
+    args = cli._parser().parse_args(["run", "--root", "/r", "--input-bytes", str(2**40), "--cores", "100",
+                                     "--s3-endpoint", "http://s:9000", "--s3-access-key", "k", "--s3-secret-key", "s"])
+    conf = cli._conf(args)
+    assert conf["spark.sql.shuffle.partitions"] == "4096"
+    assert conf["spark.hadoop.fs.s3a.endpoint"] == "http://s:9000"
+    assert "RocksDB" in conf["spark.sql.streaming.stateStore.providerClass"]
