@@ -29,7 +29,7 @@ from estatelake.llm.shared import cut_lineage
 
 SIZE = 2048
 END = 0  # the id that ends a document
-SALT_ROWS = 50_000
+SALT_ROWS = 5_000
 PLAIN = 0x250  # below it both tokenizer libraries class characters alike (tested one by one)
 RUN = 4_000  # longer unbroken runs go to the library that merges them in n log n
 
@@ -45,7 +45,7 @@ def encoder(path: str):
     import tiktoken
     from tokenizers import Tokenizer
 
-    exact = Tokenizer.from_file(path)
+    exact: list[Tokenizer] = []  # loaded when first needed
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
     special = {t["content"]: t["id"] for t in spec["added_tokens"]}
@@ -62,7 +62,9 @@ def encoder(path: str):
         plain = text.isascii() or ord(max(text)) < PLAIN
         if plain and not (len(text) > RUN and long_run.search(text)) and not any(s in text for s in special):
             return fast.encode_to_numpy(text, disallowed_special=()).astype(np.uint32)
-        return np.array(exact.encode(text, add_special_tokens=False).ids, np.uint32)
+        if not exact:
+            exact.append(Tokenizer.from_file(path))
+        return np.array(exact[0].encode(text, add_special_tokens=False).ids, np.uint32)
 
     return encode
 
