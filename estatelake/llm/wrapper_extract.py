@@ -33,6 +33,7 @@ from estatelake.llm.url_filter import host_and_path
 GROUP = 64
 WITNESSES = 5
 CONSTANT = 0.9
+DEPTH = 100  # elements nested deeper are read as if they were their parent's
 CELLS = 1_000_000  # larger child lists are matched in order of their tags
 
 # Names from the HTML standard.
@@ -95,7 +96,7 @@ def named_junk(tag: str, attributes: str, in_article: bool) -> bool:
 def parse(page: str) -> Node:
     """The tree of a page's blocks; all text is in leaves."""
     root = Node("html")
-    stack, said, link, linked = [root], [], False, 0
+    stack, said, link, linked, deeper = [root], [], False, 0, 0
 
     def text_ends() -> None:
         nonlocal said, linked
@@ -134,6 +135,9 @@ def parse(page: str) -> Node:
                 link = False
             elif tag in ("td", "th"):
                 said.append(" ")
+            elif deeper and (tag in BLOCKS or tag in JUNK_TAGS):
+                deeper -= 1
+                text_ends()
             elif any(n.tag == tag for n in stack[1:]):
                 while stack[-1].tag != tag:
                     pop()
@@ -158,6 +162,8 @@ def parse(page: str) -> Node:
             if tag in RAW:  # no markup inside
                 stop = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
                 at = stop.end() if stop else end
+            elif tag not in VOID and not attributes.endswith("/") and len(stack) > DEPTH:
+                deeper += 1
             elif tag not in VOID and not attributes.endswith("/"):
                 node = Node(tag, junk)
                 stack[-1].children.append(node)

@@ -97,28 +97,81 @@ def classes(nodes, linked):
 
 
 def near_copies(docs):
-    """{id: (fingerprint, component)}"""
-    fps = {d: simhash(t) for d, t in docs}
-    first = {}
-    for d in sorted(fps):
-        first.setdefault(fps[d], d)
-    cls = classes(first.values(), lambda a, b: (fps[a] ^ fps[b]).bit_count() <= 3)
-    return {d: (f"{f:016x}", cls[first[f]]) for d, f in fps.items()}
+    """[(fingerprint, component)] row by row; a component is named by its least id, None if no row has one."""
+    fps = [simhash(t) for _, t in docs]
+    cls = classes(set(fps), lambda a, b: (a ^ b).bit_count() <= 3)
+    least = {}
+    for (d, _), f in zip(docs, fps, strict=True):
+        if d is not None:
+            least[cls[f]] = min(d, least.get(cls[f], d))
+    return [(f"{f:016x}", least.get(cls[f])) for f in fps]
 
 
 def remove_repeats(docs, length=100):
-    """{id: (n_bytes, n_removed, n_spans, sha256 of what is left)}"""
-    texts = sorted((d, (t or "").encode()) for d, t in docs)
-    seen, out = set(), {}
+    """[(n_bytes, n_removed, n_spans, bytes left)] row by row; a null id is smaller than all others."""
+    texts = [(-(1 << 63) if d is None else d, (t or "").encode()) for d, t in docs]
+    first = {}
     for d, t in texts:
-        gone = bytearray(len(t))
         for i in range(len(t) - length + 1):
             s = t[i : i + length]
-            if s in seen:
+            first[s] = min((d, i), first.get(s, (d, i)))
+    out = []
+    for d, t in texts:
+        gone = bytearray(len(t))
+        for i in range(len(t) - length + 1):
+            if (d, i) > first[t[i : i + length]]:
                 gone[i : i + length] = b"\1" * length
-            else:
-                seen.add(s)
-        left = bytes(c for c, g in zip(t, gone) if not g)
+        left = bytes(c for c, g in zip(t, gone, strict=True) if not g)
         runs = sum(g and not (i and gone[i - 1]) for i, g in enumerate(gone))
-        out[d] = (len(t), sum(gone), runs, hashlib.sha256(left).hexdigest())
+        out.append((len(t), sum(gone), runs, left))
     return out
+
+
+def pieces(docs, size=2048):
+    """Counter of (id, piece, start, length, crc) by the tokenizer library itself."""
+    import zlib
+    from collections import Counter
+
+    import numpy as np
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    out = Counter()
+    for d, text in docs:
+        ids = t.encode(text or "", add_special_tokens=False).ids + [0]
+        cut = [0]
+        if len(ids) > size and len(ids) % size:
+            cut.append(len(ids) % size)
+        while cut[-1] < len(ids):
+            cut.append(min(len(ids), cut[-1] + size))
+        for i, (a, b) in enumerate(zip(cut, cut[1:], strict=False)):
+            out[d, i, a, b - a, zlib.crc32(np.array(ids[a:b], "<u4").tobytes())] += 1
+    return out
+
+
+def vector_links(rows, cosine=0.9):
+    """[(n_links, component)] row by row for (id, vector)."""
+    import numpy as np
+
+    units = []
+    for d, v in rows:
+        a = np.array([np.nan if x is None else x for x in v] if v else [np.nan], float)
+        fine = d is not None and np.isfinite(a).all() and (a != 0).any()
+        if fine:
+            a = a / np.abs(a).max()
+            a = a / np.sqrt((a * a).sum())
+        units.append(a if fine else None)
+
+    def linked(i, j):
+        a, b = units[i], units[j]
+        return a is not None and b is not None and len(a) == len(b) and float(a @ b) >= cosine
+
+    n = range(len(rows))
+    cls = classes(n, linked)
+    least = {}
+    for i in n:
+        d = rows[i][0]
+        if d is not None:
+            least[cls[i]] = min(d, least.get(cls[i], d))
+    return [(sum(j != i and linked(i, j) for j in n), least.get(cls[i])) for i in n]

@@ -1,0 +1,90 @@
+"""Lattice hashing: nearest points, recall at the threshold, links and components against all pairs."""
+
+from __future__ import annotations
+
+import itertools
+
+import numpy as np
+
+from estatelake.llm import lattice_neardup as S
+from tests.llm import brute
+from tests.llm.conftest import as_rows, clashing, expected
+
+
+def test_decode_is_the_nearest_point():
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(300, 8)) * 1.5
+    points = S.decode(x)
+    whole = (points == np.rint(points)).all(axis=1)
+    half = (points - 0.5 == np.rint(points - 0.5)).all(axis=1)
+    assert (whole | half).all() and (np.rint(points.sum(axis=1)) % 2 == 0).all()
+    # No lattice neighbour is nearer: the 240 shortest vectors bound a point's cell.
+    roots = S.roots()
+    assert roots.shape == (240, 8) and np.allclose((roots**2).sum(axis=1), 2)
+    own = ((x - points) ** 2).sum(axis=1)
+    assert (((x[:, None] - points[:, None] - roots) ** 2).sum(axis=2) >= own[:, None] - 1e-9).all()
+
+
+def pairs_at(cosine, n, rng):
+    a = rng.normal(size=(n, 64))
+    a /= np.linalg.norm(a, axis=1)[:, None]
+    w = rng.normal(size=(n, 64))
+    w -= (w * a).sum(axis=1)[:, None] * a
+    w /= np.linalg.norm(w, axis=1)[:, None]
+    return a, cosine * a + np.sqrt(1 - cosine**2) * w
+
+
+def test_recall_of_the_default_tables():
+    rng = np.random.default_rng(2)
+    for cosine, least in ((0.9, 0.95), (0.95, 0.995), (0.99, 0.9999)):
+        a, b = pairs_at(cosine, 3000, rng)
+        met = np.zeros(3000, bool)
+        for (_, x), (_, y) in zip(S.cells(a, S.TABLES, S.PROBES, S.SCALE), S.cells(b, S.TABLES, S.PROBES, S.SCALE), strict=True):
+            met |= (x == y[:, :1]).any(axis=1) | (y == x[:, :1]).any(axis=1)
+        assert met.mean() >= least, (cosine, met.mean())
+
+
+def hard_vectors():
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.normal(size=16).tolist()) for i in range(60)]
+    for i in range(40):  # chains of near vectors
+        rows.append((100 + i, (np.array(rows[i % 5][1] if i < 5 else rows[-5][1]) + rng.normal(size=16) * 0.12).tolist()))
+    rows += [(200 + i, rows[7][1]) for i in range(4)] + [(7, rows[7][1])]  # copies, one with a repeated id
+    rows += [(300, None), (301, []), (302, [0.0] * 16), (303, [1.0] * 15 + [None]), (304, [1.0] * 15 + [float("nan")])]
+    rows += [(305, [float("inf")] + [0.0] * 15), (306, [1e300] * 16), (307, [1e-300] * 16), (308, [1.0] * 16), (309, [1.0] * 8), (310, [2.0] * 8)]
+    rows += [(311, [-0.0] + [1.0] * 15), (312, [0.0] + [1.0] * 15), (None, rows[7][1]), (None, None), (-5, [-1.0] * 16)]
+    return rows
+
+
+def test_matches_all_pairs(spark):
+    rows = hard_vectors()
+    want = expected([(d, *x) for (d, _), x in zip(rows, brute.vector_links(rows), strict=True)])
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    for cell, frame in ((S.CELL, df), (2, clashing(df))):
+        before = S.candidates.__defaults__
+        S.candidates.__defaults__ = (cell,)
+        try:
+            out, links = S.near_vectors(frame)
+            assert as_rows(out, "id", "n_links", "component") == want
+            assert all(r["cosine"] >= 0.9 for r in links.collect())
+        finally:
+            S.candidates.__defaults__ = before
+
+
+def test_empty_table(spark):
+    out, links = S.near_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>"))
+    assert out.count() == 0 and links.count() == 0
+
+
+def test_close_pairs_lose_nothing():
+    """The comparison of rounded vectors keeps each pair at or above the threshold."""
+    rng = np.random.default_rng(4)
+    base = rng.normal(size=(6, 32))
+    units = np.concatenate([base + rng.normal(size=(6, 32)) * s for s in (0.0, 0.1, 0.25, 0.3, 0.4)])
+    units /= np.linalg.norm(units, axis=1)[:, None]
+    codes = np.rint(units * 127).astype(np.int8)
+    errors = np.linalg.norm(units - codes / 127, axis=1).astype(np.float32)
+    n = len(units)
+    found = S.close_pairs(np.zeros(n, int), np.ones(n, bool), np.ones(n, bool), np.arange(n), [c.tobytes() for c in codes], errors, 0.9)
+    near = {(i, j) for i, j in itertools.combinations(range(n), 2) if units[i] @ units[j] >= 0.9}
+    assert near <= {tuple(p) for p in found.tolist()}

@@ -1,0 +1,92 @@
+"""The corpus pipeline, stage by stage, against the plain versions of its operators."""
+
+from __future__ import annotations
+
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline as P
+from estatelake.llm import language_bloom as L
+from tests.llm import brute
+from tests.llm.test_slack_packing import check_places
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+@pytest.fixture(scope="module")
+def folder(spark, hard, tmp_path_factory):
+    """Tables with hard rows beside the driver's."""
+    from tests.conftest import SF_SMALL
+
+    root = str(tmp_path_factory.mktemp("sf"))
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    own = spark.createDataFrame([(None if d is None else 10**6 + d, t, None, None, len(t or "")) for d, t in hard[0]], docs.schema)
+    docs.unionByName(own).repartition(3).write.parquet(f"{root}/documents.parquet")
+    items = spark.read.parquet(f"{SF_SMALL}/benchmark.parquet")
+    items.unionByName(spark.createDataFrame([(10**6 + i, t) for i, t in hard[1]], items.schema)).write.parquet(f"{root}/benchmark.parquet")
+    return root
+
+
+def rows_of(df):
+    assert df.columns == COLUMNS
+    return [(r["doc_id"], r["text"]) for r in df.collect()]
+
+
+def test_stages(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{folder}/benchmark.parquet").collect()]
+    stages = dict(P.STAGES)
+
+    known = P.language_stage(spark, docs, folder)
+    first = rows_of(known)
+    kept = Counter(r["id"] for r in L.identify(docs).where((F.col("lang") != L.UNKNOWN) & (F.col("score") >= P.LEAST_SCORE)).collect())
+    assert Counter(d for d, _ in first) == kept and all(any(map(str.isalpha, t)) for _, t in first)
+
+    second = rows_of(P.near_dedup_stage(spark, known, folder))
+    prints = {t: brute.simhash(t) for _, t in first}
+    cls = brute.classes(set(prints.values()), lambda a, b: (a ^ b).bit_count() <= 3)
+    least = {}
+    for d, t in first:
+        if d is not None:
+            least[cls[prints[t]]] = min(d, least.get(cls[prints[t]], d))
+    assert Counter(cls[prints[t]] for _, t in second) == Counter(dict.fromkeys(cls.values(), 1))
+    assert all(d == least.get(cls[prints[t]]) for d, t in second)
+
+    table = spark.createDataFrame([(d, t, None, None, len(t)) for d, t in second], docs.schema)
+    third_df = P.suffix_dedup_stage(spark, table, folder)
+    third = rows_of(third_df)
+    want = Counter()
+    for (d, t), (_, gone, _, left) in zip(second, brute.remove_repeats(second), strict=True):
+        text = left.decode("utf-8", "ignore") if gone else t
+        if not gone or text.strip(" "):
+            want[d, text] += 1
+    assert Counter(third) == want
+    assert all(r["n_chars"] == len(r["text"]) for r in third_df.collect())
+
+    table = spark.createDataFrame([(d, t, None, None, len(t)) for d, t in third], docs.schema)
+    fourth = rows_of(P.decontamination_stage(spark, table, folder))
+    assert Counter(fourth) == Counter((d, t) for d, t in third if not brute.decontaminate([(d, t)], items)[d][4])
+
+    table = spark.createDataFrame([(d, t, None, None, len(t)) for d, t in fourth], docs.schema)
+    packed = P.packing_stage(spark, table, folder).withColumnRenamed("sequence_id", "sequence").collect()
+    assert Counter((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in packed) == brute.pieces(fourth)
+    check_places(packed)
+    assert [*stages] == ["language_id", "simhash_near_dedup", "suffix_array_dedup", "benchmark_decontamination", "best_fit_packing"]
+
+
+def test_run_is_the_stages_in_order(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    for _, stage in P.STAGES:
+        docs = stage(spark, docs, folder)
+    columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
+    got = P.run(spark, folder)
+    assert got.columns == [*columns, "sequence_id", "offset"]
+    assert Counter(map(tuple, got.select(columns).collect())) == Counter(map(tuple, docs.select(columns).collect()))
+
+
+def test_empty_documents(spark, tmp_path):
+    for name, schema in (("documents", "doc_id long, text string, lang string, source string, n_chars long"), ("benchmark", "item_id long, text string")):
+        spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    assert P.run(spark, str(tmp_path)).count() == 0

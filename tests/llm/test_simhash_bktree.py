@@ -1,0 +1,89 @@
+"""SimHash near-duplicates: fingerprints bit by bit, components against all pairs."""
+
+from __future__ import annotations
+
+import random
+
+import numpy as np
+import pytest
+
+from estatelake.llm import simhash_bktree as S
+from tests.llm import brute
+from tests.llm.conftest import as_rows, clashing, expected
+
+
+def test_fingerprints(hard):
+    for _, text in hard[0]:
+        assert S.fingerprint(text.encode() if text is not None else None) == brute.simhash(text)
+
+
+def test_matches_all_pairs(hard, documents):
+    want = expected([(d, *x) for (d, _), x in zip(hard[0], brute.near_copies(hard[0]), strict=True)])
+    for df in (documents, clashing(documents).repartition(2)):
+        out = S.near_duplicates(df)
+        assert as_rows(out.selectExpr("doc", "lower(lpad(hex(fp), 16, '0')) AS f", "component"), "*") == want
+
+
+def test_one_of_each_group_stays(hard, documents):
+    out = S.one_of_each(documents)
+    assert out.columns == documents.columns
+    classes = {}
+    for (d, t), (f, c) in zip(hard[0], brute.near_copies(hard[0]), strict=True):
+        classes.setdefault(c if c is not None else f, set()).add((d, t))
+    kept = [(r["doc_id"], r["text"]) for r in out.collect()]
+    own = {row: name for name, rows in classes.items() for row in rows}
+    # Two texts that repeat an id may each name a class of their own by it.
+    linked = {}
+    for (d, t), (f, _) in zip(hard[0], brute.near_copies(hard[0]), strict=True):
+        linked[d, t] = int(f, 16)
+    groups = brute.classes(set(linked.values()), lambda a, b: (a ^ b).bit_count() <= 3)
+    assert sorted(groups[linked[r]] for r in kept) == sorted(set(groups.values()))
+    assert all(r in own for r in kept)
+
+
+def test_empty_table(no_documents):
+    assert S.near_duplicates(no_documents).count() == 0
+    assert S.one_of_each(no_documents).count() == 0
+
+
+def planted(rng, n):
+    """Fingerprints in chains and balls of near ones, and random ones."""
+    fps = {rng.getrandbits(64) for _ in range(n)}
+    for center in list(fps)[: n // 10]:
+        f = center
+        for _ in range(8):
+            for _ in range(rng.randint(1, 4)):
+                f ^= 1 << rng.randrange(64)
+            fps.add(f)
+    return sorted(fps)
+
+
+@pytest.mark.parametrize("shard", [20_000, 3])
+def test_links_keep_components(spark, shard):
+    """With a bound of 3 a shard, shards are split twice; no component is lost."""
+    fps = planted(random.Random(5), 150)
+    rows = spark.createDataFrame([(int(np.uint64(f).view(np.int64)),) for f in fps], "fp long")
+    before = S.shards_of.__defaults__
+    S.shards_of.__defaults__ = (shard,)
+    try:
+        links = [(int(np.int64(r["a"]).view(np.uint64)), int(np.int64(r["b"]).view(np.uint64))) for r in S.near_links(rows).collect()]
+    finally:
+        S.shards_of.__defaults__ = before
+    assert all((a ^ b).bit_count() <= 64 for a, b in links)
+    linked = {frozenset(x) for x in links}
+    assert brute.classes(fps, lambda a, b: frozenset((a, b)) in linked) == brute.classes(fps, lambda a, b: (a ^ b).bit_count() <= 3)
+
+
+def test_forest_against_all_pairs():
+    rng = random.Random(9)
+    shards = [planted(rng, n) for n in (1, 2, 30, 120)]
+    shard = np.repeat(np.arange(4), [len(s) for s in shards])
+    fps = np.array([f for s in shards for f in s], np.uint64)
+    a, b = S.bk_forest(shard, fps)
+    linked = {frozenset((int(x), int(y))) for x, y in zip(a, b, strict=True)}
+    at = 0
+    for s in shards:
+        members = list(range(at, at + len(s)))
+        want = brute.classes(members, lambda i, j: (int(fps[i]) ^ int(fps[j])).bit_count() <= 3)
+        assert brute.classes(members, lambda i, j: frozenset((i, j)) in linked) == want
+        at += len(s)
