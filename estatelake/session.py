@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import os
+import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -99,6 +102,23 @@ def clean_scratch(spark: SparkSession) -> None:
         delete(spark, _scratch.pop())
 
 
+# Applications that have been given the package.
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give executors this package, for functions that run there in Python (as ``--py-files`` would)."""
+    if spark.sparkContext.applicationId in _shipped:
+        return
+    here = Path(__file__).resolve().parent
+    made = Path(tempfile.mkdtemp(prefix="estatelake-package-")) / "estatelake.zip"
+    with zipfile.ZipFile(made, "w") as out:
+        for source in sorted(here.rglob("*.py")):
+            out.write(source, source.relative_to(here.parent))
+    spark.sparkContext.addPyFile(str(made))
+    _shipped.add(spark.sparkContext.applicationId)
+
+
 def object_store_conf(
     endpoint: str,
     access_key: str,
