@@ -70,28 +70,36 @@ def _existing_keys(spark: SparkSession, silver_path: str) -> DataFrame | None:
     return spark.read.schema(", ".join([f"{k} long" for k in KEY_HASH] + fields)).parquet(silver_path)
 
 
-def only_new(rows: DataFrame, silver: DataFrame | None, reach_from: DataFrame | None = None) -> DataFrame:
+def only_new(rows: DataFrame, silver: DataFrame | None, raw: DataFrame | None = None) -> DataFrame:
     """Rows whose key hash silver does not hold.
 
     Silver is cut to rows that can match at all: the districts of the batch (a semi-join
-    on the partition column) and the range of its ``published_at``, one row of three values, or
-    NULL; the range is a filter pushed to the Parquet scan.  ``reach_from`` holds
-    the batch's normalised districts and parsed dates before dedup (default: ``rows``).
+    on the partition column) and the range of its ``published_at``, read as one row, or
+    NULL; the range is a filter pushed to the Parquet scan.  ``raw`` holds the batch as it came, before
+    dedup and types (default: what ``rows`` says).
     """
     if silver is None:
         return rows
-    batch = rows if reach_from is None else reach_from
-    lo, hi, has_null = batch.agg(
-        F.min(F.unix_micros("published_at")), F.max(F.unix_micros("published_at")), F.bool_or(F.col("published_at").isNull())
+    batch = rows if raw is None else normalize_types(raw)
+    lo, hi, no_date, no_district = batch.agg(
+        F.min(F.unix_micros("published_at")),
+        F.max(F.unix_micros("published_at")),
+        F.bool_or(F.col("published_at").isNull()),
+        F.bool_or(F.col("district").isNull()),
     ).first()
     when = F.lit(False)
     if lo is not None:
         when = F.col("published_at").between(F.timestamp_micros(F.lit(lo)), F.timestamp_micros(F.lit(hi)))
-    if has_null:
+    if no_date:
         when = when | F.col("published_at").isNull()
-    districts = batch.select(F.col("district").alias("_district")).distinct()
-    old = silver.where(when).join(districts, F.col("district").eqNullSafe(F.col("_district")), "left_semi")
-    return rows.join(old.select(*KEY_HASH), KEY_HASH, "left_anti")
+    near = silver.where(when)
+    # Plain equality on the partition column beside a side with a comparison: Spark then prunes the partitions
+    # by the batch's districts as it runs.  ('' and NULL are one partition of silver.)
+    named = (rows if raw is None else raw).select("district").where("district > ''").distinct()
+    old = near.join(named, "district", "left_semi").select(*KEY_HASH)
+    if no_district:
+        old = old.union(near.where("district IS NULL").select(*KEY_HASH))
+    return rows.join(old, KEY_HASH, "left_anti")
 
 
 def _count(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
@@ -138,7 +146,7 @@ def append_new(
     rows = counted(drop_incomplete(counted(rows, "dedup_rows")), "valid_rows")
     rows = derive(normalize_types(rows)).select(*[f.name for f in SILVER.fields], *KEY_HASH)
     if against_silver:
-        rows = only_new(rows, _existing_keys(spark, silver_path), normalize_types(drop_incomplete(batch)))
+        rows = only_new(rows, _existing_keys(spark, silver_path), drop_incomplete(batch))
     append_partitioned(counted(rows, "silver_appended"), silver_path)
     for name, seen in counts.items():
         report[name] = report.get(name, 0) + _observed(seen)

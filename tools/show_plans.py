@@ -21,13 +21,12 @@ sys.path.insert(0, ROOT)
 from pyspark.sql import functions as F  # noqa: E402
 
 from estatelake.operators import marts as M  # noqa: E402
-from estatelake.operators.refine import refine  # noqa: E402
-from estatelake.plans.catalog import QUERIES, silver  # noqa: E402
+from estatelake.operators.refine import normalize_types, refine  # noqa: E402
+from estatelake.plans.catalog import QUERIES  # noqa: E402
 from estatelake.session import build_session, scratch_path  # noqa: E402
-from estatelake.sinks.parquet import append_partitioned  # noqa: E402
 from estatelake.sources.files import read_bronze, read_silver  # noqa: E402
 from estatelake.sources.listings import bronze_listings  # noqa: E402
-from estatelake.streaming.incremental import only_new  # noqa: E402
+from estatelake.streaming.incremental import _existing_keys, append_new, only_new, with_key_hash  # noqa: E402
 
 KEEP = re.compile(r"PushedFilters|ReadSchema|PartitionFilters|Arguments: (hash|range|Single|SinglePartition)|Functions|Keys|Join type|Condition")
 
@@ -52,7 +51,8 @@ def abridged(df) -> str:
 
 # Queries that run several jobs or write files first; their plans are shown in the cases above.
 MULTI_JOB = {"bronze_stream", "silver_incremental", "silver_incremental_state", "silver_reappend",
-             "silver_partition_roundtrip", "csv_scan", "gold_end_to_end", "sample_exact"}
+             "silver_partition_roundtrip", "csv_scan", "feed_messages", "gold_end_to_end", "sample_exact",
+             "stage_metrics"}
 
 
 def shape(df) -> dict[str, str]:
@@ -82,8 +82,8 @@ def main() -> None:
                           extra_conf={"spark.ui.showConsoleProgress": "false"})
     root = scratch_path(spark, "plans")
     bronze_listings(spark, sf).drop("src_id", "src_line", "copy_no").write.parquet(f"{root}/bronze")
-    append_partitioned(silver(spark, sf), f"{root}/silver")
-    fresh = refine(read_bronze(spark, f"{root}/bronze"))
+    append_new(read_bronze(spark, f"{root}/bronze"), f"{root}/silver")
+    fresh = normalize_types(with_key_hash(read_bronze(spark, f"{root}/bronze")))
 
     cases = [
         ("gold_district (adapter → silver → mart)", QUERIES["gold_district"](spark, sf),
@@ -100,16 +100,13 @@ def main() -> None:
         ("silver read for one district", read_silver(spark, f"{root}/silver")
          .where(F.col("district") == "Brand#3").groupBy("rooms").count(),
          "Partition pruning: only the district's folder is listed and read."),
-        ("incremental anti join (batch vs silver)", only_new(fresh, read_silver(spark, f"{root}/silver")),
-         "NULL-safe equality becomes equi-join keys; silver is read with its key columns only, "
-         "pruned to the batch's districts (PartitionFilters) and to the batch's published_at range or "
-         "NULL (PushedFilters, row-group skipping). Catalyst pushes the anti join below the dedup "
-         "aggregate (its keys are grouping keys), so known listings leave before the dedup shuffle; "
-         "the left side is then raw rows, and AQE's skew-join split (which covers the left side of a "
-         "left-anti join) handles a hot key. Silver is broadcast here only because its statistics "
-         "are under the threshold; at scale it is a sort-merge join."),
-        ("stage_metrics", QUERIES["stage_metrics"](spark, sf),
-         "Three stage counts from one grouping of the dedup key."),
+        ("incremental anti join (batch vs silver)", only_new(fresh, _existing_keys(spark, f"{root}/silver"),
+                                                             read_bronze(spark, f"{root}/bronze")),
+         "Anti join on the two halves of the raw-key hash. Silver is read with the hash, the date and the "
+         "partition column only, cut to the batch's districts (a semi-join on the partition column) and to the "
+         "batch's published_at range or NULL (PushedFilters, row-group skipping). A join side is "
+         "broadcast here only because its statistics are under the threshold; at scale it is a sort-merge "
+         "join, whose skewed left side AQE splits."),
         ("dash_top_districts", QUERIES["dash_top_districts"](spark, sf),
          "Top-k as TakeOrderedAndProject over the (small) mart."),
     ]
@@ -118,8 +115,7 @@ def main() -> None:
            "(AQE final plans). Detail lines keep only scan pushdown, exchanges, keys and join types.", ""]
     out += ["## Shuffles per query", "",
             "Every batch query, from its executed plan. *hash*: shuffles on keys (all with a map-side "
-            "partial aggregate, or a join); *small*: the rebalance that spreads a one-row-group input "
-            "(absent when the input has at least as many splits as cores); *single*: final merge of a "
+            "partial aggregate, or a join); *small*: a rebalance before a write; *single*: final merge of a "
             "global aggregate (one row per map task); *bcast*: broadcasts Catalyst chose from "
             "statistics under `autoBroadcastJoinThreshold`; *scans*: table(columns read).", "",
             "| query | hash | small | range | single | bcast | scans |", "|---|---|---|---|---|---|---|"]
