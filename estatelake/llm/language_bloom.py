@@ -30,6 +30,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from estatelake.llm.shared import give_back
+from estatelake.session import ship_package
+
 ORDERS = (3, 4)
 PROBES = 2
 SAMPLE = 2500
@@ -37,7 +40,7 @@ LEAST = 4
 SHARE = 0.1
 SLOTS_PER_GRAM = 12
 UNKNOWN = "und"
-CHUNK = 1 << 21  # characters looked up at once
+CHUNK = 1 << 18  # characters looked up at once; an array of them takes a few MB
 
 # Odd multipliers of the hash, from the fractional part of the golden ratio.
 MIX = [np.uint64(0x9E3779B97F4A7C15 * (2 * i + 1) % 2**64) for i in range(8)]
@@ -114,19 +117,19 @@ class Filter:
         for first, last in blocks(texts):
             points, starts = runs(texts[first:last])
             lengths = np.diff(np.r_[starts, len(points)])
-            owner = np.repeat(np.arange(first, last), lengths)
+            owner = np.repeat(np.arange(last - first), lengths)
             # An n-gram counts if it lies in its text and does not start or end beyond a word's mark.
             left = np.repeat(starts + lengths, lengths) - np.arange(len(points))
             for n, hashes in gram_hashes(points):
                 inside = np.flatnonzero(left[: len(hashes)] >= n)
                 hashes, of = hashes[inside], owner[inside]
-                grams += np.bincount(of, minlength=len(texts))
+                grams[first:last] += np.bincount(of, minlength=last - first)
                 per = 8 * self.planes.itemsize
                 for plane in range(len(self.planes)):
                     masks = self.masks(hashes, plane)
                     for i in range(plane * per, min(len(self.languages), (plane + 1) * per)):
                         has = (masks >> masks.dtype.type(i % per)) & masks.dtype.type(1)
-                        hits[:, i] += np.bincount(of, weights=has, minlength=len(texts))
+                        hits[first:last, i] += np.bincount(of, weights=has, minlength=last - first)
         known = [bool(t) and any(map(str.isalpha, t)) for t in texts]
         if not self.languages:
             return [UNKNOWN] * len(texts), np.zeros(len(texts))
@@ -151,6 +154,7 @@ def blocks(texts: list[str | None]) -> Iterator[tuple[int, int]]:
 
 def learn(rows: DataFrame, id_col: str, text_col: str, lang_col: str, sample: int = SAMPLE) -> Filter:
     """The filter learned from the labelled ``rows``."""
+    ship_package(rows.sparkSession)
     known = rows.select(
         F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")
     ).where("id IS NOT NULL AND text IS NOT NULL AND lang IS NOT NULL")
@@ -208,6 +212,7 @@ def language(text: Column, filter_: Filter) -> Column:
         for texts in batches:
             langs, scores = filter_.decide([t if isinstance(t, str) else None for t in texts])
             yield pd.DataFrame({"lang": langs, "score": scores})
+        give_back()
 
     return decided(text)
 

@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from estatelake.llm.components import components
 from estatelake.llm.shared import cut_lineage, small
+from estatelake.session import ship_package
 
 COSINE = 0.9
 TABLES = 8
@@ -115,6 +116,7 @@ def postings(vectors: DataFrame, tables: int, probes: int, scale: float) -> Data
                             ["cell", "stored", "node", "code", "error"],
                         )
 
+    ship_package(vectors.sparkSession)
     return vectors.select("node", "unit").mapInArrow(posted, "cell long, stored boolean, node long, code binary, error float")
 
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import string
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -74,3 +76,17 @@ def gram_postings(
     placed = rolled.withColumn("pos", pos.cast("int")).drop("at")
     joined = placed.join(grams, placed["rolled"] == grams["gram"], "left")
     return joined.where(F.col("gram").isNotNull() | (F.col("pos") == -1)).drop("rolled")
+
+
+def tuples(batch: pa.RecordBatch, step: int = 64) -> Iterator[tuple]:
+    """The rows of a batch, turned into Python objects a few at a time."""
+    for at in range(0, batch.num_rows, step):
+        yield from zip(*(c.to_pylist() for c in batch.slice(at, step).columns), strict=True)
+
+
+def give_back() -> None:
+    """Return freed memory to the system: Python workers live on between tasks and stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)

@@ -31,7 +31,8 @@ from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
 from estatelake.llm.components import components
-from estatelake.llm.shared import cut_lineage, small
+from estatelake.llm.shared import cut_lineage, give_back, small, tuples
+from estatelake.session import ship_package
 
 SHINGLE = 3
 RADIUS = 3
@@ -64,11 +65,13 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = [fingerprint(t, shingle) for t in batch.column(2).cast(pa.binary()).to_pylist()]
+            fps = [fingerprint(t, shingle) for (t,) in tuples(batch.select([2]))]
             columns = [batch.column(0), batch.column(1), pa.array(np.array(fps, np.uint64).view(np.int64))]
             yield pa.record_batch(columns, ["doc", "mark", "fp"])
+        give_back()
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.xxhash64(F.col(text_col)).alias("mark"), F.col(text_col).alias("text"))
+    ship_package(docs.sparkSession)
+    rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.xxhash64(F.col(text_col)).alias("mark"), F.col(text_col).cast("binary").alias("text"))
     return rows.mapInArrow(hashed, "doc long, mark long, fp long")
 
 
@@ -179,7 +182,9 @@ def near_links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
                 yield solved(keys[:whole], values[:whole])
                 keys, values = keys[whole:], values[whole:]
         yield solved(keys, values)
+        give_back()
 
+    ship_package(fps.sparkSession)
     shards = shards_of(fps).repartition("key").sortWithinPartitions("key")
     return shards.mapInArrow(forest, "a long, b long")
 
@@ -209,12 +214,14 @@ def near_duplicates(
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` without near-duplicates: of each component the least (id, text hash) stays, once."""
-    kept = near_duplicates(docs, id_col, text_col, **options).where("kept").select("doc", "mark").distinct()
+    # Plain keys without null, so that the join's partitioning serves the grouping too.
+    key = lambda c: [F.coalesce(F.col(c), F.lit(-(1 << 63))).alias("key"), F.col(c).isNull().alias("none")]
+    kept = near_duplicates(docs, id_col, text_col, **options).where("kept").select(*key("doc"), "mark").distinct()
     rows = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
         F.col(id_col).cast("long").alias("id"),
-        F.xxhash64(F.col(text_col)).alias("hash"),
-    )
-    met = rows.join(kept, F.col("id").eqNullSafe(F.col("doc")) & (F.col("hash") == F.col("mark")))
+        F.xxhash64(F.col(text_col)).alias("mark"),
+    ).select("row", *key("id"), "mark")
+    met = rows.join(kept, ["key", "none", "mark"])
     # Rows that repeat both id and text may differ in other columns: the first in order stays.
-    return met.groupBy("doc", "mark").agg(F.min("row").alias("row")).select("row.*")
+    return met.groupBy("key", "none", "mark").agg(F.min("row").alias("row")).select("row.*")

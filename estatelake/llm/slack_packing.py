@@ -25,7 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from estatelake.llm.shared import cut_lineage
+from estatelake.llm.shared import cut_lineage, give_back, tuples
+from estatelake.session import ship_package
 
 SIZE = 2048
 END = 0  # the id that ends a document
@@ -90,14 +91,16 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, size: int = SIZE, id_c
         encode = encoder(tokenizer or default_tokenizer())
         for batch in batches:
             rows: list[tuple] = []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for doc, text in tuples(batch):
                 ids = np.append(encode(text) if text else np.zeros(0, np.uint32), np.uint32(END)).astype("<u4")
                 edges = [0, *range(len(ids) % size or size, len(ids) + 1, size)] if len(ids) > size else [0, len(ids)]
                 rows += [(doc, i, a, b - a, zlib.crc32(ids[a:b].tobytes())) for i, (a, b) in enumerate(zip(edges, edges[1:], strict=False))]
             columns = list(zip(*rows, strict=True)) or [()] * 5
             types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
             yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["doc", "piece", "start", "length", "crc"])
+        give_back()
 
+    ship_package(docs.sparkSession)
     pairs = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
     return pairs.mapInArrow(cut, "doc long, piece int, start long, length long, crc long")
 

@@ -37,13 +37,17 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from estatelake.llm.shared import give_back, tuples
+from estatelake.session import ship_package
+
 LENGTH = 100
 GRAM = 16
 BUCKET = 1 << 19
-UNIT = 1 << 24  # bytes of documents whose equal segments are sent once
-BLOCK = 1 << 22  # bytes hashed at a time; below 2^24, so that a place fits beside 40 bits of hash
+UNIT = 8 << 20  # bytes of documents whose equal segments are sent once
+BLOCK = 1 << 18  # bytes hashed at a time; below 2^24, so that a place fits beside 40 bits of hash
 PLACE = np.uint64((1 << 24) - 1)
 SPAN_BITS = 20  # a span is one long: start, then length in this many bits
+KINDS = ("<i8", "<i8", "<i4", "<u2", "<u2")  # of a segment: id (as a difference), start, mark, size, minimizer's place
 FIRST = -(1 << 63)  # stands for a null id
 
 # Odd multipliers of the hash, from the fractional parts of the golden ratio and of the roots of 2 and 3.
@@ -177,15 +181,20 @@ def cut_unit(rows: list[tuple[int, int, bytes]], buckets: int, length: int) -> I
         edges = np.flatnonzero(np.r_[True, np.diff(bucket[order]) != 0])
         for mine in np.split(order, edges[1:]):
             own = [texts[i] for i in mine]
-            yield int(bucket[mine[0]]), b"\1" + pack.compress(
-                struct.pack("<q", len(mine))
-                + doc[mine].astype("<i8").tobytes()
-                + start[mine].astype("<i8").tobytes()
-                + mark[mine].astype("<i4").tobytes()
-                + np.array([len(t) for t in own], "<u2").tobytes()
-                + minimizer[mine].astype("<u2").tobytes()
-                + b"".join(own)
-            )
+            sizes = np.array([len(t) for t in own])
+            columns = (np.diff(doc[mine], prepend=0), start[mine], mark[mine], sizes, minimizer[mine])
+            head_ = b"".join(planes(c, kind) for c, kind in zip(columns, KINDS, strict=True))
+            yield int(bucket[mine[0]]), b"\1" + pack.compress(struct.pack("<q", len(mine)) + head_ + b"".join(own))
+
+
+def planes(values: np.ndarray, kind: str) -> bytes:
+    """Numbers byte by byte: all lowest bytes first, which compresses better."""
+    return values.astype(kind).view(np.uint8).reshape(len(values), -1).T.tobytes()
+
+
+def from_planes(data: bytes, kind: str, n: int, at: int) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    return np.frombuffer(data, np.uint8, n * width, at).reshape(width, n).T.copy().view(kind).ravel().astype(np.int64)
 
 
 def suffix_order(text: bytes, heads: np.ndarray, ends: np.ndarray, windows: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
@@ -278,10 +287,10 @@ def solve(payloads: list[bytes], length: int) -> Iterator[pa.RecordBatch]:
             continue
         (n,) = struct.unpack_from("<q", data)
         read, at = [], 8
-        for kind, size in (("<i8", 8), ("<i8", 8), ("<i4", 4), ("<u2", 2), ("<u2", 2)):
-            read.append(np.frombuffer(data, kind, n, at).astype(np.int64))
-            at += size * n
-        parts.append((*read, data[at:]))
+        for kind in KINDS:
+            read.append(from_planes(data, kind, n, at))
+            at += np.dtype(kind).itemsize * n
+        parts.append((np.cumsum(read[0]), *read[1:], data[at:]))
     if not parts:
         return
     doc, start, mark, size, minimizer = (np.concatenate([p[i] for p in parts]) for i in range(5))
@@ -337,6 +346,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """``doc, mark, spans``: the removed places of each text that has any, as sorted packed spans."""
     if length < GRAM + 1:
         raise ValueError(f"strings must be longer than {GRAM} bytes")
+    ship_package(docs.sparkSession)
     rows = keyed(docs, id_col, text_col)
     total = docs.agg(F.sum(F.octet_length(F.col(text_col)))).first()[0] or 0
     buckets = max(1, -(-int(total) // BUCKET))
@@ -358,7 +368,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
         unit, size = [], 0
         for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for row in tuples(batch):
                 unit.append(row)
                 size += len(row[2])
                 if size >= UNIT:
@@ -366,6 +376,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                     unit, size = [], 0
         if unit:
             yield from sent(unit)
+        give_back()
 
     def solved(table: pa.Table) -> pa.Table:
         found = [b for b in solve(table.column("payload").to_pylist(), length) if b.num_rows]
@@ -381,9 +392,11 @@ def squeezed(text: Column) -> Column:
     """Texts (binary) compressed one by one, for the shuffle."""
 
     @F.pandas_udf("binary")
-    def squeeze(texts: pd.Series) -> pd.Series:
+    def squeeze(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         pack = zstandard.ZstdCompressor(level=3)
-        return pd.Series([pack.compress(t) for t in texts], dtype=object)
+        for texts in batches:
+            yield pd.Series([pack.compress(t) for t in texts], dtype=object)
+        give_back()
 
     return squeeze(text)
 
@@ -394,25 +407,29 @@ def cut_out(text: Column, removed: Column, whole_characters: bool = False) -> Co
     With ``whole_characters``, what is left of a character that loses some of its bytes is not in ``kept`` either.
     """
 
+    def cut_one(data: bytes, packed: np.ndarray | None) -> tuple[int, int, int, bytes]:
+        kept, end, runs, at = [], 0, 0, 0
+        if packed is not None:
+            for span in packed.tolist():
+                start, stop = span >> SPAN_BITS, (span >> SPAN_BITS) + (span & ((1 << SPAN_BITS) - 1))
+                if start > end or not runs:
+                    runs += 1
+                    kept.append(data[at:start])
+                end = at = max(end, stop)
+        kept.append(data[at:])
+        left = b"".join(kept)
+        gone = len(data) - len(left)
+        if whole_characters and gone:
+            left = left.decode("utf-8", "ignore").encode()
+        return len(data), gone, runs, left
+
     @F.pandas_udf("n_bytes long, n_removed long, n_spans long, kept binary")
-    def cut(texts: pd.Series, removed: pd.Series) -> pd.DataFrame:
-        rows, unpack = [], zstandard.ZstdDecompressor()
-        for data, packed in zip(texts, removed, strict=True):
-            data, kept, end, runs, at = unpack.decompress(data), [], 0, 0, 0
-            if packed is not None:
-                for span in packed.tolist():
-                    start, stop = span >> SPAN_BITS, (span >> SPAN_BITS) + (span & ((1 << SPAN_BITS) - 1))
-                    if start > end or not runs:
-                        runs += 1
-                        kept.append(data[at:start])
-                    end = at = max(end, stop)
-            kept.append(data[at:])
-            left = b"".join(kept)
-            gone = len(data) - len(left)
-            if whole_characters and gone:
-                left = left.decode("utf-8", "ignore").encode()
-            rows.append((len(data), gone, runs, left))
-        return pd.DataFrame(rows, columns=["n_bytes", "n_removed", "n_spans", "kept"])
+    def cut(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        unpack = zstandard.ZstdDecompressor()
+        for texts, removed in batches:
+            rows = [cut_one(unpack.decompress(t), r) for t, r in zip(texts, removed, strict=True)]
+            yield pd.DataFrame(rows, columns=["n_bytes", "n_removed", "n_spans", "kept"])
+        give_back()
 
     return cut(text, removed)
 

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from estatelake.llm.shared import cut_lineage, small
 from estatelake.llm.url_filter import host_and_path
+from estatelake.session import ship_package
 
 GROUP = 64
 WITNESSES = 5
@@ -54,8 +55,8 @@ JUNK_ROLES = frozenset("navigation banner contentinfo complementary search dialo
 JUNK_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense adslot sponsor sponsored promo promotion banner banners "
     "sidebar sidebars menu menus nav navbar navigation breadcrumb breadcrumbs pagination pager footer masthead topbar "
-    "toolbar cookie cookies consent gdpr notice notices popup modal overlay newsletter subscribe subscription signup login "
-    "share sharing social related recommended comment comments commentlist respond reply replies disqus form search widget "
+    "toolbar cookie cookies consent gdpr notice notices alert alerts disclaimer copyright popup modal overlay newsletter subscribe subscription signup login "
+    "share sharing social related recommended teaser teasers comment comments commentlist respond reply replies disqus form search widget "
     "widgets skip".split()
 )
 ARTICLE_WORDS = frozenset("comment comments commentlist reply ad ads advert related recommended promo sponsored teaser".split())
@@ -288,6 +289,7 @@ def extract(pages: list[str], same_host: bool = True) -> list[str]:
 
 def main_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", group: int = GROUP) -> DataFrame:
     """``id, url, text`` for every row."""
+    ship_package(pages.sparkSession)
     host, _ = host_and_path(F.col(url_col))
     rows = pages.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"), host.alias("host"))
     large = rows.groupBy("host").count().where(F.col("count") > group)
