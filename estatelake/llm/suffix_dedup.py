@@ -129,8 +129,7 @@ def cut_unit(rows: list[tuple[int, int, bytes]], buckets: int, length: int) -> I
     parts = [(doc, mark, at, text[at : at + BLOCK]) for doc, mark, text in rows for at in range(0, max(1, len(text) - length + 1), step)]
     seen: dict[bytes, int] = {}
     texts: list[bytes] = []
-    columns: list[np.ndarray] = []  # of the segments to send: doc, mark, place, minimizer, bucket
-    repeats: list[np.ndarray] = []
+    found: list[tuple[np.ndarray, np.ndarray, list[int]]] = []  # of a block: new segments, old ones, and whose they are
     at = 0
     while at < len(parts):
         size, first = 0, at
@@ -150,33 +149,37 @@ def cut_unit(rows: list[tuple[int, int, bytes]], buckets: int, length: int) -> I
         start = head - starts[part] + np.array([p[2] for p in block], np.int64)[part]
         stop = head + count + (length - 1)
         bucket = ((hashes * MIX[0]) >> np.uint64(33)) % np.uint64(buckets)
-        new, old = [], []
+        new, old, whose, n = [], [], [], len(texts)
         for i, (a, b) in enumerate(zip(head.tolist(), stop.tolist(), strict=True)):
             text = data[a:b]
-            if seen.setdefault(text, len(texts)) == len(texts):
+            known = seen.setdefault(text, n)
+            if known == n:
                 texts.append(text)
                 new.append(i)
+                n += 1
             else:
-                old.append((i, seen[text]))
-        columns.append(np.stack([doc, mark, start, place - head, bucket.astype(np.int64)])[:, new])
-        if old:
-            again, first_ = (np.array(x) for x in zip(*old, strict=True))
-            sent = np.concatenate(columns, axis=1)
-            columns = [sent]
-            # Places come in the order of (doc, start), except that rows which share an id are on a par.
-            later = (doc[again] > sent[0, first_]) | (doc[again] == sent[0, first_]) & (start[again] > sent[2, first_])
-            gone = again[later]
-            repeats.append(np.stack([doc[gone], mark[gone], start[gone], start[gone] + stop[gone] - head[gone]]))
-            par = [i for i, p in zip(again.tolist(), later.tolist(), strict=True) if not p]
-            texts += [data[head[i] : stop[i]] for i in par]
-            columns.append(np.stack([doc, mark, start, place - head, bucket.astype(np.int64)])[:, par])
+                old.append(i)
+                whose.append(known)
+        columns = np.stack([doc, mark, start, place - head, bucket.astype(np.int64), stop - head])
+        found.append((columns[:, new], columns[:, old], whose))
+    send = [fresh for fresh, _, _ in found]
+    sent = np.concatenate(send, axis=1) if send else np.zeros((6, 0), np.int64)
+    repeats: list[np.ndarray] = []
+    for _, again, whose in found:
+        first_ = np.array(whose, np.int64)
+        # Places come in the order of (doc, start), except that rows which share an id are on a par.
+        later = (again[0] > sent[0, first_]) | (again[0] == sent[0, first_]) & (again[2] > sent[2, first_])
+        doc, mark, start, _, _, size = again[:, later]
+        repeats.append(np.stack([doc, mark, start, start + size]))
+        texts += [texts[i] for i in first_[~later]]
+        send.append(again[:, ~later])
     pack = zstandard.ZstdCompressor(level=3)
-    if repeats:
+    if sum(r.shape[1] for r in repeats):
         batch = spans(*np.concatenate(repeats, axis=1))
         sink = b"".join(np.ascontiguousarray(c.to_numpy()).astype("<i8").tobytes() for c in batch.columns)
         yield int(rows[0][0] % buckets), b"\0" + pack.compress(sink)
     if texts:
-        doc, mark, start, minimizer, bucket = np.concatenate(columns, axis=1)
+        doc, mark, start, minimizer, bucket, _ = np.concatenate(send, axis=1)
         order = np.argsort(bucket, kind="stable")
         edges = np.flatnonzero(np.r_[True, np.diff(bucket[order]) != 0])
         for mine in np.split(order, edges[1:]):
