@@ -17,16 +17,26 @@ from estatelake.llm.simhash_bktree import one_of_each
 from estatelake.llm.suffix_dedup import remove_repeats
 from estatelake.session import scratch_path
 
+BATCH_ROWS = 2000  # rows of an Arrow batch: documents are long, and Spark's default of 10,000 is for short rows
 LEAST_SCORE = 0.3  # share of a text's n-grams that its language must know
 
 
+def long_rows(spark: SparkSession) -> None:
+    """Set the session's Arrow batches for documents; a smaller setting of its own stays."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(setting)) <= BATCH_ROWS:
+        spark.conf.set(setting, str(BATCH_ROWS))
+
+
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of a known language; those without letters or of no learned language go."""
+    long_rows(spark)
     return known_language(docs, LEAST_SCORE)
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of linked SimHash fingerprints."""
+    long_rows(spark)
     return one_of_each(docs)
 
 
@@ -35,6 +45,7 @@ def suffix_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
     A character that loses some of its bytes goes whole; ``n_chars`` follows the text.
     """
+    long_rows(spark)
     cut = remove_repeats(docs, whole_characters=True)
     text = F.col("kept").cast("string")
     left = cut.where((F.col("n_removed") == 0) | (F.trim(text) != ""))
@@ -50,6 +61,7 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents in sequences of at most 2048 tokens."""
+    long_rows(spark)
     return packed(docs)
 
 
