@@ -18,7 +18,9 @@ bucket holds so far.  The scan of a bucket is done in arrays.
 neighbours that agree so far is one repeated string, and all its places but the earliest are removed.
 
 Results do not depend on how documents are dealt over tasks.  A bucket holds about
-``BUCKET`` bytes of windows at any input size, plus one segment per block of each shared passage.
+``BUCKET`` bytes of windows at any input size, plus, of a passage that many documents share, one
+segment per block and one for each of its different surroundings.  One suffix array
+covers the segments of a few minimizers, ``SORTED`` bytes or those of one minimizer.
 
 Defined results: a null text is an empty one; a null id is smaller than all others;
 earlier means a smaller (id, start), so of rows that repeat an id, the places with equal
@@ -43,6 +45,7 @@ from estatelake.session import ship_package
 LENGTH = 100
 GRAM = 16
 BUCKET = 1 << 19
+SORTED = 1 << 20  # bytes of segments in one suffix array, or those of one minimizer if they are more
 UNIT = 8 << 20  # bytes of documents whose equal segments are sent once
 BLOCK = 1 << 18  # bytes hashed at a time; below 2^24, so that a place fits beside 40 bits of hash
 PLACE = np.uint64((1 << 24) - 1)
@@ -215,17 +218,19 @@ def suffix_order(text: bytes, heads: np.ndarray, ends: np.ndarray, windows: np.n
     symbols[:-1][marked] = np.frombuffer(text, np.uint8).astype(np.int16) + 1
     head = heads + np.arange(many)
     total = n + many
-    index = np.arange(total)
-    segment_at = np.repeat(np.arange(many), ends - heads + 1)
-    change = np.where(symbols[1:] != symbols[:-1], index, total - 1)
+    index = np.arange(total, dtype=np.int32)  # far below 2^31 bytes
+    last = np.int32(total - 1)
+    segment_at = np.repeat(np.arange(many, dtype=np.int32), ends - heads + 1)
+    change = np.where(symbols[1:] != symbols[:-1], index, last)
     change = np.minimum.accumulate(change[::-1])[::-1]
     direct = symbols[change + 1] > symbols[change]  # smaller than the successor
     direct |= symbols[:-1] == 0
-    following = np.minimum.accumulate(np.where(direct, index, total - 1)[::-1])[::-1]
-    wanted = np.zeros(total + 1, np.int64)
-    wanted[head] += 1
-    np.subtract.at(wanted, following[head + windows] + 1, 1)
-    wanted = np.cumsum(wanted[:-1]) > 0
+    following = np.minimum.accumulate(np.where(direct, index, last)[::-1])[::-1]
+    edges = np.zeros(total + 1, np.int8)
+    edges[head] += 1
+    np.subtract.at(edges, following[head + windows] + 1, 1)
+    wanted = np.cumsum(edges[:-1], dtype=np.int8) > 0
+    del index, change, following, edges
 
     # First stage: sort the suffixes that are smaller than their successors.
     chosen = np.flatnonzero(direct & wanted)
@@ -306,11 +311,24 @@ def solve(payloads: list[bytes], length: int) -> Iterator[pa.RecordBatch]:
     hashes = gram_hash(words, heads + minimizer)
     order = np.argsort(hashes)
     edge = np.r_[True, hashes[order][1:] != hashes[order][:-1]]
-    kept = np.sort(order[~(edge & np.r_[edge[1:], True])])
-    if not len(kept):
+    several = ~(edge & np.r_[edge[1:], True])
+    order, hashes = order[several], hashes[order[several]]
+    if not len(order):
         return
-    text = b"".join([text[a:b] for a, b in zip(heads[kept].tolist(), ends[kept].tolist(), strict=True)])
-    doc, start, mark, size = doc[kept], start[kept], mark[kept], size[kept]
+    # Minimizers are taken together as long as their segments stay within ``SORTED`` bytes.
+    first = np.flatnonzero(np.r_[True, hashes[1:] != hashes[:-1]])
+    total = np.cumsum(np.add.reduceat(size[order], first))
+    at = 0
+    while at < len(first):
+        to = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + SORTED, side="right")))
+        mine = np.sort(order[first[at] : first[to] if to < len(first) else len(order)])
+        own = b"".join([text[i:j] for i, j in zip(heads[mine].tolist(), ends[mine].tolist(), strict=True)])
+        yield repeated(own, doc[mine], start[mine], mark[mine], size[mine], length)
+        at = to
+
+
+def repeated(text: bytes, doc: np.ndarray, start: np.ndarray, mark: np.ndarray, size: np.ndarray, length: int) -> pa.RecordBatch:
+    """The spans to be removed that segments (one after the other in ``text``) show among themselves."""
     ends = np.cumsum(size)
     heads = ends - size
     order, segment = suffix_order(text, heads, ends, size - length + 1, length)
@@ -326,7 +344,7 @@ def solve(payloads: list[bytes], length: int) -> Iterator[pa.RecordBatch]:
     opens = np.flatnonzero(np.r_[True, run[1:] != run[:-1]]) if len(run) else run
     first = np.repeat(opens, np.diff(np.r_[opens, len(run)]))
     gone = (of != of[first]) | (at != at[first])
-    yield spans(of[gone], mark[segment[gone]], at[gone], at[gone] + length)
+    return spans(of[gone], mark[segment[gone]], at[gone], at[gone] + length)
 
 
 def mark(text: Column) -> Column:

@@ -37,7 +37,7 @@ def test_empty_table(no_documents):
 
 def test_small_blocks_units_and_buckets(hard, documents, monkeypatch):
     """Places cut over many blocks, units and buckets give the same result."""
-    for name, value in (("BLOCK", 4096), ("UNIT", 9000), ("BUCKET", 3000)):
+    for name, value in (("BLOCK", 4096), ("UNIT", 9000), ("BUCKET", 3000), ("SORTED", 2000)):
         monkeypatch.setattr(S, name, value)
     rows = [(d, t) for d, t in hard[0]]
     found, payloads = {}, {}
