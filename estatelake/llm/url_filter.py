@@ -90,6 +90,8 @@ def scored(urls: DataFrame, labelled: DataFrame) -> DataFrame:
     model = LogisticRegression(maxIter=40, regParam=0.001, standardization=False).fit(
         featured(labelled).select("label", "features")
     )
+    # The training summary holds the session, which does not travel to executors.
+    model._java_obj.setSummary(urls.sparkSession._jvm.scala.Option.apply(None))
     return model.transform(featured(urls)).select(*urls.columns, vector_to_array("probability")[1].alias("score"))
 
 
