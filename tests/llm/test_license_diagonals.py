@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from estatelake.llm.license_diagonals import scan_licenses
+from estatelake.llm.license_diagonals import FILLERS, LONG, TEMPLATES, license_spans, scan_licenses
 from tests.llm import brute
 from tests.llm.conftest import as_rows, clashing, expected
 
@@ -43,3 +43,41 @@ def test_neighbouring_diagonals_merge(spark):
     text = " ".join(words[:10] + ["inserted"] + words[10:])
     out = scan_licenses(spark.createDataFrame([(1, text)], "doc_id long, text string"), templates={moved: "greek"}).first()
     assert out["labels"] == "greek" and abs(out["score"] - 16 / 18) < 1e-9
+
+
+def labels_of(spark, texts):
+    rows = scan_licenses(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    return {texts[r["doc"]]: set(r["labels"].split(",")) for r in rows}
+
+
+def test_one_word_of_a_long_line_may_differ(spark):
+    want = {}
+    for phrase, label in TEMPLATES.items():
+        w = phrase.split()
+        if len(w) >= LONG:
+            for i in range(len(w)):
+                for edited in (w[:i] + ["zzz"] + w[i:], w[:i] + w[i + 1 :], w[:i] + ["zzz"] + w[i + 1 :]):
+                    want["x " + " ".join(edited) + " y"] = label
+    assert len(want) > 80
+    got = labels_of(spark, list(want))
+    assert [t for t, label in want.items() if label not in got[t]] == []
+
+
+def test_fillers_in_every_line(spark):
+    want = {"licensed under the terms of the gnu general public license version 3": "gpl-3", "Released under an MIT license": "mit"}
+    for phrase, label in TEMPLATES.items():
+        w = phrase.split()
+        for i in range(1, len(w)):
+            want[" ".join(w[:i] + ["the", "terms", "of", "the"] + w[i:])] = label
+            if w[i] in FILLERS:
+                want[" ".join(w[:i] + w[i + 1 :])] = want[" ".join(w[:i] + ["a"] + w[i + 1 :])] = label
+    got = labels_of(spark, list(want))
+    assert [t for t, label in want.items() if got[t] != {label}] == []
+    other = ["licensed under the gnu affero general public license", "subject to the terms of the eclipse public license", "released under the bsd license"]
+    assert set().union(*labels_of(spark, other).values()) == {""}
+
+
+def test_place_of_a_reworded_line(spark):
+    text = "x the x licensed under the terms of the cc by sa 4 0 the end"
+    spans, _ = license_spans(spark.createDataFrame([(1, text)], "doc_id long, text string"))
+    assert [(r["label"], r["start"], r["last"], r["cover"]) for r in spans.collect()] == [("cc-by-sa", 3, 13, 7 / 11)]
