@@ -7,8 +7,8 @@ aligned with one of them by simple tree matching (an order-preserving matching o
 pairs most nodes).  A node whose text is the same in ``CONSTANT`` of the pages is
 template; the rest are varying slots and thus content.  Pages that share their longest block are
 copies and bear witness once, and ``WITNESSES`` pages at least are needed, so copied
-articles are not mistaken for template.  The content is what lies in the page's largest article,
-else in its main element, else in the body, where blocks that are mostly links go too.
+articles are not mistaken for template.  The content is what lies in the page's articles and
+main elements, in page order; without a main element also the body around the articles, where blocks that are mostly links go.
 
 A host with more than ``GROUP`` pages is dealt into as many groups as it needs, so
 a host with a third of all pages spreads over the cluster; every page is in one group.
@@ -254,17 +254,26 @@ def align(a: Node, b: Node) -> list[tuple[Node, Node]]:
 
 
 def content(root: Node) -> list[Node]:
-    """The leaves of the largest article, else of the main element, else of the body without link lists."""
-    stack, cores = [root], {"article": [], "main": []}
-    while stack:
-        node = stack.pop()
-        if node.tag in cores:
-            cores[node.tag].append(node)
-        stack.extend(reversed(node.children))
-    for found in (cores["article"], cores["main"]):
-        if found:
-            return max(([*leaves(n)] for n in found), key=lambda own: sum(len(x.text) for x in own))
-    return [x for x in leaves(root) if 2 * x.linked <= len(x.text)]
+    """The leaves of all articles and main elements; without a main, also those around the articles but for link lists.
+
+    An article inside a menu, sidebar, comment list or the like counts only if no other article lies further out.
+    """
+    todo, places, levels = [(root, 0, False, False)], [], {"article": [], "main": []}
+    while todo:
+        node, level, in_article, in_main = todo.pop()
+        level += node.junk
+        if node.tag in levels:
+            levels[node.tag].append(level)
+        in_article, in_main = in_article or node.tag == "article", in_main or node.tag == "main"
+        if node.text is not None:
+            places.append((node, level, in_article, in_main))
+        todo.extend((c, level, in_article, in_main) for c in reversed(node.children))
+    least = min(levels["article"] or levels["main"] or [0])
+    around = not levels["main"]
+    return [
+        x for x, level, in_article, in_main in places
+        if level <= least and (in_article or in_main or around and 2 * x.linked <= len(x.text))
+    ]
 
 
 def extract(pages: list[str], same_host: bool = True) -> list[str]:

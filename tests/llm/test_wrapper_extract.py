@@ -122,3 +122,16 @@ def test_rows_are_kept(spark):
     got = as_rows(out, "id", "url", "text")
     assert len(got) == len(rows) and got.count((1, None, "x")) == 2 and (None, "http://h.org/", "y") in got
     assert W.main_texts(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+WHOLE = [
+    ("<main><h1>Head</h1><p>lead</p><article><p>one</p></article><article><p>two, longer</p></article></main><p>out</p>", "Head\n\nlead\n\none\n\ntwo, longer"),
+    ("<div><h1>Head</h1><article><p>one</p></article><div><a href=x>link</a></div><article><p>two</p></article></div>", "Head\n\none\n\ntwo"),
+    ("<article><p>y</p><section id='comments'><article><p>long long comment text</p></article></section></article>", "y"),
+    ("<div class='with-sidebar'><article><p>y</p></article><aside><article><p>teaser</p></article></aside></div>", "y"),
+]
+
+
+@pytest.mark.parametrize("page,text", WHOLE)
+def test_all_articles_and_what_is_around(page, text):
+    assert W.extract([page]) == [text]
