@@ -4,8 +4,9 @@ Each page becomes a tree of its blocks.  Elements whose tag, role, class or id n
 header, footer, sidebar, notice, advert, form, script, style or reader comment are cut away, unless
 they hold the article itself.  The trees of up to about ``GROUP`` pages of a host are then
 aligned with one of them by simple tree matching (an order-preserving matching of equal tags that
-pairs most nodes).  A node whose text is the same in ``CONSTANT`` of the pages is
-template; the rest are varying slots and thus content.  Pages that share their longest block are
+pairs most nodes), and so are the pages of each layout among them.  A node whose text is the same in ``CONSTANT`` of the pages is
+template, as are the texts of a node that has only texts of ``SECTION`` of the pages each in so many of them;
+the rest are varying slots and thus content.  Pages that share their longest block, apart from blocks of most pages, are
 copies and bear witness once, and ``WITNESSES`` pages at least are needed, so copied
 articles are not mistaken for template.  The content is what lies in the page's articles and
 main elements, in page order; without a main element also the body around the articles, where blocks that are mostly links go.
@@ -21,6 +22,7 @@ from __future__ import annotations
 
 import html as references
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -34,6 +36,8 @@ from estatelake.session import ship_package
 GROUP = 64
 WITNESSES = 5
 CONSTANT = 0.9
+SECTION = 0.25  # a section's own template is on this part of the witnesses at least
+OWN = 5  # words that a page's own longest block has at least, else the page is a copy
 DEPTH = 100  # elements nested deeper are read as if they were their parent's
 CELLS = 1_000_000  # larger child lists are matched in order of their tags
 
@@ -276,22 +280,67 @@ def content(root: Node) -> list[Node]:
     ]
 
 
+def bear_witness(kept: dict[str, list[Node]]) -> list[str]:
+    """One page of each set of copies: pages that share their longest block, apart from blocks that most pages have."""
+    differing = {tuple(x.text for x in own): p for p, own in kept.items()}
+    having = Counter(text for texts in differing for text in set(texts))
+    witnesses = {}
+    for texts, p in differing.items():
+        own = max((t for t in texts if 2 * having[t] <= len(differing)), key=len, default="")
+        # Pages that differ in no more than a date or a count are copies still.
+        witnesses[own if len(own.split()) >= OWN else max(texts, key=len, default="")] = p
+    return sorted(witnesses.values(), key=lambda p: (len(kept[p]), p))
+
+
+def layouts(trees: dict[str, Node]) -> list[list[str]]:
+    """Pages by layout: those whose sets of paths to inner blocks have half in common with those of a layout's first page."""
+    found: list[tuple[frozenset, list[str]]] = []
+    for p, tree in trees.items():
+        paths, todo = set(), [(tree, 0)]
+        while todo:
+            node, above = todo.pop()
+            if node.children:
+                path = hash((above, node.tag))  # equal within one process, which is all that is needed
+                paths.add(path)
+                todo.extend((c, path) for c in node.children)
+        mine = frozenset(paths)
+        like = next((own for first, own in found if 2 * len(first & mine) >= len(first | mine)), None)
+        if like is None:
+            found.append((mine, [p]))
+        else:
+            like.append(p)
+    return [own for _, own in found]
+
+
+def constants(trees: dict[str, Node], seen: list[str]) -> dict[str, set[int]]:
+    """For each page the leaves that are template by the witnesses ``seen``: at their place, recurring texts hold ``CONSTANT`` of them."""
+    reference = trees[seen[len(seen) // 2]]
+    paired = {p: [(r, x) for r, x in align(reference, t) if r.text is not None and x.text is not None] for p, t in trees.items()}
+    said: dict[int, Counter] = {}
+    for p in seen:
+        for r, x in paired[p]:
+            said.setdefault(id(r), Counter())[x.text] += 1
+    least = max(WITNESSES, SECTION * len(seen))
+    # A text that nearly all have, or the few texts that the sections of a site have in that place.
+    recurring = {r: {t for t, n in texts.items() if n >= least or n >= CONSTANT * len(seen)} for r, texts in said.items()}
+    fixed = {r for r, texts in said.items() if sum(texts[t] for t in recurring[r]) >= CONSTANT * len(seen)}
+    return {p: {id(x) for r, x in own if id(r) in fixed and x.text in recurring[id(r)]} for p, own in paired.items()}
+
+
 def extract(pages: list[str], same_host: bool = True) -> list[str]:
     """The main texts of pages of one host."""
     trees = {p: prune(parse(p)) for p in sorted(set(pages))}
     kept = {p: content(t) for p, t in trees.items()}
     template: dict[str, set[int]] = {p: set() for p in trees}
-    witnesses = {max((x.text for x in own), key=len, default=""): p for p, own in kept.items()}
-    if same_host and len(witnesses) >= WITNESSES:
-        seen = sorted(witnesses.values(), key=lambda p: (len(kept[p]), p))
-        reference = trees[seen[len(seen) // 2]]
-        paired = {p: [(r, x) for r, x in align(reference, t) if r.text is not None and r.text == x.text] for p, t in trees.items()}
-        agree: dict[int, int] = {}
-        for p in seen:
-            for r, _ in paired[p]:
-                agree[id(r)] = agree.get(id(r), 0) + 1
-        for p in trees:
-            template[p] = {id(x) for r, x in paired[p] if agree.get(id(r), 0) >= CONSTANT * len(seen)}
+    if same_host and len(trees) >= WITNESSES:
+        groups = [own for own in layouts(trees) if len(own) >= WITNESSES]
+        if groups != [list(trees)]:
+            groups.append(list(trees))
+        for group in groups:
+            seen = bear_witness({p: kept[p] for p in group})
+            if len(seen) >= WITNESSES:
+                for p, fixed in constants({p: trees[p] for p in group}, seen).items():
+                    template[p] |= fixed
     texts = {p: "\n\n".join(x.text for x in own if id(x) not in template[p]) for p, own in kept.items()}
     return [texts[p] for p in pages]
 

@@ -135,3 +135,20 @@ WHOLE = [
 @pytest.mark.parametrize("page,text", WHOLE)
 def test_all_articles_and_what_is_around(page, text):
     assert W.extract([page]) == [text]
+
+
+def test_long_boilerplate_is_template():
+    legal = "all of this is law " * 60
+    pages = site(random.Random(3), 12, "<div>{content}</div><div><p>" + legal + "</p><p>x</p></div>")
+    assert W.extract([p for p, _ in pages]) == ["\n\n".join(own) for _, own in pages]
+    copies = [f"<div><p>{legal}</p><p>{legal} too</p></div><div><p>views {i}</p></div>" for i in range(12)]
+    assert all(t.startswith(legal.strip()) for t in W.extract(copies))  # copies of one article, whose count varies
+
+
+def test_layouts_and_sections():
+    one = "<div><p>The one paper of the town</p>{content}</div>"
+    two = "<section><table><tr><td>Second layout</table><ul><li>{content}</ul><div><h2>Call us</h2><p>any time</p></div></section>"
+    rng = random.Random(4)
+    for a, b in ((one, two), (one, one.replace("one paper", "two papers"))):
+        pages = site(rng, 16, a) + site(rng, 16, b)
+        assert W.extract([p for p, _ in pages]) == ["\n\n".join(own) for _, own in pages]
