@@ -4,7 +4,7 @@ Each page becomes a tree of its blocks.  Elements whose tag, role, class or id n
 header, footer, sidebar, notice, advert, form, script, style or reader comment are cut away, unless
 they hold the article itself.  The trees of up to about ``GROUP`` pages of a host are then
 aligned with one of them by simple tree matching (an order-preserving matching of equal tags that
-pairs most nodes), and so are the pages of each layout among them.  A node whose text is the same in ``CONSTANT`` of the pages is
+pairs most nodes, whatever the depth of the trees and the length of their child lists), and so are the pages of each layout among them.  A node whose text is the same in ``CONSTANT`` of the pages is
 template, as are the texts of a node that has only texts of ``SECTION`` of the pages each in so many of them;
 the rest are varying slots and thus content.  Pages that share their longest block, apart from blocks of most pages, are
 copies and bear witness once, and ``WITNESSES`` pages at least are needed, so copied
@@ -25,6 +25,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,8 +39,7 @@ WITNESSES = 5
 CONSTANT = 0.9
 SECTION = 0.25  # a section's own template is on this part of the witnesses at least
 OWN = 5  # words that a page's own longest block has at least, else the page is a copy
-DEPTH = 100  # elements nested deeper are read as if they were their parent's
-CELLS = 1_000_000  # larger child lists are matched in order of their tags
+CELLS = 4096  # larger tables of child lists are halved before they are matched
 
 # Names from the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -101,7 +101,8 @@ def named_junk(tag: str, attributes: str, in_article: bool) -> bool:
 def parse(page: str) -> Node:
     """The tree of a page's blocks; all text is in leaves."""
     root = Node("html")
-    stack, said, link, linked, deeper = [root], [], False, 0, 0
+    stack, said, link, linked = [root], [], False, 0
+    opened: Counter[str] = Counter()  # tags on the stack above the root
 
     def text_ends() -> None:
         nonlocal said, linked
@@ -114,6 +115,7 @@ def parse(page: str) -> Node:
     def pop() -> None:
         text_ends()
         done = stack.pop()
+        opened[done.tag] -= 1
         if done.core:
             stack[-1].core = True
         only = done.children[0] if len(done.children) == 1 else None
@@ -140,10 +142,7 @@ def parse(page: str) -> Node:
                 link = False
             elif tag in ("td", "th"):
                 said.append(" ")
-            elif deeper and (tag in BLOCKS or tag in JUNK_TAGS):
-                deeper -= 1
-                text_ends()
-            elif any(n.tag == tag for n in stack[1:]):
+            elif opened[tag]:
                 while stack[-1].tag != tag:
                     pop()
                 pop()
@@ -163,17 +162,16 @@ def parse(page: str) -> Node:
                     break
                 if stack[i].tag in LISTS or stack[i].tag not in ("p", "li", "dt", "dd", "tr"):
                     break
-            junk = named_junk(tag, attributes, any(n.tag == "article" for n in stack))
+            junk = named_junk(tag, attributes, opened["article"] > 0)
             if tag in RAW:  # no markup inside
                 stop = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
                 at = stop.end() if stop else end
-            elif tag not in VOID and not attributes.endswith("/") and len(stack) > DEPTH:
-                deeper += 1
             elif tag not in VOID and not attributes.endswith("/"):
                 node = Node(tag, junk)
                 stack[-1].children.append(node)
                 stack.append(node)
-        elif attributes and named_junk(tag, attributes, any(n.tag == "article" for n in stack)) and tag not in VOID:
+                opened[tag] += 1
+        elif attributes and named_junk(tag, attributes, opened["article"] > 0) and tag not in VOID:
             stop = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at)
             at = stop.end() if stop else at  # an inline element beside the article
     while len(stack) > 1:
@@ -184,7 +182,11 @@ def parse(page: str) -> Node:
 
 def prune(node: Node) -> Node:
     """The tree without what is beside the article."""
-    node.children = [prune(c) for c in node.children if not (c.junk and (c.tag == "article" or not c.core))]
+    todo = [node]
+    while todo:
+        top = todo.pop()
+        top.children = [c for c in top.children if not (c.junk and (c.tag == "article" or not c.core))]
+        todo += top.children
     return node
 
 
@@ -197,63 +199,122 @@ def leaves(node: Node) -> Iterator[Node]:
         stack.extend(reversed(top.children))
 
 
-def match_children(a: list[Node], b: list[Node], weigh) -> list[tuple[Node, Node]]:
-    """The order-preserving pairs of equal tags with the largest total weight."""
-    head = 0
-    while head < min(len(a), len(b)) and a[head].tag == b[head].tag and not a[head].children and not b[head].children:
-        head += 1  # equal leaves at the start pair up in some best matching
-    pairs = list(zip(a[:head], b[:head], strict=True))
-    a, b = a[head:], b[head:]
-    if not a or not b:
-        return pairs
-    if len(a) * len(b) > CELLS:
-        j = 0
+class Shapes:
+    """Trees without their texts: each shape, a tag and the shapes of the children, has one number."""
+
+    def __init__(self):
+        self.numbers: dict[tuple, int] = {}
+        self.tags: list[str] = []
+        self.children: list[tuple[int, ...]] = []
+        self.weights: dict[tuple[int, int], int] = {}
+        self.matched: dict[tuple[int, int], list[tuple[int, int]]] = {}
+
+    def of(self, root: Node) -> dict[int, int]:
+        """The shape of each node of a tree, by the node's ``id``."""
+        order, todo, out = [], [root], {}
+        while todo:
+            node = todo.pop()
+            order.append(node)
+            todo += node.children
+        for node in reversed(order):
+            key = (node.tag, *(out[id(c)] for c in node.children))
+            number = self.numbers.setdefault(key, len(self.tags))
+            if number == len(self.tags):
+                self.tags.append(node.tag)
+                self.children.append(key[1:])
+            out[id(node)] = number
+        return out
+
+    def weigh(self, x: int, y: int) -> int:
+        """The number of pairs in the largest matching of two shapes; that of their inner children is known."""
+        if self.tags[x] != self.tags[y]:
+            return 0
+        return self.weights[x, y] if self.children[x] and self.children[y] else 1
+
+    def solve(self, x: int, y: int) -> None:
+        """Match two shapes of equal tags, and before them all their descendants that may pair."""
+        todo = [(x, y)]
+        while todo:
+            x, y = todo[-1]
+            if (x, y) in self.weights or not self.children[x] or not self.children[y]:
+                todo.pop()
+                continue
+            inner = [[c for c in dict.fromkeys(self.children[z]) if self.children[c]] for z in (x, y)]
+            open_ = [(p, q) for p in inner[0] for q in inner[1] if self.tags[p] == self.tags[q] and (p, q) not in self.weights]
+            if open_:
+                todo += open_
+                continue
+            pairs = self.match(self.children[x], self.children[y])
+            self.matched[x, y] = pairs
+            self.weights[x, y] = 1 + sum(self.weigh(self.children[x][i], self.children[y][j]) for i, j in pairs)
+            todo.pop()
+
+    def match(self, a: tuple[int, ...], b: tuple[int, ...]) -> list[tuple[int, int]]:
+        """The order-preserving pairs (places in ``a`` and ``b``) of equal tags with the largest total weight."""
+        pairable = lambda x, y: self.tags[x] == self.tags[y] and not self.children[x] and not self.children[y]
+        head, most = 0, min(len(a), len(b))
+        while head < most and pairable(a[head], b[head]):
+            head += 1  # equal leaves at the start, or at the end, pair up in some best matching
+        tail = 0
+        while tail < most - head and pairable(a[-1 - tail], b[-1 - tail]):
+            tail += 1
+        pairs = [(i, i) for i in range(head)]
+        parts = [(head, len(a) - tail, head, len(b) - tail)]
+        while parts:
+            i, k, j, m = parts.pop()
+            if (k - i) * (m - j) <= CELLS or k - i == 1:
+                pairs += [(i + p, j + q) for p, q in self.table(a[i:k], b[j:m])]
+                continue
+            # Halve `a`; the best place to part `b` joins the best of both halves (Hirschberg).
+            half = (i + k) // 2
+            total = self.last_row(a[i:half], b[j:m]) + self.last_row(a[half:k][::-1], b[j:m][::-1])[::-1]
+            cut = j + int(total.argmax())
+            parts += [(half, k, cut, m), (i, half, j, cut)]
+        return pairs + [(len(a) - t, len(b) - t) for t in range(tail, 0, -1)]
+
+    def last_row(self, a: tuple[int, ...], b: tuple[int, ...]) -> np.ndarray:
+        """The largest weights of ``a`` against each beginning of ``b``."""
+        kinds, which = np.unique(np.array(b, np.int64), return_inverse=True)
+        row, known = np.zeros(len(b) + 1, np.int64), {}
         for x in a:
-            k = next((k for k in range(j, min(len(b), j + 100)) if b[k].tag == x.tag), None)
-            if k is not None:
-                pairs.append((x, b[k]))
-                j = k + 1
-        return pairs
-    best = [[0] * (len(b) + 1)]
-    for x in a:
-        above, row, left = best[-1], [0], 0
-        for j, y in enumerate(b):
-            left = max(left, above[j + 1], above[j] + weigh(x, y) if x.tag == y.tag else 0)
-            row.append(left)
-        best.append(row)
-    i, j, back = len(a), len(b), []
-    while i and j:
-        if best[i][j] == best[i - 1][j]:
-            i -= 1
-        elif best[i][j] == best[i][j - 1]:
-            j -= 1
-        else:
-            i, j = i - 1, j - 1
-            back.append((a[i], b[j]))
-    return pairs + back[::-1]
+            if x not in known:
+                known[x] = np.array([self.weigh(x, y) for y in kinds.tolist()], np.int64)
+            row[1:] = np.maximum(row[1:], row[:-1] + known[x][which])
+            np.maximum.accumulate(row, out=row)
+        return row
+
+    def table(self, a: tuple[int, ...], b: tuple[int, ...]) -> list[tuple[int, int]]:
+        """``match`` by the full table."""
+        best = [[0] * (len(b) + 1)]
+        for x in a:
+            above, row, left = best[-1], [0], 0
+            for j, y in enumerate(b):
+                left = max(left, above[j + 1], above[j] + self.weigh(x, y))
+                row.append(left)
+            best.append(row)
+        i, j, back = len(a), len(b), []
+        while i and j:
+            if best[i][j] == best[i - 1][j]:
+                i -= 1
+            elif best[i][j] == best[i][j - 1]:
+                j -= 1
+            else:
+                i, j = i - 1, j - 1
+                back.append((i, j))
+        return back[::-1]
 
 
 def align(a: Node, b: Node) -> list[tuple[Node, Node]]:
     """Simple tree matching: the paired nodes of two trees with equal root tags."""
-    weights: dict[tuple[int, int], int] = {}
-    matched: dict[tuple[int, int], list[tuple[Node, Node]]] = {}
-
-    def weigh(x: Node, y: Node) -> int:
-        if not x.children or not y.children:
-            return 1
-        key = (id(x), id(y))
-        if key not in weights:
-            matched[key] = match_children(x.children, y.children, weigh)
-            weights[key] = 1 + sum(weigh(p, q) for p, q in matched[key])
-        return weights[key]
-
-    weigh(a, b)
+    shapes = Shapes()
+    of = shapes.of(a) | shapes.of(b)
+    shapes.solve(of[id(a)], of[id(b)])
     out, todo = [], [(a, b)]
     while todo:
         x, y = todo.pop()
         out.append((x, y))
         if x.children and y.children:
-            todo += matched[id(x), id(y)]
+            todo += [(x.children[i], y.children[j]) for i, j in shapes.matched[of[id(x)], of[id(y)]]]
     return out
 
 

@@ -152,3 +152,33 @@ def test_layouts_and_sections():
     for a, b in ((one, two), (one, one.replace("one paper", "two papers"))):
         pages = site(rng, 16, a) + site(rng, 16, b)
         assert W.extract([p for p, _ in pages]) == ["\n\n".join(own) for _, own in pages]
+
+
+def test_deep_pages_keep_their_parts():
+    deep = "<div>" * 3000
+    assert W.extract([deep + "<nav><p>n</p></nav><p>t</p><footer>f</footer>"]) == ["t"]
+    assert W.extract([deep + "<main><article><p>a</p></article></main><p>o</p>"]) == ["a"]
+    trees = [W.parse(deep + "<p>a</p><p>b</p>"), W.parse(deep + "<p>a</p>")]
+    assert len(W.align(*trees)) == 3002
+
+
+def test_long_lists_are_matched_in_full():
+    rng = random.Random(5)
+    tags = ["p", "h2", "pre", "blockquote"]
+    for _ in range(5):
+        a, b = ([rng.choice(tags) for _ in range(rng.randint(80, 160))] for _ in range(2))
+        best = [0] * (len(b) + 1)  # longest common subsequence
+        for x in a:
+            row = [0]
+            for j, y in enumerate(b):
+                row.append(max(row[-1], best[j + 1], best[j] + (x == y)))
+            best = row
+        trees = [W.parse("".join(f"<{t}>x</{t}>" for t in own)) for own in (a, b)]
+        pairs = W.align(*trees)
+        assert len(pairs) == 1 + best[-1]
+        order = {id(c): i for t in trees for i, c in enumerate(t.children)}
+        places = [(order[id(x)], order[id(y)]) for x, y in pairs[1:]]
+        assert all((p < q) == (r < s) for (p, r), (q, s) in zip(sorted(places), sorted(places)[1:]))
+    long = [f"<ul><li>{i}</ul>" + "<h2>h</h2>" * (1500 + 200 * i) + "<ul><li>template at the end</ul><pre>t</pre>" for i in range(2)]
+    x, y = (W.parse(p) for p in long)
+    assert "template at the end" in {p.text for p, q in W.align(x, y) if p.text == q.text}
