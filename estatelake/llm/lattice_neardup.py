@@ -11,8 +11,8 @@ Measured against brute force, pairs at a cosine of just 0.9 are found with proba
 the default tables, pairs above 0.95 nearly always (tests/llm/test_lattice_neardup.py).
 
 Equal vectors are collapsed first and counted with their number of copies.  A cell that
-holds more than ``CELL`` vectors is dealt over several tasks: each asks with a part of the
-vectors against all of the cell.
+holds, or is asked by, more than ``CELL`` vectors is dealt into blocks of about so many, and
+each pair of blocks is compared for itself, so that no group holds more than two blocks.
 
 Defined results: vectors that are null, empty, zero, or hold null or non-finite components, and
 vectors without an id, link with nothing (no links, own id as component); vectors of
@@ -154,18 +154,42 @@ def close_pairs(cell: np.ndarray, stored: np.ndarray, asks: np.ndarray, node: np
     return np.unique(np.concatenate(found), axis=0)
 
 
-def candidates(posted: DataFrame, cosine: float, cell_size: int = CELL) -> DataFrame:
-    """``a, b``: distinct pairs that meet in a cell and may reach ``cosine``."""
-    large = posted.where("stored").groupBy("cell").count().where(F.col("count") > cell_size)
-    large = cut_lineage(large.select(F.col("cell").alias("large"), F.ceil(F.col("count") / cell_size).alias("parts")))
+def dealt_cells(posted: DataFrame, cell_size: int) -> DataFrame:
+    """``cell, part, stored, asks, node, code, error``: every vector that is stored in a part meets every one that asks there.
+
+    Stored vectors of a large cell are dealt into blocks, and so are those that only ask.  A part is a pair of blocks, the
+    first of stored vectors, and holds about two times ``cell_size`` vectors at most.
+    """
+    sizes = posted.groupBy("cell").agg(F.count_if("stored").alias("n"), F.count_if(~F.col("stored")).alias("m"))
+    blocks = lambda c: F.ceil(F.col(c) / cell_size).cast("int")
+    large = sizes.where((F.col("n") > cell_size) | (F.col("m") > cell_size))
+    large = cut_lineage(large.select(F.col("cell").alias("large"), blocks("n").alias("p"), blocks("m").alias("q")))
     dealt = posted.join(small(large), F.col("cell") == F.col("large"), "left")
-    parts = F.coalesce("parts", F.lit(1))
-    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("node"), parts))
-    every = F.when(F.col("stored"), F.sequence(F.lit(0).cast("long"), parts - 1)).otherwise(F.array("own"))
-    dealt = dealt.withColumn("part", F.explode(every)).select(
-        "cell", "part", "stored", (F.col("part") == F.col("own")).alias("asks"), "node", "code", "error"
+    # Blocks of stored vectors have the numbers below p, the others those from there on.
+    own = F.when(F.col("stored"), F.pmod(F.xxhash64("node"), "p")).otherwise(F.col("p") + F.pmod(F.xxhash64("node"), "q")).cast("int")
+    dealt = dealt.withColumn("own", own)
+    all_blocks = F.when(F.col("p") == 0, F.array().cast("array<int>")).otherwise(
+        F.sequence(F.lit(0), F.when(F.col("stored"), F.col("p") + F.col("q") - 1).otherwise(F.col("p") - 1))
+    )
+    dealt = dealt.withColumn("other", F.explode(F.when(F.col("large").isNull(), F.array(F.lit(0))).otherwise(all_blocks)))
+    first, second = F.least("own", "other"), F.greatest("own", "other")
+    part = F.when(F.col("large").isNull(), F.lit(0).cast("long")).otherwise(F.shiftleft(first.cast("long"), 32) + second)
+    whole = F.col("large").isNull()
+    return dealt.select(
+        "cell",
+        part.alias("part"),
+        F.when(whole, F.col("stored")).otherwise(F.col("own") == first).alias("stored"),
+        (whole | (F.col("own") == second)).alias("asks"),
+        "node",
+        "code",
+        "error",
     )
 
+
+def candidates(posted: DataFrame, cosine: float, cell_size: int = CELL) -> DataFrame:
+    """``a, b``: distinct pairs that meet in a cell and may reach ``cosine``."""
+    dealt = dealt_cells(posted, cell_size)
+
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def pairs(table: pa.Table) -> pa.RecordBatch:
             cell, part, stored, asks, node, _, errors = (

@@ -88,3 +88,23 @@ def test_close_pairs_lose_nothing():
     found = S.close_pairs(np.zeros(n, int), np.ones(n, bool), np.ones(n, bool), np.arange(n), [c.tobytes() for c in codes], errors, 0.9)
     near = {(i, j) for i, j in itertools.combinations(range(n), 2) if units[i] @ units[j] >= 0.9}
     assert near <= {tuple(p) for p in found.tolist()}
+
+
+def test_hot_cells_stay_bounded(spark):
+    """No group of a cell that many store in, or ask, holds more than about two blocks, and all pairs of it still meet."""
+    rng = np.random.default_rng(5)
+    rows = []
+    for cell, stored, asking in ((1, 300, 200), (2, 3, 250), (3, 0, 250), (4, 12, 5)):
+        for i in range(stored + asking):
+            code = rng.normal(size=8) * 0.05 + 1
+            code = np.rint(code / np.linalg.norm(code) * 127).astype(np.int8)
+            rows.append((cell, i < stored, cell * 1000 + i, code.tobytes(), 0.05))
+    posted = spark.createDataFrame(rows, "cell long, stored boolean, node long, code binary, error float")
+    size = 25
+    groups = S.dealt_cells(posted, size).groupBy("cell", "part").count().collect()
+    assert max(r["count"] for r in groups) <= 4 * size
+    met = {(r["a"], r["b"]) for r in S.candidates(posted, 0.9, size).collect()}
+    want = set()
+    for cell, stored, asking in ((1, 300, 200), (2, 3, 250), (4, 12, 5)):
+        want |= {(cell * 1000 + i, cell * 1000 + j) for i in range(stored) for j in range(i + 1, stored + asking)}
+    assert met == want
