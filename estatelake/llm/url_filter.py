@@ -1,7 +1,7 @@
 """URL filter: prefix rules first, then logistic regression on hashed character n-grams of host and path.
 
-The labelled URL table is the URLs that a rule decides, at most ``LABELLED`` of each
-verdict, those with the smallest hashes.  Features are the distinct character
+The labelled URL table is the distinct pairs of host and path that a rule decides, at most ``LABELLED`` of each
+verdict, those with the smallest hashes; a pair that many rows repeat is learned once.  Features are the distinct character
 ``GRAM``-grams of ``host + path`` (each marked with its part), hashed into ``BUCKETS`` slots by Spark's ``HashingTF``.
 All of it is DataFrame work inside the JVM; no Python runs on the executors.
 
@@ -71,8 +71,9 @@ def grams(host: Column, path: Column) -> Column:
 def labelled_urls(pages: DataFrame, per_verdict: int) -> DataFrame:
     """A bounded table of rule-decided URLs: ``host, path`` and ``label`` (1 for block)."""
     order = F.xxhash64("host", "path").alias("order")
+    distinct = lambda verdict: pages.where(F.col("verdict") == verdict).select("host", "path", "verdict").distinct()
     picked = [
-        pages.where(F.col("verdict") == verdict).select("host", "path", "verdict", order).orderBy("order", "host", "path").limit(per_verdict)
+        distinct(verdict).select("host", "path", "verdict", order).orderBy("order", "host", "path").limit(per_verdict)
         for verdict in ("allow", "block")
     ]
     label = (F.col("verdict") == "block").cast("double")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from estatelake.llm.url_filter import filter_urls
+from estatelake.llm.url_filter import filter_urls, labelled_urls
 from tests.llm import brute
 from tests.llm.conftest import as_rows, clashing, expected
 
@@ -40,3 +40,10 @@ def test_without_labels_and_empty(spark):
     out = filter_urls(spark.createDataFrame([(1, "http://x.org/"), (2, None)], "page_id long, url string")).collect()
     assert {r["score"] for r in out} == {0.5} and {r["verdict"] for r in out} == {"block"}
     assert filter_urls(spark.createDataFrame([], "page_id long, url string")).count() == 0
+
+
+def test_repeated_urls_do_not_fill_the_labelled_table(spark):
+    rows = [(f"h{i}.com", f"/{i}", "allow") for i in range(20) for _ in range(30)] + [("a.net", "/es/", "block")] * 50
+    got = labelled_urls(spark.createDataFrame(rows, "host string, path string, verdict string"), 10).collect()
+    assert len({(r["host"], r["path"]) for r in got if r["label"] == 0}) == 10
+    assert [(r["host"], r["path"]) for r in got if r["label"] == 1] == [("a.net", "/es/")]
