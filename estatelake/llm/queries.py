@@ -10,6 +10,8 @@ from estatelake.llm.language_bloom import identify
 from estatelake.llm.lattice_neardup import near_vectors
 from estatelake.llm.license_diagonals import scan_licenses
 from estatelake.llm.lookup_sharding import place
+from estatelake.llm.merkle_manifest import fold, leaf, manifest, siblings
+from estatelake.llm.shared import lower_ascii
 from estatelake.llm.simhash_bktree import near_duplicates
 from estatelake.llm.slack_packing import pack
 from estatelake.llm.suffix_dedup import remove_repeats
@@ -107,6 +109,24 @@ def op10_wrapper_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("page_id"), "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, roots and proof of each document, and the root that its own or a tampered leaf folds to."""
+    columns = ["doc_id", "source", "lang", "n_chars", "text"]
+    forged = leaf([lower_ascii(F.col("text")) if c == "text" else F.col(c) for c in columns])
+    chosen = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    out = manifest(read(spark, sf_dir, "documents"), "doc_id", "source", columns, {"forged": F.when(chosen, forged)})
+    folded = out.withColumn("folded_root", fold(F.coalesce("more.forged", "leaf"), F.col("path")))
+    return folded.select(
+        F.col("key").alias("doc_id"),
+        "leaf",
+        "subroot",
+        "root",
+        F.sha2(siblings(F.col("path")), 256).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -120,5 +140,6 @@ QUERIES = {
         op8_license_scan,
         op9_url_filter,
         op10_wrapper_extract,
+        op12_merkle_manifest,
     )
 }
