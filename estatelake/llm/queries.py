@@ -11,6 +11,7 @@ from estatelake.llm.lattice_neardup import near_vectors
 from estatelake.llm.license_diagonals import scan_licenses
 from estatelake.llm.lookup_sharding import place
 from estatelake.llm.merkle_manifest import fold, leaf, manifest, siblings
+from estatelake.llm.prefix_trie import branched, trie, turn_lists
 from estatelake.llm.shared import lower_ascii
 from estatelake.llm.simhash_bktree import near_duplicates
 from estatelake.llm.slack_packing import pack
@@ -109,6 +110,21 @@ def op10_wrapper_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("page_id"), "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the trie of rebuilt conversations."""
+    nodes = trie(branched(turn_lists(read(spark, sf_dir, "conversations"))))
+    return nodes.select(
+        F.col("conv").alias("conv_id"),
+        "depth",
+        F.col("parent").alias("parent_conv_id"),
+        F.col("members").alias("n_convs"),
+        F.col("children").alias("n_children"),
+        F.col("leaves").alias("n_leaves"),
+        F.col("saved").alias("saved_tokens"),
+        F.coalesce("ends", F.sha2(F.lit(b""), 256)).alias("ends_sha256"),
+    )
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leaf, roots and proof of each document, and the root that its own or a tampered leaf folds to."""
     columns = ["doc_id", "source", "lang", "n_chars", "text"]
@@ -140,6 +156,7 @@ QUERIES = {
         op8_license_scan,
         op9_url_filter,
         op10_wrapper_extract,
+        op11_prefix_trie,
         op12_merkle_manifest,
     )
 }

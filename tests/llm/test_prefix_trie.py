@@ -1,0 +1,103 @@
+"""Conversation trie against a plain one."""
+
+from __future__ import annotations
+
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from estatelake.llm import prefix_trie as T
+from estatelake.llm import queries as Q
+from tests.llm import brute_trie
+from tests.llm.conftest import as_rows, clashing
+
+SCHEMA = "conv_id long, turn long, role string, text string"
+
+
+def result(monkeypatch, df):
+    monkeypatch.setattr(Q, "read", lambda *_: df)
+    return as_rows(Q.op11_prefix_trie(df.sparkSession, ""), "*")
+
+
+def conversations(seed, n=150):
+    """Few different turns, so that prefixes are shared; gaps, negative ids, nulls, copies, ties, a long one."""
+    rng, rows = random.Random(seed), []
+    said = ["", None, "Hello", "é" * 40, "x " * 300, "Hello "]
+    for c in rng.sample(range(-40, 2 * n), n):
+        copy = rng.random() < 0.3
+        for turn in range(3 if copy else rng.randint(1, 7)):
+            rows.append((c, turn, "user" if copy else rng.choice(["user", "bot", None]), "Same" if copy else rng.choice(said)))
+        if rng.random() < 0.1:
+            rows += [(c, None, "system", "first"), (c, None, "system", "early"), (c, 2, "bot", "tie"), rows[-1]]
+    rows += [(1000, i, "user", f"turn {i}") for i in range(500)] + [(1001, i, "user", f"turn {i}") for i in range(300)]
+    rows += [(None, 1, "user", "nobody"), (None, None, None, None), (2000, None, None, None)]
+    rng.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize(("seed", "shard"), [(1, 1 << 16), (2, 40), (3, 7)])
+def test_matches_plain_trie(spark, monkeypatch, seed, shard):
+    monkeypatch.setattr(T, "SHARD", shard)
+    rows = conversations(seed)
+    df = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    df = clashing(df) if seed == 2 else df
+    assert result(monkeypatch, df) == brute_trie.trie(rows)
+
+
+def test_small_tables(spark, monkeypatch):
+    for rows in ([], [(None, 1, "a", "b")], [(7, 1, "a", "b")], [(5, 0, "a", "b"), (6, 0, "a", "b")]):
+        assert result(monkeypatch, spark.createDataFrame(rows, SCHEMA)) == brute_trie.trie(rows)
+
+
+def lists(spark, paths):
+    said = {}
+    rows = [(c, [(f"{said.setdefault(t, len(said)):032x}", len(t)) for t in p]) for c, p in paths.items()]
+    return spark.createDataFrame(rows, "conv long, turns array<struct<said: string, size: int>>")
+
+
+def test_prefixes_of_other_paths_and_hot_copies(spark, monkeypatch):
+    """Paths that are prefixes of their neighbours, over shards of one path each, and a path of most conversations."""
+    monkeypatch.setattr(T, "SHARD", 1)
+    paths = {i: ("a" * (i % 9)) for i in range(60)} | {100 + i: "ab" for i in range(300)} | {900 + i: "ba" * i for i in range(6)}
+    got = as_rows(T.trie(lists(spark, paths)).drop("ends", "parent"), "*")
+    want = []
+    nodes = {p[:d] for p in paths.values() for d in range(len(p) + 1)}
+    for node in nodes:
+        own = [c for c, p in paths.items() if p.startswith(node)]
+        below = [x for x in nodes if x.startswith(node)]
+        leaf = [x for x in below if not any(y != x and y.startswith(x) for y in nodes)]
+        saved = sum((sum(p.startswith(x) for p in paths.values()) - 1) * bool(x) for x in below)
+        want.append((min(own), len(node), len(own), sum(len(x) == len(node) + 1 for x in below), len(leaf), saved))
+    assert got == sorted(want, key=repr)
+
+
+@pytest.mark.parametrize("n", [1, 5, 64, 1000])
+def test_find_close(n):
+    rng = random.Random(n)
+    signs, depth, left = [1], 1, n - 1
+    while depth:
+        up = left and (rng.random() < 0.6 or depth == 1)
+        signs.append(1 if up else -1)
+        depth, left = depth + (1 if up else -1), left - bool(up)
+    stack, want = [], {}
+    for i, s in enumerate(signs):
+        if s > 0:
+            stack.append(i)
+        else:
+            want[stack.pop()] = i
+    at = np.flatnonzero(np.array(signs) == 1)
+    assert T.find_close(np.cumsum(signs), at).tolist() == [want[i] for i in at.tolist()]
+
+
+def test_range_least():
+    values = np.random.default_rng(1).integers(0, 99, 50)
+    start, stop = map(np.array, zip(*[(i, j) for i in range(50) for j in range(i + 1, 51)], strict=True))
+    assert T.range_least(values, start, stop).tolist() == [values[i:j].min() for i, j in zip(start, stop, strict=True)]
+
+
+def test_texts_do_not_travel(spark):
+    df = spark.createDataFrame([(1, 0, "user", "x" * 100_000)], SCHEMA)
+    assert len(str(T.paths_of(T.turn_lists(df)).first())) < 1000
+    assert T.turn_lists(df.withColumn("text", F.lit(None).cast("string"))).first()["turns"][0]["size"] == 0
