@@ -16,6 +16,7 @@ from estatelake.llm.shared import lower_ascii
 from estatelake.llm.simhash_bktree import near_duplicates
 from estatelake.llm.slack_packing import pack
 from estatelake.llm.suffix_dedup import remove_repeats
+from estatelake.llm.superkmer_dedup import remove_windows
 from estatelake.llm.url_filter import filter_urls
 from estatelake.llm.wrapper_extract import main_texts
 
@@ -143,6 +144,14 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_superkmer_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of each document without the windows of 13 words that also start in an earlier document."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return remove_windows(docs).select(
+        F.col("row.doc_id").alias("doc_id"), "n_words", "n_removed", F.sha2(F.coalesce("kept", F.lit(b"")), 256).alias("kept_sha256")
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -158,5 +167,6 @@ QUERIES = {
         op10_wrapper_extract,
         op11_prefix_trie,
         op12_merkle_manifest,
+        op13_superkmer_dedup,
     )
 }
