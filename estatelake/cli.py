@@ -8,8 +8,9 @@
     python -m estatelake.cli sql    --root /data/lake "SELECT * FROM mart_avg_price_by_rooms"
 
 Every setting is an argument (no environment files); ``--input-bytes`` with ``--cores`` sizes the
-partitions of the run, ``--s3-endpoint`` with its keys names an object store.  ``sql`` reads the marts
-written by ``gold`` and prints the first 20 rows and the total row count.
+partitions of the run, ``--s3-endpoint`` with its keys names an object store.  ``--gold-mode merge`` makes the marts from
+the sums of the appends.  ``sql`` reads the marts written by ``gold``, and silver as ``silver_listings``, and prints the
+columns, the first 20 rows and the total row count; a statement that takes more than ``--seconds`` is stopped.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ from estatelake.plans.pipeline import Layout, run_gold, run_pipeline, run_silver
 from estatelake.plans.sqlapi import execute_sql, register
 from estatelake.schemas import MART_TABLES
 from estatelake.session import build_session, object_store_conf, scale_conf
+from estatelake.sources.files import read_mart, read_silver
 from estatelake.sources.messages import file_messages, kafka_messages
 from estatelake.streaming.ingest import run_bronze
 
@@ -49,6 +51,9 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--s3-secret-key")
     p.add_argument("--lenient-ints", action="store_true", help="accept 2.0 for integer fields")
     p.add_argument("--silver-mode", default="stream", choices=["stream", "state", "new_only", "reappend"])
+    p.add_argument("--gold-mode", default="full", choices=["full", "merge"])
+    p.add_argument("--seconds", type=float, default=60.0, help="time limit of an SQL statement")
+    p.add_argument("--exact-key", nargs="+", help="columns that tell CSV rows apart: the feed sends an exact share of them")
     p.add_argument("--jdbc-url")
     p.add_argument("--jdbc-user")
     p.add_argument("--jdbc-password")
@@ -97,7 +102,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
             parser.error("give --csv, and --inbox or --kafka/--topic")
         sink = {"fmt": "text", "path": args.inbox} if args.inbox else {
             "fmt": "kafka", "bootstrap_servers": args.kafka, "topic": args.topic}
-        publish_from_csv(spark, args.csv, fraction=args.fraction, seed=args.seed, multiline=args.multiline, **sink)
+        publish_from_csv(spark, args.csv, fraction=args.fraction, seed=args.seed,
+                         exact_key=args.exact_key, multiline=args.multiline, **sink)
     elif args.step == "bronze":
         run_bronze(_messages(spark, args), layout.bronze, layout.checkpoint("bronze"),
                    lenient_ints=args.lenient_ints)
@@ -105,17 +111,18 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         out.update(run_silver(spark, layout, args.silver_mode, args.max_files_per_trigger))
     elif args.step == "gold":
         url, props = _jdbc(args)
-        out.update(run_gold(spark, layout, url, props))
+        out.update(run_gold(spark, layout, url, props, args.gold_mode))
     elif args.step == "run":
         url, props = _jdbc(args)
         out.update(run_pipeline(spark, _messages(spark, args), layout, args.silver_mode, url, props,
-                                args.lenient_ints, args.max_files_per_trigger))
+                                args.lenient_ints, args.max_files_per_trigger, args.gold_mode))
     elif args.step == "sql":
         if not args.statement:
             raise SystemExit("give the SQL text")
-        register({name: spark.read.parquet(f"{layout.gold}/{name}") for name in MART_TABLES})
-        rows, total, error = execute_sql(spark, args.statement, n=20)
-        out.update({"error": error} if error else {"total_rows": total, "rows": rows})
+        register({name: read_mart(spark, layout.gold, name) for name in MART_TABLES})
+        register({"silver_listings": read_silver(spark, layout.silver)})
+        got = execute_sql(spark, args.statement, n=20, seconds=args.seconds)
+        out.update({"error": got.error} if got.error else {"total_rows": got.total, "columns": got.columns, "rows": got.rows})
     print(json.dumps(out, default=str))
     return out
 

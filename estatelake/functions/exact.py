@@ -24,20 +24,37 @@ def safe_ratio(num: str | Column, den: str | Column) -> Column:
     return F.try_divide(_col(num), _col(den))
 
 
+def exact_sums(c: str | Column) -> dict[str, Column]:
+    """The aggregates that an exact average is made of: ``sum`` (decimal), ``rest`` (double) and ``n``.
+
+    They can be added up over any parts of the rows and in any order: ``merged_sums``.
+    """
+    x = _col(c)
+    fitting = x.try_cast(EXACT)
+    return {"sum": F.sum(fitting), "rest": F.sum(F.when(fitting.isNull(), x)), "n": F.count(x)}
+
+
+def merged_sums(prefix: str) -> dict[str, Column]:
+    """``exact_sums`` of the union of parts, from the columns ``prefix_sum``, ``prefix_rest``, ``prefix_n``."""
+    return {k: F.sum(f"{prefix}_{k}") for k in ("sum", "rest", "n")}
+
+
+def avg_of_sums(sums: dict[str, Column], digits: int = 2) -> Column:
+    """The average that ``exact_sums`` stand for, rounded to ``digits``."""
+    total = F.coalesce(sums["sum"].cast("double"), F.lit(0.0)) + F.coalesce(sums["rest"], F.lit(0.0))
+    return F.round(F.try_divide(total, sums["n"].cast("double")), digits)
+
+
 def exact_avg(c: str | Column, digits: int = 2) -> Column:
-    """Average of ``c`` rounded to ``digits``, independent of partitioning, for every double.
+    """Average of ``c`` rounded to ``digits``, independent of partitioning below a magnitude of 10^22.
 
     ``avg(double)`` sums in whatever order the partial aggregates arrive, so the
     last bit (and sometimes the rounded cent) depends on the plan.  Values that
     fit ``EXACT`` are summed as decimals, at six decimals each; what does not fit (a
     magnitude of 10^22 or more, Infinity, NaN) is summed beside them as doubles, so that
-    Infinity and NaN reach the average as they do in ``avg``.  Both buffers are
+    Infinity and NaN reach the average as they do in ``avg``; finite values of that size keep the
+    order dependence of ``avg`` in their last bits.  Both buffers are
     hash-aggregatable, so map-side partial aggregation is kept.  NULLs are
     skipped as in ``avg``; an all-NULL group gives NULL.
     """
-    x = _col(c)
-    fitting = x.try_cast(EXACT)
-    total = F.coalesce(F.sum(fitting).cast("double"), F.lit(0.0)) + F.coalesce(
-        F.sum(F.when(fitting.isNull(), x)), F.lit(0.0)
-    )
-    return F.round(F.try_divide(total, F.count(x).cast("double")), digits)
+    return avg_of_sums(exact_sums(c), digits)

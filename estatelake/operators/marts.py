@@ -8,10 +8,15 @@ targets, so readers sort (see ``order_*`` and ``plans.sqlapi``).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 
-from estatelake.functions.exact import exact_avg
+from estatelake.functions.exact import avg_of_sums, exact_avg, exact_sums, merged_sums
+
+# The columns that the marts average.
+MEASURES = ("price", "price_per_sqm", "area")
+GROUPS = ("district", "listing_date", "rooms", "_rooms_ok")
+
 
 def mart_by_district(silver: DataFrame) -> DataFrame:
     """district → avg_price, avg_price_per_sqm, listing_count.  NULL district is a group."""
@@ -75,6 +80,18 @@ def order_by_rooms(mart: DataFrame) -> DataFrame:
     return mart.orderBy(F.col("rooms").asc_nulls_last())
 
 
+def _grouped(silver: DataFrame) -> GroupedData:
+    """Silver grouped for all three marts at once (GROUPING SETS)."""
+    rows = silver.select(
+        "district",
+        F.to_date("published_at").alias("listing_date"),
+        "rooms",
+        *MEASURES,
+        (F.col("rooms").isNotNull() & (F.col("rooms") > 0)).alias("_rooms_ok"),
+    )
+    return rows.groupingSets([["district"], ["listing_date"], ["rooms", "_rooms_ok"]], *GROUPS)
+
+
 def marts_aggregate(silver: DataFrame) -> DataFrame:
     """All three marts' groups from one scan of silver and one shuffle (GROUPING SETS).
 
@@ -83,25 +100,37 @@ def marts_aggregate(silver: DataFrame) -> DataFrame:
     The result holds one row per district, day and room count (``_gid`` tells
     the set apart), so its size is bounded by the number of groups.
     """
-    rows = silver.select(
-        "district",
-        F.to_date("published_at").alias("listing_date"),
-        "rooms",
-        "price",
-        "price_per_sqm",
-        "area",
-        (F.col("rooms").isNotNull() & (F.col("rooms") > 0)).alias("_rooms_ok"),
-    )
-    return rows.groupingSets(
-        [["district"], ["listing_date"], ["rooms", "_rooms_ok"]],
-        "district", "listing_date", "rooms", "_rooms_ok",
-    ).agg(
+    return _grouped(silver).agg(
         F.grouping_id().alias("_gid"),
-        exact_avg("price").alias("avg_price"),
-        exact_avg("price_per_sqm").alias("avg_price_per_sqm"),
-        exact_avg("area").alias("avg_area_sqm"),
+        *[exact_avg(m).alias(f"avg_{m}") for m in MEASURES],
         F.count(F.lit(1)).alias("n"),
-    )
+    ).withColumnRenamed("avg_area", "avg_area_sqm")
+
+
+def marts_partial(silver: DataFrame) -> DataFrame:
+    """The sums and counts of ``marts_aggregate`` for some rows of silver: one row per group of these rows.
+
+    Partials of disjoint sets of rows are merged by ``merge_partials``, so a run needs to read its new rows only.
+    """
+    parts = [col.alias(f"{m}_{k}") for m in MEASURES for k, col in exact_sums(m).items()]
+    return _grouped(silver).agg(F.grouping_id().alias("_gid"), *parts, F.count(F.lit(1)).alias("n"))
+
+
+def _merged(partials: DataFrame) -> tuple[GroupedData, dict[str, dict[str, Column]]]:
+    return partials.groupBy("_gid", *GROUPS), {m: merged_sums(m) for m in MEASURES}
+
+
+def add_partials(partials: DataFrame) -> DataFrame:
+    """Partials of any number of runs as one partial per group."""
+    groups, sums = _merged(partials)
+    return groups.agg(*[c.alias(f"{m}_{k}") for m in MEASURES for k, c in sums[m].items()], F.sum("n").alias("n"))
+
+
+def merge_partials(partials: DataFrame) -> DataFrame:
+    """What ``marts_aggregate`` gives over all rows that the partials stand for."""
+    groups, sums = _merged(partials)
+    averages = [avg_of_sums(sums[m]).alias(f"avg_{m}") for m in MEASURES]
+    return groups.agg(*averages, F.sum("n").alias("n")).withColumnRenamed("avg_area", "avg_area_sqm")
 
 
 def split_marts(agg: DataFrame) -> dict[str, DataFrame]:

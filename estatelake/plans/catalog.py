@@ -21,10 +21,10 @@ from estatelake.operators.sample import exact_sample
 from estatelake.plans import sqlapi
 from estatelake.plans.feed import publish_from_csv
 from estatelake.plans.pipeline import Layout, run_pipeline, run_silver
-from estatelake.schemas import DEDUP_KEY, MART_TABLES
+from estatelake.schemas import DEDUP_KEY
 from estatelake.session import scratch_path
-from estatelake.sinks.parquet import append_partitioned, overwrite
-from estatelake.sources.files import read_bronze, read_csv, read_silver
+from estatelake.sinks.parquet import MartStore, append_partitioned
+from estatelake.sources.files import read_bronze, read_csv, read_mart, read_silver
 from estatelake.sources.listings import as_bronze, bronze_listings, listings, read_table
 from estatelake.sources.messages import file_messages
 from estatelake.streaming.incremental import refine_batch, run_incremental_silver, run_state_silver
@@ -74,17 +74,18 @@ def _with_marts(spark: SparkSession, sf_dir: str, *names: str) -> None:
 
     The panels and SQL read what a pipeline run has stored; nothing is derived again per panel.
     """
-    root = scratch_path(spark, "marts")
+    layout = Layout(scratch_path(spark, "marts"))
     refined = silver(spark, sf_dir)
-    tables: dict[str, DataFrame] = {}
-    for name in names:
-        path = f"{root}/{name}"
-        if name == "silver_listings":
-            append_partitioned(refined, path)
-            tables[name] = read_silver(spark, path)
-        else:
-            overwrite(M.build_marts(refined)[name], path)
-            tables[name] = spark.read.schema(MART_TABLES[name]).parquet(path)
+    stored = [name for name in names if name != "silver_listings"]
+    if stored:
+        store = MartStore(spark, layout.gold)
+        for name in stored:
+            store.write(name, M.build_marts(refined)[name])
+        store.show()
+    tables = {name: read_mart(spark, layout.gold, name) for name in stored}
+    if "silver_listings" in names:
+        append_partitioned(refined, layout.silver)
+        tables["silver_listings"] = read_silver(spark, layout.silver)
     sqlapi.register(tables)
 
 
@@ -312,7 +313,25 @@ def q_gold_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     inbox = f"{layout.root}/inbox"
     messages.encode(listings(spark, sf_dir)).write.mode("append").text(inbox)
     run_pipeline(spark, file_messages(spark, inbox), layout, silver_mode="stream")
-    return spark.read.parquet(f"{layout.gold}/mart_avg_price_by_district")
+    return read_mart(spark, layout.gold, "mart_avg_price_by_district")
+
+
+def q_gold_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs of the whole pipeline, the marts merged from the sums of each run's new rows.
+
+    The first run's merge reads silver once; the second reads the sums only.  Returns the district and day
+    marts as stored, which do not depend on the arbitrary survivor of the streaming path.
+    """
+    layout = Layout(scratch_path(spark, "gold_merged"))
+    for run in (1, 2):
+        _deliver(spark, sf_dir, f"{layout.root}/inbox", run)
+        run_pipeline(spark, file_messages(spark, f"{layout.root}/inbox"), layout, gold_mode="merge")
+    by_district = read_mart(spark, layout.gold, "mart_avg_price_by_district")
+    by_day = read_mart(spark, layout.gold, "mart_listings_by_day")
+    columns = ["avg_price", "avg_price_per_sqm"]
+    return by_district.select(F.lit("district").alias("mart"), F.col("district").alias("key"), *columns, F.col("listing_count").alias("n")).union(
+        by_day.select(F.lit("day"), F.col("listing_date").cast("string"), *columns, "listings_count")
+    )
 
 
 # ---- dashboard and SQL surface ---------------------------------------------------------
@@ -405,6 +424,7 @@ QUERIES: dict[str, Query] = {
     "gold_daily": q_gold_daily,
     "gold_rooms": q_gold_rooms,
     "gold_end_to_end": q_gold_end_to_end,
+    "gold_merged": q_gold_merged,
     "dash_top_districts": q_dash_top_districts,
     "dash_daily": q_dash_daily,
     "dash_rooms": q_dash_rooms,

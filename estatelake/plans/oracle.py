@@ -187,6 +187,11 @@ ORACLE: dict[str, str] = {
         SELECT * REPLACE (CAST(listing_date AS VARCHAR) AS listing_date) FROM mart_listings_by_day""",
     "gold_rooms": f"WITH {MARTS} SELECT * FROM mart_avg_price_by_rooms",
     "gold_end_to_end": f"WITH {MARTS} SELECT * FROM mart_avg_price_by_district",
+    "gold_merged": f"""WITH {MARTS}
+        SELECT 'district' AS mart, district AS key, avg_price, avg_price_per_sqm, listing_count AS n
+        FROM mart_avg_price_by_district
+        UNION ALL SELECT 'day', CAST(listing_date AS VARCHAR), avg_price, avg_price_per_sqm, listings_count
+        FROM mart_listings_by_day""",
     # ---- dashboard and SQL surface ---------------------------------------------
     "dash_top_districts": f"""WITH {MARTS}
         SELECT district, avg_price, avg_price_per_sqm, listing_count

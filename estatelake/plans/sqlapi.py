@@ -8,9 +8,15 @@ windows, CTEs and set operations come from Spark SQL itself.
 from __future__ import annotations
 
 import datetime as dt
+import re
+import threading
+import uuid
+from dataclasses import dataclass, field
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 # Fixed value: what the assistant answers when the marts cannot answer a question.
 NO_ANSWER_SQL = "SELECT 'Cannot answer from available data' AS message"
@@ -61,6 +67,9 @@ TWO_ROOM_BY_DISTRICT = """
     WHERE  rooms = 2
     GROUP  BY district"""
 
+# A join without equal keys may multiply so many bytes by bytes at most: marts with marts, but not silver with silver.
+PRODUCT_BYTES = 10**13
+
 # Leaves of an analysed plan that read no table.
 _TABLELESS = {"OneRowRelation", "LocalRelation", "Range", "CTERelationRef"}
 
@@ -71,8 +80,17 @@ def register(tables: dict[str, DataFrame]) -> None:
         df.createOrReplaceTempView(name)
 
 
+# What a statement is made of, as far as its end is concerned: literals and names in quotes, comments, the rest.
+_PIECES = re.compile(r"""'(?:\\.|[^'\\])*'|"(?:\\.|[^"\\])*"|`[^`]*`|(--[^\n]*|/\*.*?\*/|;|\s+)|.""", re.DOTALL)
+
+
 def _clean(sql: str) -> str:
-    return sql.strip().rstrip(";").strip()
+    """The statement without the blanks, comments and semicolons at its end."""
+    end = 0
+    for piece in _PIECES.finditer(sql):
+        if piece.group(1) is None:
+            end = piece.end()
+    return sql[:end].strip()
 
 
 def _objection(df: DataFrame) -> str | None:
@@ -98,6 +116,24 @@ def _objection(df: DataFrame) -> str | None:
     return None
 
 
+def _size(plan) -> int:
+    return int(str(plan.stats().sizeInBytes()))
+
+
+def _unbounded_product(spark: SparkSession, df: DataFrame, limit: int = PRODUCT_BYTES) -> str | None:
+    """Why an optimised plan may not run: a join without an equality whose sides are both large."""
+    equal_keys = spark._jvm.org.apache.spark.sql.catalyst.planning.ExtractEquiJoinKeys
+    todo = [df._jdf.queryExecution().optimizedPlan()]
+    while todo:
+        node = todo.pop()
+        if node.getClass().getSimpleName() == "Join" and equal_keys.unapply(node).isEmpty():
+            if _size(node.left()) * _size(node.right()) > limit:
+                return "a join of two large tables needs an equality between their columns"
+        for seq in (node.children(), node.subqueries()):
+            todo += [seq.apply(i) for i in range(seq.size())]
+    return None
+
+
 def hasattr_jvm(node, name: str) -> bool:
     """Whether a JVM object has a public method without arguments of that name."""
     return any(m.getName() == name and m.getParameterCount() == 0 for m in node.getClass().getMethods())
@@ -147,22 +183,70 @@ def preview(
         return None, str(exc)
 
 
-def execute_sql(
-    spark: SparkSession, sql: str, n: int = 20, args: dict | None = None
-) -> tuple[list[dict], int, str | None]:
-    """Run one read-only statement: its first ``n`` rows, its total row count, and the error text.
+@dataclass
+class SqlResult:
+    """What a statement gave: its columns as named (names may repeat), its first rows, how many there are, or the error text."""
+
+    columns: list[str] = field(default_factory=list)
+    rows: list[tuple] = field(default_factory=list)
+    total: int = 0
+    error: str | None = None
+
+
+class Deadline:
+    """Cancels the Spark jobs that this thread starts within the context once ``seconds`` have passed."""
+
+    def __init__(self, spark: SparkSession, seconds: float | None):
+        self._context, self.seconds, self.passed = spark.sparkContext, seconds, False
+        self._tag, self._over = f"deadline-{uuid.uuid4().hex}", threading.Event()
+
+    def _watch(self) -> None:
+        if self._over.wait(self.seconds):
+            return
+        self.passed = True
+        while not self._over.wait(0.2):  # again: a query that is cancelled between two jobs starts the next
+            self._context.cancelJobsWithTag(self._tag)
 
-    Whatever fails, in parsing, analysis or at run time, comes back as text with no rows.
+    def __enter__(self) -> Deadline:
+        if self.seconds is not None:
+            self._context.addJobTag(self._tag)
+            threading.Thread(target=self._watch, daemon=True).start()
+        return self
+
+    def __exit__(self, *_exc) -> None:
+        self._over.set()
+        if self.seconds is not None:
+            self._context.removeJobTag(self._tag)
+
+
+def execute_sql(
+    spark: SparkSession, sql: str, n: int = 20, args: dict | None = None, seconds: float | None = 60.0
+) -> SqlResult:
+    """Run one read-only statement once: its first ``n`` rows, and its row count observed on the way.
+
+    The rows are numbered in the order of the statement and the first ones taken as each task's
+    smallest numbers, so all of its rows are passed by the counter and none but ``n`` per task are kept.
+    Whatever fails, in parsing, analysis or at run time, comes back as text with no rows; so does a
+    statement that takes more than ``seconds`` or joins two large tables without an equality.
     """
-    df, err = preview(spark, sql, n, args)
+    frame, err = run_sql(spark, sql, args)
     if err:
-        return [], 0, err
+        return SqlResult(error=err)
+    seen, names = Observation(), frame.columns
+    # Columns by place: names may clash with each other and with the number.
+    placed = frame.toDF(*[f"c{i}" for i in range(len(names))]).observe(seen, F.count(F.lit(1)).alias("rows"))
+    first = placed.withColumn("at", F.monotonically_increasing_id()).orderBy("at").limit(n).drop("at")
     try:
-        rows = [r.asDict() for r in df.collect()]  # ``n`` rows at most
-    except PySparkException as exc:
-        return [], 0, str(exc)
-    total = rows[0]["total_rows"] if rows else 0
-    return [{k: v for k, v in r.items() if k != "total_rows"} for r in rows], total, None
+        refused = _unbounded_product(spark, first)
+        if refused:
+            return SqlResult(error=refused)
+        with Deadline(spark, seconds) as deadline:
+            rows = [tuple(r) for r in first.collect()]  # ``n`` rows at most
+    except (PySparkException, Py4JJavaError) as exc:
+        late = "deadline" in locals() and deadline.passed
+        return SqlResult(error=f"stopped after {seconds:g} s" if late else str(exc))
+    counted = seen._jo.getRow()  # none if Spark finds while it runs that there is nothing to read
+    return SqlResult(names, rows, int(counted.getLong(0)) if counted.length() else 0)
 
 
 def day_count(spark: SparkSession, day: dt.date | None = None) -> DataFrame:

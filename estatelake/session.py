@@ -8,6 +8,7 @@ import uuid
 import zipfile
 from pathlib import Path
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 # Settings the library relies on.  UTC keeps ``to_date`` and the ISO stamp stable;
@@ -98,6 +99,56 @@ def delete(spark: SparkSession, path: str) -> None:
     at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    """Make a folder, and those above it, unless it exists."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(at)
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders in a folder; none if it does not exist."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(s.getPath().getName() for s in fs.listStatus(at)) if fs.exists(at) else []
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """The text of a small file, or ``None`` if it does not exist."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(at):
+        return None
+    source = fs.open(at)
+    try:
+        return bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(source)).decode()
+    finally:
+        source.close()
+
+
+def replace_text(spark: SparkSession, path: str, text: str, overwrite: bool = True) -> bool:
+    """Put a small file in place whole, by a rename; without ``overwrite``, return whether it was not there before."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    draft = jvm.org.apache.hadoop.fs.Path(at.getParent(), f"_draft-{uuid.uuid4().hex}")
+    fs = at.getFileSystem(conf)
+    out = fs.create(draft, True)
+    try:
+        out.write(text.encode())
+    finally:
+        out.close()
+    kind = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    how = spark.sparkContext._gateway.new_array(kind, 1)
+    how[0] = kind.OVERWRITE if overwrite else kind.NONE
+    try:
+        jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), conf).rename(draft, at, how)
+    except Py4JJavaError as exc:
+        fs.delete(draft, False)
+        if not overwrite and fs.exists(at):
+            return False
+        raise exc
+    return True
+
+
 def clean_scratch(spark: SparkSession) -> None:
     """Delete the scratch folders that this process has made."""
     while _scratch:

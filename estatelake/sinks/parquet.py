@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+from estatelake.sinks import versions
 
 
 def append_partitioned(df: DataFrame, path: str, partition_col: str = "district") -> None:
@@ -24,3 +26,16 @@ def append_partitioned(df: DataFrame, path: str, partition_col: str = "district"
 def overwrite(df: DataFrame, path: str) -> None:
     """Replace a mart folder; AQE sizes its files (a ``REBALANCE`` merges small partitions and splits large ones)."""
     df.hint("rebalance").write.mode("overwrite").parquet(path)
+
+
+class MartStore:
+    """The marts of one run, shown together: written to a fresh version, readers see it with ``show``."""
+
+    def __init__(self, spark: SparkSession, gold_path: str):
+        self.spark, self.root, self.version = spark, gold_path, versions.fresh(gold_path)
+
+    def write(self, name: str, mart: DataFrame) -> None:
+        overwrite(mart, f"{self.version}/{name}")
+
+    def show(self) -> None:
+        versions.flip(self.spark, self.root, self.version)

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StringType, StructField, StructType
 
-from estatelake.schemas import BRONZE, SILVER
+from estatelake.schemas import BRONZE, MART_TABLES, SILVER
+from estatelake.sinks import versions
 
 
 def read_csv(
@@ -52,6 +53,14 @@ def read_silver(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(SILVER).parquet(path)
 
 
+def read_mart(spark: SparkSession, gold_path: str, name: str) -> DataFrame:
+    """A stored mart, of the version that was written whole last: all marts come from one run."""
+    version = versions.current(spark, gold_path)
+    if version is None:
+        raise ValueError(f"no marts have been written to {gold_path} yet")
+    return spark.read.schema(MART_TABLES[name]).parquet(f"{version}/{name}")
+
+
 def read_jdbc(
     spark: SparkSession,
     url: str,

@@ -9,14 +9,14 @@ appended.
 A listing's key is its raw dedup key, before dates are parsed and blanks become
 NULL.  Silver's files carry 128 bits of its hash in two columns beside the silver columns
 (``KEY_HASH``; readers with the declared schema do not see them), so what counts
-as one listing does not depend on how bronze is cut into batches.
+as one listing does not depend on how bronze is cut into batches.  A batch is checked
+against the key table beside silver (``append_log``), never against silver itself.
 
 Each silver folder belongs to one way of writing (``claim``): a run that would mix
 two of them in a folder is refused.
 
-Retries: ``foreachBatch`` is at-least-once.  The anti join against silver makes
-a replayed batch harmless once its files are committed (the rows are then
-found in silver and skipped); a failed write job commits no files.
+Retries: ``foreachBatch`` is at-least-once.  A replayed batch adds only what its earlier
+attempts did not, whether they were lost before, in or after the write (``append_log``).
 """
 
 from __future__ import annotations
@@ -26,29 +26,33 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from estatelake.operators.refine import deduplicate, derive, drop_incomplete, normalize_types
-from estatelake.schemas import BRONZE, DEDUP_KEY, SILVER
-from estatelake.session import exists
+from estatelake.schemas import BRONZE, DEDUP_KEY
+from estatelake.session import delete, list_names, make_folder, read_text, replace_text
 from estatelake.sinks.parquet import append_partitioned
 from estatelake.sources.files import read_bronze
-
-KEY_HASH = ["key_hash_1", "key_hash_2"]
+from estatelake.streaming.append_log import KEY_HASH, AppendLog, columns_of_silver
 
 # The ways of writing silver and the modes that share one: both anti-join modes hold each key once.
 WRITERS = {"stream": "keyed", "new_only": "keyed", "state": "state", "reappend": "reappend"}
 
 
 def claim(spark: SparkSession, silver_path: str, mode: str) -> None:
-    """Mark a silver folder as written by ``mode``'s way of writing; raise if it belongs to another."""
+    """Mark a silver folder as written by ``mode``'s way of writing; raise if it belongs to another.
+
+    The mark is put in place whole and only once, so of two first starts one wins.
+    """
     if mode not in WRITERS:
         raise ValueError(f"unknown silver mode: {mode}")
-    for writer in sorted(set(WRITERS.values())):
-        if writer != WRITERS[mode] and exists(spark, f"{silver_path}/_written_{writer}"):
-            raise ValueError(f"{silver_path} is written by mode(s) "
-                             f"{', '.join(m for m, w in WRITERS.items() if w == writer)}; use another folder for {mode!r}")
-    mark = spark._jvm.org.apache.hadoop.fs.Path(f"{silver_path}/_written_{WRITERS[mode]}")
-    mark.getFileSystem(spark._jsc.hadoopConfiguration()).create(mark, True).close()
+    mark = f"{silver_path}/_written_by"
+    owner = read_text(spark, mark)
+    if owner is None and not replace_text(spark, mark, WRITERS[mode], overwrite=False):
+        owner = read_text(spark, mark)
+    if owner not in (None, WRITERS[mode]):
+        raise ValueError(f"{silver_path} is written by mode(s) "
+                         f"{', '.join(m for m, w in WRITERS.items() if w == owner)}; use another folder for {mode!r}")
 
 
 def with_key_hash(rows: DataFrame, key: Sequence[str] = DEDUP_KEY) -> DataFrame:
@@ -62,44 +66,9 @@ def with_key_hash(rows: DataFrame, key: Sequence[str] = DEDUP_KEY) -> DataFrame:
     return rows.withColumns({name: F.xxhash64(F.lit(name), *parts) for name in KEY_HASH})
 
 
-def _existing_keys(spark: SparkSession, silver_path: str) -> DataFrame | None:
-    """Key hashes and partition columns of silver, or ``None`` before the first append."""
-    if not exists(spark, silver_path):
-        return None
-    fields = [f"{f.name} {f.dataType.simpleString()}" for f in SILVER.fields if f.name in ("published_at", "district")]
-    return spark.read.schema(", ".join([f"{k} long" for k in KEY_HASH] + fields)).parquet(silver_path)
-
-
-def only_new(rows: DataFrame, silver: DataFrame | None, raw: DataFrame | None = None) -> DataFrame:
-    """Rows whose key hash silver does not hold.
-
-    Silver is cut to rows that can match at all: the districts of the batch (a semi-join
-    on the partition column) and the range of its ``published_at``, read as one row, or
-    NULL; the range is a filter pushed to the Parquet scan.  ``raw`` holds the batch as it came, before
-    dedup and types (default: what ``rows`` says).
-    """
-    if silver is None:
-        return rows
-    batch = rows if raw is None else normalize_types(raw)
-    lo, hi, no_date, no_district = batch.agg(
-        F.min(F.unix_micros("published_at")),
-        F.max(F.unix_micros("published_at")),
-        F.bool_or(F.col("published_at").isNull()),
-        F.bool_or(F.col("district").isNull()),
-    ).first()
-    when = F.lit(False)
-    if lo is not None:
-        when = F.col("published_at").between(F.timestamp_micros(F.lit(lo)), F.timestamp_micros(F.lit(hi)))
-    if no_date:
-        when = when | F.col("published_at").isNull()
-    near = silver.where(when)
-    # Plain equality on the partition column beside a side with a comparison: Spark then prunes the partitions
-    # by the batch's districts as it runs.  ('' and NULL are one partition of silver.)
-    named = (rows if raw is None else raw).select("district").where("district > ''").distinct()
-    old = near.join(named, "district", "left_semi").select(*KEY_HASH)
-    if no_district:
-        old = old.union(near.where("district IS NULL").select(*KEY_HASH))
-    return rows.join(old, KEY_HASH, "left_anti")
+def only_new(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """Rows whose key hash ``keys`` does not hold (an anti join, bucket to bucket where ``keys`` is the key table)."""
+    return rows.join(keys.select(*KEY_HASH), KEY_HASH, "left_anti")
 
 
 def _count(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
@@ -120,17 +89,20 @@ def append_new(
     report: dict[str, int] | None = None,
     against_silver: bool = True,
     unique: bool = False,
+    name: str | None = None,
+    key_buckets: int | None = None,
 ) -> None:
     """Refine bronze rows and append them to silver, with ``against_silver`` only those with new keys.
 
-    ``unique`` says that no key repeats within ``batch``.
+    ``unique`` says that no key repeats within ``batch``.  ``name`` tells a batch that is played again
+    from a new one.  ``key_buckets``: of the key table, when it is made.
 
-    Nothing is cached: the refine, the anti join and the write are one job.
     ``report`` receives the rows read, left by the dedup, left by the null filter, and
     appended (added to what it holds); the counts are observed in the same job.  Without
     it, Catalyst moves the null filter below the dedup shuffle.
     """
-    spark = batch.sparkSession
+    log = AppendLog(batch.sparkSession, silver_path, key_buckets)
+    attempts = log.settle(name)
     raw = with_key_hash(batch)
     counts: dict[str, Observation] = {}
 
@@ -144,12 +116,20 @@ def append_new(
     if not unique:
         rows = deduplicate(rows, [*DEDUP_KEY, *KEY_HASH], order_by)
     rows = counted(drop_incomplete(counted(rows, "dedup_rows")), "valid_rows")
-    rows = derive(normalize_types(rows)).select(*[f.name for f in SILVER.fields], *KEY_HASH)
+    rows = derive(normalize_types(rows)).select(*columns_of_silver(), *KEY_HASH)
     if against_silver:
-        rows = only_new(rows, _existing_keys(spark, silver_path), drop_incomplete(batch))
-    append_partitioned(counted(rows, "silver_appended"), silver_path)
-    for name, seen in counts.items():
-        report[name] = report.get(name, 0) + _observed(seen)
+        rows = only_new(rows, log.keys())
+    elif attempts and name is not None:
+        rows = only_new(rows, log.rows(*attempts))
+    log.append(counted(rows, "silver_appended"), lambda df: append_partitioned(df, silver_path), name, attempts)
+    for stage, seen in counts.items():
+        report[stage] = report.get(stage, 0) + _observed(seen)
+
+
+def batch_name(batch: DataFrame, batch_id: int) -> str | None:
+    """A name of a micro-batch that it has again when it is replayed: the query's id, kept in its checkpoint, and its number."""
+    query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    return f"{query}-{batch_id}" if query else None
 
 
 def start_incremental_silver(
@@ -163,13 +143,10 @@ def start_incremental_silver(
 ) -> StreamingQuery:
     """Stream bronze → silver, adding only new keys (``availableNow`` run)."""
     claim(spark, silver_path, "stream")
-    reader = spark.readStream.schema(BRONZE)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    stream = reader.parquet(bronze_path)
+    stream = _bronze_stream(spark, bronze_path, max_files_per_trigger)
     return (
         stream.writeStream.foreachBatch(
-            lambda df, _batch_id: append_new(df, silver_path, order_by, report)
+            lambda df, batch_id: append_new(df, silver_path, order_by, report, name=batch_name(df, batch_id))
         )
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
@@ -177,12 +154,30 @@ def start_incremental_silver(
     )
 
 
+def _bronze_stream(spark: SparkSession, bronze_path: str, max_files_per_trigger: int | None) -> DataFrame:
+    reader = spark.readStream.schema(BRONZE)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    return reader.parquet(bronze_path)
+
+
 def run_incremental_silver(spark: SparkSession, *args, **kwargs) -> StreamingQuery:
     query = start_incremental_silver(spark, *args, **kwargs)
     query.awaitTermination()
     return query
 
 
+def thin(batch: DataFrame) -> DataFrame:
+    """Bronze rows that can reach silver, one of each key, with the key hash.
+
+    A batch aggregate, so it has a partial one before the shuffle: a listing that a third of the
+    rows repeat leaves each task as one row.
+    """
+    # Batch dedup (an aggregate) returns 0.0 for signed zeros; so does this.
+    zeros = {c: F.when(F.col(c) == 0.0, F.lit(0.0)).otherwise(F.col(c)) for c in ("price", "area")}
+    return with_key_hash(drop_incomplete(batch).withColumns(zeros)).dropDuplicates(KEY_HASH)
+
+
 def start_state_silver(
     spark: SparkSession,
     bronze_path: str,
@@ -193,47 +188,60 @@ def start_state_silver(
 ) -> StreamingQuery:
     """Stream bronze → silver with the seen keys kept in the streaming state store.
 
-    Streaming dedup on the key hash remembers every key it has emitted (16 bytes
-    each, partitioned by key over the shuffle partitions, checkpointed next to
-    the offsets), so a micro-batch is checked against its own keys only: the
-    cost per batch follows the batch, not the size of silver.  Rows that can
-    never reach silver (NULL/NaN price or area) are dropped before the state,
-    which keeps the same key set as the batch order dedup → filter.  The
-    survivor among duplicates is arbitrary.  For large state use the RocksDB state
-    store (``scale_conf`` sets it).
-
-    Two dedups follow each other: the first is on (key, input partition), so that a
-    listing that a third of the rows repeat is thinned out where it is spread over
-    the cluster, and the second, on the key, gets at most one row of it per input partition.
-
-    Each micro-batch is appended with the adaptive sizing of the batch sink.  Only
-    the first micro-batch after a start can be a replay, so only that one is checked
-    against silver.  The number of state partitions is the session's
-    ``spark.sql.shuffle.partitions`` when the query first starts; Spark keeps it
+    Two queries follow each other.  The first has no state: it thins each micro-batch of bronze to one
+    row per key (``thin``) and writes it to a folder below its checkpoint.  The second, which is returned, has
+    one state operator: streaming dedup on the key hash, which remembers every key it has emitted
+    (16 bytes of hash each, partitioned by key, checkpointed next to the offsets).  So a micro-batch is checked
+    against its own keys only, and a hot key reaches its state partition as one row per micro-batch of
+    bronze.  Rows that can never reach silver (NULL/NaN price or area) are dropped before the state,
+    which keeps the same key set as the batch order dedup → filter.  The survivor among
+    duplicates is arbitrary.  For large state use the RocksDB state store (``scale_conf`` sets it).
+
+    A replayed micro-batch of the first query overwrites its own folder; one of the second adds what its earlier
+    attempts did not.  Thinned rows go when the second query has taken them.  The number of state
+    partitions is the session's ``spark.sql.shuffle.partitions`` when the query first starts; Spark keeps it
     in the checkpoint, so size it for the cluster the query will run on.
     """
     claim(spark, silver_path, "state")
-    reader = spark.readStream.schema(BRONZE)
+    thinned = f"{checkpoint}/thinned"
+    make_folder(spark, thinned)
+
+    def write_thin(batch: DataFrame, batch_id: int) -> None:
+        seen = None
+        if report is not None:
+            batch, seen = _count(batch, "bronze_rows")
+        thin(batch).hint("rebalance").write.mode("overwrite").parquet(f"{thinned}/batch-{batch_id}")
+        if seen is not None:
+            report["bronze_rows"] = report.get("bronze_rows", 0) + _observed(seen)
+
+    bronze = _bronze_stream(spark, bronze_path, max_files_per_trigger)
+    first = bronze.writeStream.foreachBatch(write_thin).option("checkpointLocation", f"{checkpoint}/thin")
+    first.trigger(availableNow=True).start().awaitTermination()
+
+    def append(batch: DataFrame, batch_id: int) -> None:
+        counts: dict[str, int] | None = None if report is None else {}
+        append_new(batch.drop(*KEY_HASH), silver_path, report=counts, against_silver=False, unique=True, name=batch_name(batch, batch_id))
+        for stage, n in (counts or {}).items():
+            if stage != "bronze_rows":
+                report[stage] = report.get(stage, 0) + n
+
+    reader = spark.readStream.schema(f"{_ddl(BRONZE)}, {', '.join(f'{k} long' for k in KEY_HASH)}").option("recursiveFileLookup", "true")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    valid = drop_incomplete(reader.parquet(bronze_path))
-    # Batch dedup (an aggregate) returns 0.0 for signed zeros; so does this.
-    zeros = {c: F.when(F.col(c) == 0.0, F.lit(0.0)).otherwise(F.col(c)) for c in ("price", "area")}
-    valid = with_key_hash(valid.withColumns(zeros))
-    spread = valid.withColumn("_input", F.spark_partition_id())
-    fresh = spread.dropDuplicates([*KEY_HASH, "_input"]).dropDuplicates(KEY_HASH).drop("_input", *KEY_HASH)
-    started: list[int] = []
+    second = reader.parquet(thinned).dropDuplicates(KEY_HASH).writeStream.foreachBatch(append)
+    return second.option("checkpointLocation", f"{checkpoint}/state").trigger(availableNow=True).start()
 
-    def append(batch: DataFrame, batch_id: int) -> None:
-        append_new(batch, silver_path, report=report, against_silver=not started, unique=True)
-        started.append(batch_id)
 
-    return fresh.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def _ddl(schema: StructType) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
 
 
-def run_state_silver(spark: SparkSession, *args, **kwargs) -> StreamingQuery:
-    query = start_state_silver(spark, *args, **kwargs)
+def run_state_silver(spark: SparkSession, bronze_path: str, silver_path: str, checkpoint: str, **kwargs) -> StreamingQuery:
+    """``start_state_silver`` to its end; what was thinned is taken then, and deleted."""
+    query = start_state_silver(spark, bronze_path, silver_path, checkpoint, **kwargs)
     query.awaitTermination()
+    for name in list_names(spark, f"{checkpoint}/thinned"):
+        delete(spark, f"{checkpoint}/thinned/{name}")
     return query
 
 

@@ -19,7 +19,11 @@ def test_steps_in_order_then_sql(spark, scratch):
     assert gold["silver_rows"] == silver_of(spark, SF_SMALL).count()
     res = cli.main(["sql", "--root", root,
                     "SELECT rooms, listing_count FROM mart_avg_price_by_rooms ORDER BY rooms;"], spark)
-    assert res["total_rows"] == 6 and [r["rooms"] for r in res["rows"]] == [1, 2, 3, 4, 5, 6]
+    assert res["total_rows"] == 6 and res["columns"] == ["rooms", "listing_count"] and [r[0] for r in res["rows"]] == [1, 2, 3, 4, 5, 6]
+    flats = cli.main(["sql", "--root", root, "SELECT district, avg(price) FROM silver_listings WHERE rooms = 2 GROUP BY district"], spark)
+    assert flats["total_rows"] == 26
+    merged = cli.main(["gold", "--root", root, "--gold-mode", "merge"], spark)
+    assert {k: v for k, v in merged.items() if k != "step"} == {k: v for k, v in gold.items() if k != "step"}
     bad = cli.main(["sql", "--root", root, "DROP TABLE mart_avg_price_by_rooms"], spark)
     assert "error" in bad
     late = cli.main(["sql", "--root", root, "SELECT raise_error('late') FROM mart_avg_price_by_rooms"], spark)

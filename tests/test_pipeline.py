@@ -7,7 +7,7 @@ import pytest
 from estatelake.operators import messages
 from estatelake.plans.catalog import silver as silver_of
 from estatelake.plans.pipeline import Layout, run_pipeline
-from estatelake.sources.files import read_silver
+from estatelake.sources.files import read_mart, read_silver
 from estatelake.sources.listings import listings
 from estatelake.sources.messages import file_messages
 from tests.conftest import SF_SMALL
@@ -35,7 +35,7 @@ def test_pipeline_twice(spark, scratch, mode):
     second = run_pipeline(spark, file_messages(spark, inbox), layout, silver_mode=mode)
     assert {k: v for k, v in second.items() if k.startswith("mart")} == {k: v for k, v in first.items() if k.startswith("mart")}
     assert second["silver_rows"] == expected and second["silver_appended"] == 0
-    mart = spark.read.parquet(f"{layout.gold}/mart_avg_price_by_district")
+    mart = read_mart(spark, layout.gold, "mart_avg_price_by_district")
     assert mart.count() == 26
     assert len(mart.inputFiles()) == 1  # a small mart is merged into one file
     assert sum(r["listing_count"] for r in mart.collect()) == expected
