@@ -67,8 +67,7 @@ def pivot(nodes: DataFrame, fanout: int) -> DataFrame:
 
     The only node of a tree is handed on as it is.
     """
-    slot = F.col("pos") % fanout
-    slots = [F.first(F.when(slot == s, F.col("cell")), ignorenulls=True).alias(f"slot_{s}") for s in range(fanout)]
+    slots = [F.expr(f"first(CASE WHEN pos % {fanout} = {s} THEN cell END, true)").alias(f"slot_{s}") for s in range(fanout)]
     runs = nodes.groupBy("tree", F.floor(F.col("pos") / fanout).cast("long").alias("pos")).agg(F.max("n").alias("n"), *slots)
     joined = digest(*[F.coalesce(F.col(f"slot_{s}.hash"), F.lit("")) for s in range(fanout)])
     return cut_lineage(runs.withColumn("hash", F.when(F.col("n") == 1, F.col("slot_0.hash")).otherwise(joined)))
@@ -89,17 +88,12 @@ def levels(nodes: DataFrame, fanout: int) -> list[DataFrame]:
 
 def hand_down(level: DataFrame, paths: DataFrame, fanout: int) -> DataFrame:
     """The children of a level's rows with their paths: ``paths`` of the level's own nodes, one step longer."""
-    said = [F.coalesce(F.col(f"slot_{s}.hash"), F.lit("")) for s in range(fanout)]
-    children = [
-        F.struct(
-            F.lit(s).alias("slot"),
-            F.col(f"slot_{s}").alias("cell"),
-            F.concat(F.lit(""), *said[:s]).alias("before"),
-            F.concat(F.lit(""), *said[s + 1 :]).alias("after"),
-        )
+    said = [f"coalesce(slot_{s}.hash, '')" for s in range(fanout)]
+    slots = ", ".join(
+        f"struct({s} AS slot, slot_{s} AS cell, concat('', {', '.join(said[:s]) or "''"}) AS before, concat('', {', '.join(said[s + 1 :]) or "''"}) AS after)"
         for s in range(fanout)
-    ]
-    runs = level.select("tree", "pos", "n", F.filter(F.array(*children), lambda x: x["cell"].isNotNull()).alias("children"))
+    )
+    runs = level.select("tree", "pos", "n", F.expr(f"filter(array({slots}), x -> x.cell IS NOT NULL)").alias("children"))
     kept = [c for c in paths.columns if c not in ("tree", "pos", "path", "cell")]
     met = runs.join(paths.select("tree", "pos", "path", *kept), ["tree", "pos"]).withColumn("child", F.explode("children"))
     step = F.when(F.col("n") == 1, F.array().cast(STEP)).otherwise(F.array(F.struct("child.before", "child.after")).cast(STEP))

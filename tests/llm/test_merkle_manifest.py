@@ -50,9 +50,9 @@ def test_other_partitions_and_clashing_columns(spark, monkeypatch):
 
 
 @pytest.mark.parametrize("rows", [
-    [], [(1, "a", "en", 3, "Abc")], [(None, None, None, None, None)], [(1, "a", "en", 3, "Abc"), (2, "b", "en", 3, "Abc")],
+    [], [(None, None, None, None, None)], [(1, "a", "en", 3, "Abc"), (2, "b", "en", 3, "Abc")],
     [(7, "a", None, None, "same")] * 40 + [(None, "a", None, None, "same")] * 300,
-], ids=["empty", "one", "nulls", "lone leaves", "repeats"])
+], ids=["empty", "one, all null", "lone leaves", "repeats"])
 def test_small_tables(spark, monkeypatch, rows):
     assert result(monkeypatch, spark, table(spark, rows)) == brute_tree.manifest(rows)
 
