@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from estatelake.schemas import TS_FORMAT
 
-# Fixed value: ISO-8601 with microseconds and a numeric offset (``+00:00`` in UTC).
-ISO_STAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"
+# ISO-8601 with microseconds and the numeric offset of UTC.
+ISO_STAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+ISO_STAMP_UTC = "+00:00"
 
 
 def parse_published_at(c: str | Column, fmt: str = TS_FORMAT) -> Column:
@@ -18,5 +19,7 @@ def parse_published_at(c: str | Column, fmt: str = TS_FORMAT) -> Column:
 
 
 def iso_stamp(ts: Column | None = None) -> Column:
-    """ISO-8601 UTC text of ``ts`` (default: the batch's ``current_timestamp()``)."""
-    return F.date_format(ts if ts is not None else F.current_timestamp(), ISO_STAMP_FORMAT)
+    """ISO-8601 UTC text of ``ts`` (default: the batch's ``current_timestamp()``), whatever zone the session is in."""
+    at = ts if ts is not None else F.current_timestamp()
+    utc = F.convert_timezone(F.current_timezone(), F.lit("UTC"), at.cast("timestamp_ntz"))
+    return F.concat(F.date_format(utc, ISO_STAMP_FORMAT), F.lit(ISO_STAMP_UTC))

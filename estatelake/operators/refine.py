@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from estatelake.functions.exact import round2, safe_ratio
@@ -21,6 +21,17 @@ NUMERIC_TYPES = {
 }
 
 
+def key_hash(rows: DataFrame, key: Sequence[str], salt: str) -> Column:
+    """64 bits of the hash of a key: NULL differs from '', signed zeros are one."""
+    parts = []
+    for c in key:
+        value = F.col(c)
+        if dict(rows.dtypes)[c] == "double":
+            value = F.when(value == 0.0, F.lit(0.0)).otherwise(value)
+        parts += [value.isNull(), value]
+    return F.xxhash64(F.lit(salt), *parts)
+
+
 def deduplicate(
     df: DataFrame,
     key: Sequence[str] = DEDUP_KEY,
@@ -28,23 +39,32 @@ def deduplicate(
 ) -> DataFrame:
     """Keep one row per ``key`` (NULLs equal, NaNs equal, -0.0 = 0.0).
 
-    ``order_by=None`` keeps an arbitrary survivor (``dropDuplicates``, cheapest).
-    With ``order_by`` the survivor is the smallest row under ``order_by`` and
-    then every remaining column, NULLs first: a total order, so the result does
-    not depend on partitioning or retries.  It is a ``min(struct)`` aggregate:
-    the partial aggregate runs before the shuffle, so a key that holds a third
-    of all rows still reaches the reducer as one row per map task.
+    ``order_by=None`` keeps an arbitrary survivor (``dropDuplicates``; columns that are not read later are
+    not carried).  With ``order_by`` the survivor is the smallest row
+    under ``order_by`` and then every remaining column, NULLs first: a total order, so the result does
+    not depend on partitioning or retries.  Either is an aggregate with a partial one before the
+    shuffle, so a key that holds a third of all rows still reaches the reducer as one row per map task.
+
+    With ``order_by`` rows are grouped by fixed-width values only: text columns of the key stand as 128 bits of
+    their hash, so the sorts of the aggregate compare numbers, and the row travels as one struct beside them.  The
+    other columns of the key stay as they are, so that filters on them still move below the aggregate.
     """
     key = list(key)
     if order_by is None:
         return df.dropDuplicates(key)
+    kinds = dict(df.dtypes)
+    texts = [c for c in key if kinds[c] in ("string", "binary")]
+    hashes = [f"_key_{i}" for i in (1, 2)] if texts else []
+    fixed = [c for c in key if c not in texts]
     rest = [c for c in df.columns if c not in key]
-    order = list(order_by) + [c for c in rest if c not in order_by]
-    survivor = F.min(F.struct(*[F.col(c) for c in order])).alias("_survivor")
-    picked = df.groupBy(*key).agg(survivor)
+    order = [c for c in order_by if c not in key] + [c for c in rest if c not in order_by] + texts
+    if not order:
+        return df.dropDuplicates(key)
+    row = F.struct(*[F.col(f"`{c}`") for c in order])
+    hashed = df.withColumns({name: key_hash(df, texts, name) for name in hashes})
+    picked = hashed.groupBy(*hashes, *fixed).agg(F.min(row).alias("_survivor"))
     return picked.select(
-        *[F.col(c) for c in key],
-        *[F.col("_survivor").getField(c).alias(c) for c in order],
+        *fixed, *[F.col("_survivor").getField(c).alias(c) for c in order]
     ).select(*df.columns)
 
 

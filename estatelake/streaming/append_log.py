@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from estatelake.operators.marts import add_partials, marts_partial
 from estatelake.schemas import SILVER
-from estatelake.session import list_names, read_text, replace_text, shared_root
+from estatelake.session import list_names, make_folder, read_text, replace_text, shared_root
 from estatelake.sinks import versions
 
 KEY_HASH = ["key_hash_1", "key_hash_2"]
@@ -83,10 +83,13 @@ class AppendLog:
     def _current_keys(self) -> str | None:
         return versions.current(self.spark, self.key_root)
 
-    def _made_keys(self, keys: DataFrame, buckets: int) -> str:
-        """Make ``keys`` the key table, in a fresh version."""
+    def _made_keys(self, keys: DataFrame | None, buckets: int) -> str:
+        """Make ``keys`` (none: an empty one) the key table, in a fresh version."""
         folder = versions.fresh(self.key_root, str(buckets))
-        self._add_keys(folder, keys)
+        if keys is None:
+            make_folder(self.spark, folder)
+        else:
+            self._add_keys(folder, keys)
         versions.flip(self.spark, self.key_root, folder)
         return folder
 
@@ -94,11 +97,18 @@ class AppendLog:
         """The keys that silver holds; the table is made from silver's files where there is none yet."""
         folder = self._current_keys()
         if folder is None:
-            folder = self._made_keys(self.rows(), self._buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions")))
+            buckets = self._buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+            folder = self._made_keys(self.rows() if self.has_rows() else None, buckets)
         name, _ = self._key_table(folder)
         self.spark.catalog.refreshTable(name)
         return self.spark.table(name)
 
+    def has_keys(self) -> bool:
+        """Whether there is any key to check a batch against; the key table is made if there is none yet."""
+        if self._current_keys() is None:
+            self.keys()
+        return any(name.endswith(".parquet") for name in list_names(self.spark, self._current_keys()))
+
     def compact_keys(self, files_per_bucket: int = 8) -> bool:
         """Write the key table anew, one file per bucket, if it has more than ``files_per_bucket`` on the average."""
         folder = self._current_keys()

@@ -28,8 +28,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from estatelake.operators.refine import deduplicate, derive, drop_incomplete, normalize_types
-from estatelake.schemas import BRONZE, DEDUP_KEY
+from estatelake.operators.refine import deduplicate, derive, drop_incomplete, key_hash, normalize_types
+from estatelake.schemas import BRONZE, CRITICAL, DEDUP_KEY
 from estatelake.session import delete, list_names, make_folder, read_text, replace_text
 from estatelake.sinks.parquet import append_partitioned
 from estatelake.sources.files import read_bronze
@@ -39,6 +39,10 @@ from estatelake.streaming.append_log import KEY_HASH, AppendLog, columns_of_silv
 WRITERS = {"stream": "keyed", "new_only": "keyed", "state": "state", "reappend": "reappend"}
 
 
+# What a listing is grouped by: the hash of its key, and the numbers in it, so that filters on them move below the dedup.
+UNIQUE = [*KEY_HASH, *CRITICAL]
+
+
 def claim(spark: SparkSession, silver_path: str, mode: str) -> None:
     """Mark a silver folder as written by ``mode``'s way of writing; raise if it belongs to another.
 
@@ -57,13 +61,7 @@ def claim(spark: SparkSession, silver_path: str, mode: str) -> None:
 
 def with_key_hash(rows: DataFrame, key: Sequence[str] = DEDUP_KEY) -> DataFrame:
     """``rows`` with the hash of the raw key: NULL differs from '', signed zeros are one."""
-    parts = []
-    for c in key:
-        value = F.col(c)
-        if dict(rows.dtypes)[c] == "double":
-            value = F.when(value == 0.0, F.lit(0.0)).otherwise(value)
-        parts += [value.isNull(), value]
-    return rows.withColumns({name: F.xxhash64(F.lit(name), *parts) for name in KEY_HASH})
+    return rows.withColumns({name: key_hash(rows, key, name) for name in KEY_HASH})
 
 
 def only_new(rows: DataFrame, keys: DataFrame) -> DataFrame:
@@ -114,11 +112,11 @@ def append_new(
 
     rows = counted(raw, "bronze_rows")
     if not unique:
-        rows = deduplicate(rows, [*DEDUP_KEY, *KEY_HASH], order_by)
+        rows = deduplicate(rows, UNIQUE, order_by or ())
     rows = counted(drop_incomplete(counted(rows, "dedup_rows")), "valid_rows")
     rows = derive(normalize_types(rows)).select(*columns_of_silver(), *KEY_HASH)
     if against_silver:
-        rows = only_new(rows, log.keys())
+        rows = only_new(rows, log.keys()) if log.has_keys() else rows
     elif attempts and name is not None:
         rows = only_new(rows, log.rows(*attempts))
     log.append(counted(rows, "silver_appended"), lambda df: append_partitioned(df, silver_path), name, attempts)
@@ -168,14 +166,12 @@ def run_incremental_silver(spark: SparkSession, *args, **kwargs) -> StreamingQue
 
 
 def thin(batch: DataFrame) -> DataFrame:
-    """Bronze rows that can reach silver, one of each key, with the key hash.
+    """Bronze rows that can reach silver, the smallest one of each key, with the key hash.
 
     A batch aggregate, so it has a partial one before the shuffle: a listing that a third of the
     rows repeat leaves each task as one row.
     """
-    # Batch dedup (an aggregate) returns 0.0 for signed zeros; so does this.
-    zeros = {c: F.when(F.col(c) == 0.0, F.lit(0.0)).otherwise(F.col(c)) for c in ("price", "area")}
-    return with_key_hash(drop_incomplete(batch).withColumns(zeros)).dropDuplicates(KEY_HASH)
+    return deduplicate(with_key_hash(drop_incomplete(batch)), UNIQUE, ())
 
 
 def start_state_silver(

@@ -6,6 +6,7 @@ import json
 import math
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from estatelake.operators import messages
@@ -91,3 +92,16 @@ def test_encode_parse_round_trip(spark):
                                                      "string", "string", "string", "string", "string"])))
     back = messages.parse(messages.encode(recs), time_col=None).collect()[0]
     assert {c: back[c] for c in MESSAGE_FIELDS} == GOOD
+
+
+@pytest.mark.parametrize("zone", ["UTC", "Asia/Tokyo", "America/New_York"])
+def test_iso_stamp_is_utc_in_any_session(spark, zone):
+    from estatelake.functions.timefmt import iso_stamp
+
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        at = F.timestamp_micros(F.lit(1_704_164_645_006_007))
+        assert spark.range(1).select(iso_stamp(at).alias("s")).first()["s"] == "2024-01-02T03:04:05.006007+00:00"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
