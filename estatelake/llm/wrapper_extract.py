@@ -51,8 +51,9 @@ BLOCKS = frozenset(
 )
 CLOSES_P = BLOCKS - frozenset("body caption dd dt head html legend li summary tbody tfoot thead tr".split())
 SIBLINGS = {"li": "li", "dt": "dt dd", "dd": "dt dd", "tr": "tr", "p": "p"}  # a start tag that ends an open one
+DRAWINGS = frozenset(["svg"])  # stand in the line of text, without text of their own
 LISTS = frozenset("ul ol dl menu table".split())  # an open item outside of these is not ended
-JUNK_TAGS = frozenset("nav footer aside form dialog menu search button select svg object canvas audio video map math".split()) | RAW | {"head"}
+JUNK_TAGS = frozenset("nav footer aside form dialog menu search button select object canvas audio video map".split()) | RAW | {"head"}
 JUNK_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar toolbar".split())
 
 # Words in a class or id that name something beside the article.
@@ -65,7 +66,7 @@ JUNK_WORDS = frozenset(
 )
 ARTICLE_WORDS = frozenset("comment comments commentlist reply ad ads advert related recommended promo sponsored teaser".split())
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>|</?[a-zA-Z][^>]*(?:>|\Z)", re.S)
+TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]++|=\s*+(?:\"[^\"]*\"|'[^']*'|[^>\s]*+))*+)>|</?[a-zA-Z][^>]*(?:>|\Z)", re.S)
 ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
@@ -171,7 +172,7 @@ def parse(page: str) -> Node:
                 stack[-1].children.append(node)
                 stack.append(node)
                 opened[tag] += 1
-        elif attributes and named_junk(tag, attributes, opened["article"] > 0) and tag not in VOID:
+        elif tag in DRAWINGS or attributes and named_junk(tag, attributes, opened["article"] > 0) and tag not in VOID:
             stop = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at)
             at = stop.end() if stop else at  # an inline element beside the article
     while len(stack) > 1:

@@ -182,3 +182,14 @@ def test_long_lists_are_matched_in_full():
     long = [f"<ul><li>{i}</ul>" + "<h2>h</h2>" * (1500 + 200 * i) + "<ul><li>template at the end</ul><pre>t</pre>" for i in range(2)]
     x, y = (W.parse(p) for p in long)
     assert "template at the end" in {p.text for p, q in W.align(x, y) if p.text == q.text}
+
+
+@pytest.mark.parametrize(("html", "text"), [
+    ('<article><p class=a">first text here</p><p class=b">second text here</p></article>', "first text here\n\nsecond text here"),
+    ("<article><p title='a>b'>one</p><p title=\"a'>b\" class = 'x'>two</p><p a=1 b='2'c=\"3\">three</p></article>", "one\n\ntwo\n\nthree"),
+    ("<article><p>it's <b title=don't>five</b> o'clock</p><p>\"quoted\" text</p></article>", "it's five o'clock\n\n\"quoted\" text"),
+    ("<article><p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn></math> be.</p></article>", "Let x=1 be."),
+    ('<article><p>An <svg viewBox="0 0 1 1"><title>icon</title><path d="M0"/></svg> icon.</p></article>', "An icon."),
+], ids=["stray quotes", "quotes", "apostrophes", "math", "drawing"])
+def test_no_article_text_is_lost(html, text):
+    assert W.extract([html]) == [text]
