@@ -441,7 +441,8 @@ def cut_out(text: Column, removed: Column, whole_characters: bool = False) -> Co
         left = b"".join(kept)
         gone = len(data) - len(left)
         if whole_characters and gone:
-            left = left.decode("utf-8", "ignore").encode()
+            # Run by run, or halves of two characters would make a third.
+            left = b"".join(run.decode("utf-8", "ignore").encode() for run in kept)
         return len(data), gone, runs, left
 
     @F.pandas_udf("n_bytes long, n_removed long, n_spans long, kept binary")

@@ -62,6 +62,17 @@ def test_whole_characters(spark):
     assert bytes(kept[1]).decode() == rows[0][1] and bytes(kept[2]).decode() == "ß" * 10 and kept[3] is None
 
 
+def test_halves_of_two_characters_make_no_third(spark):
+    """100 bytes from the second byte of one character to the first of another are removed: neither leaves a half."""
+    hole = "\u00e9" + "x" * 98 + "\u00e8"
+    first = "\u0169" + "x" * 98 + "\u00e0"  # has the second byte of the one and the first of the other
+    assert first.encode()[1:101] == hole.encode()[1:101]
+    rows = [(1, first), (2, hole + "tail")]
+    out = S.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), whole_characters=True)
+    kept = {r["doc_id"]: bytes(r["kept"]).decode() for r in out.selectExpr("row.doc_id", "kept").collect()}
+    assert kept == {1: first, 2: "tail"}
+
+
 def test_suffix_order_is_the_sorted_order():
     rng = random.Random(3)
     texts = [bytes(rng.choice(b"abA\0\xff") for _ in range(rng.randint(17, 60))) for _ in range(200)] + [b"a" * 50, b"ab" * 30]
