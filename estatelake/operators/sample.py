@@ -5,23 +5,27 @@
 exactly ``round(n * fraction)`` rows (what a pandas ``sample(frac=...)`` gives)
 without sorting the data or limiting it through one task:
 
-1. every row gets a 64-bit hash of (seed, unique key), the same on any retry;
+1. every row gets a 64-bit hash of (seed, unique key), the same on any retry; without a unique key
+   the rows are written to the shared checkpoint folder first and hashed by their place there, so that
+   repeated rows are drawn one by one like all others;
 2. the k-th smallest hash is found by radix selection: at most four passes,
    each a partial-aggregated histogram of the next 16 bits of the hash among
    rows that share the prefix chosen so far (at most 65,536 rows come back per
    pass, a fixed bound whatever the data size);
 3. the sample is a filter ``hash <= threshold`` evaluated on all partitions in
-   parallel.  Only when several rows share the threshold hash exactly (a 64-bit
-   collision) are those few rows ranked by key.
+   parallel.  Rows that share the threshold hash exactly (a 64-bit collision, or a key that was not
+   unique) are counted per task, and each task keeps its share of those still needed.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from estatelake.session import shared_root
+
 DIGIT_BITS = 16
 PASSES = 64 // DIGIT_BITS
 DIGIT_MASK = (1 << DIGIT_BITS) - 1
@@ -36,15 +40,37 @@ def sample_size(n: int, fraction: float) -> int:
     return int(round(n * fraction))
 
 
+def _some_of(rows: DataFrame, need: int) -> DataFrame:
+    """``need`` of the rows: the first ones of the first tasks, by a count per task; no task gets rows of another."""
+    shared_root(rows.sparkSession)
+    held = rows.checkpoint().withColumn("_at", F.monotonically_increasing_id())
+    held = held.withColumns({"_task": F.shiftright("_at", 33), "_at": F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))})
+    last = 0
+    for last, n in sorted((r["_task"], r["n"]) for r in held.groupBy("_task").agg(F.count(F.lit(1)).alias("n")).collect()):
+        if need <= n:
+            break
+        need -= n
+    return held.where((F.col("_task") < last) | ((F.col("_task") == last) & (F.col("_at") < need))).drop("_at", "_task")
+
+
 def exact_sample(
     df: DataFrame,
     fraction: float,
-    key: Sequence[str],
+    key: Sequence[str] | None,
     seed: int = 0,
 ) -> DataFrame:
-    """Exactly ``round(n * fraction)`` rows; ``key`` must identify a row uniquely."""
+    """Exactly ``round(n * fraction)`` rows, each row as likely as any other.
+
+    ``key`` identifies a row (the sample is then the same for any partitioning); ``None`` says that nothing does: rows may repeat.
+    """
     h = F.col("_h")
-    hashed = df.withColumn("_h", F.xxhash64(F.lit(seed), *[F.col(c) for c in key]))
+    if key is None:
+        shared_root(df.sparkSession)
+        df = df.checkpoint()
+        identity = [F.monotonically_increasing_id()]
+    else:
+        identity = [F.col(c) for c in key]
+    hashed = df.withColumn("_h", F.xxhash64(F.lit(seed), *identity))
     prefix = 0  # value of the chosen high bits, as an arithmetic right shift of h
     below = 0  # rows whose hash prefix is smaller than the chosen one
     k = None
@@ -72,13 +98,7 @@ def exact_sample(
         prefix = d
         if need == c:  # the whole bucket completes the sample
             return hashed.where(top <= F.lit(prefix)).drop("_h")
-    # 64 bits fixed and several rows share this exact hash: take ``need`` of them by key.
+    # 64 bits fixed and several rows share this exact hash: any ``need`` of them.
     threshold = prefix
-    w = Window.partitionBy("_h").orderBy(*[F.col(c).asc_nulls_first() for c in key])
-    ties = (
-        hashed.where(h == F.lit(threshold))
-        .withColumn("_r", F.row_number().over(w))
-        .where(F.col("_r") <= F.lit(need))
-        .drop("_r")
-    )
+    ties = _some_of(hashed.where(h == F.lit(threshold)), need)
     return hashed.where(h < F.lit(threshold)).unionByName(ties).drop("_h")
