@@ -4,6 +4,7 @@
     python -m estatelake.cli bronze --root s3a://bucket/lake --kafka host:9092 --topic t
     python -m estatelake.cli silver --root /data/lake [--silver-mode stream|state|new_only|reappend]
     python -m estatelake.cli gold   --root /data/lake [--jdbc-url jdbc:postgresql://... --jdbc-user u]
+    python -m estatelake.cli compact --root /data/lake     # few files per district of silver again
     python -m estatelake.cli run    --root /data/lake --inbox /data/inbox
     python -m estatelake.cli sql    --root /data/lake "SELECT * FROM mart_avg_price_by_rooms"
 
@@ -27,12 +28,13 @@ from estatelake.schemas import MART_TABLES
 from estatelake.session import build_session, object_store_conf, scale_conf
 from estatelake.sources.files import read_mart, read_silver
 from estatelake.sources.messages import file_messages, kafka_messages
+from estatelake.streaming.append_log import AppendLog
 from estatelake.streaming.ingest import run_bronze
 
 
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="estatelake")
-    p.add_argument("step", choices=["feed", "bronze", "silver", "gold", "run", "sql"])
+    p.add_argument("step", choices=["feed", "bronze", "silver", "gold", "run", "compact", "sql"])
     p.add_argument("statement", nargs="?", help="SQL text for the sql step")
     p.add_argument("--root", help="lake root (bronze/, silver/, gold/, checkpoints/)")
     p.add_argument("--inbox", help="folder of JSON-lines message files (offline source)")
@@ -51,6 +53,7 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--s3-secret-key")
     p.add_argument("--lenient-ints", action="store_true", help="accept 2.0 for integer fields")
     p.add_argument("--silver-mode", default="stream", choices=["stream", "state", "new_only", "reappend"])
+    p.add_argument("--max-files", type=int, default=8, help="files of a district above which compact rewrites it")
     p.add_argument("--gold-mode", default="full", choices=["full", "merge"])
     p.add_argument("--seconds", type=float, default=60.0, help="time limit of an SQL statement")
     p.add_argument("--exact-key", nargs="+", help="columns that tell CSV rows apart: the feed sends an exact share of them")
@@ -116,6 +119,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         url, props = _jdbc(args)
         out.update(run_pipeline(spark, _messages(spark, args), layout, args.silver_mode, url, props,
                                 args.lenient_ints, args.max_files_per_trigger, args.gold_mode))
+    elif args.step == "compact":
+        out["files_replaced"] = AppendLog(spark, layout.silver).compact(args.max_files)
     elif args.step == "sql":
         if not args.statement:
             raise SystemExit("give the SQL text")

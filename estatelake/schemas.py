@@ -102,3 +102,8 @@ MART_TABLES = {
     "mart_listings_by_day": MART_BY_DAY,
     "mart_avg_price_by_rooms": MART_BY_ROOMS,
 }
+
+
+def ddl(schema: StructType) -> str:
+    """A schema as text, with names in quotes."""
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StringType, StructField, StructType
 
-from estatelake.schemas import BRONZE, MART_TABLES, SILVER
+from estatelake.schemas import BRONZE, MART_TABLES, SILVER, ddl
 from estatelake.sinks import versions
+from estatelake.sinks.compaction import silver_rows
 
 
 def read_csv(
@@ -50,7 +51,7 @@ def read_silver(spark: SparkSession, path: str) -> DataFrame:
     integers; the explicit schema keeps them strings.  ``WHERE district = ...``
     on the result prunes partitions.
     """
-    return spark.read.schema(SILVER).parquet(path)
+    return silver_rows(spark, path, ddl(SILVER))
 
 
 def read_mart(spark: SparkSession, gold_path: str, name: str) -> DataFrame:

@@ -27,12 +27,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from estatelake.operators.marts import add_partials, marts_partial
-from estatelake.schemas import SILVER
+from estatelake.schemas import SILVER, ddl
 from estatelake.session import list_names, make_folder, read_text, replace_text, shared_root
 from estatelake.sinks import versions
+from estatelake.sinks.compaction import compact, silver_rows
 
 KEY_HASH = ["key_hash_1", "key_hash_2"]
 APPEND_ID = "append_id"
+STORED = ", ".join([ddl(SILVER), *[f"{k} long" for k in KEY_HASH], f"{APPEND_ID} string"])  # silver's files with what readers skip
 PARTIAL_FOLDERS = 32  # appends whose partials are kept apart; more are added up at the next merge
 
 
@@ -56,13 +58,17 @@ class AppendLog:
 
     def rows(self, *attempts: str) -> DataFrame:
         """Rows of silver with their key hashes: all, or those of some appends (a filter pushed to the scan)."""
-        extra = ", ".join([f"{k} long" for k in KEY_HASH] + [f"{APPEND_ID} string"])
-        fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in SILVER.fields)
         if not self.has_rows():
-            return self.spark.createDataFrame([], f"{fields}, {extra}")
-        rows = self.spark.read.schema(f"{fields}, {extra}").parquet(self.path)
+            return self.spark.createDataFrame([], STORED)
+        rows = silver_rows(self.spark, self.path, STORED)
         return rows.where(F.col(APPEND_ID).isin(*attempts)) if attempts else rows
 
+    def compact(self, max_files: int = 8) -> int:
+        """Rewrite the districts, and the key table, that have more than ``max_files`` files each, or per bucket."""
+        replaced = compact(self.spark, self.path, STORED, max_files) if self.has_rows() else 0
+        self.compact_keys(max_files)
+        return replaced
+
     # ---- key table -----------------------------------------------------------------
 
     def _key_table(self, folder: str) -> tuple[str, int]:

@@ -26,10 +26,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
 
 from estatelake.operators.refine import deduplicate, derive, drop_incomplete, key_hash, normalize_types
-from estatelake.schemas import BRONZE, CRITICAL, DEDUP_KEY
+from estatelake.schemas import BRONZE, CRITICAL, DEDUP_KEY, ddl
 from estatelake.session import delete, list_names, make_folder, read_text, replace_text
 from estatelake.sinks.parquet import append_partitioned
 from estatelake.sources.files import read_bronze
@@ -221,17 +220,13 @@ def start_state_silver(
             if stage != "bronze_rows":
                 report[stage] = report.get(stage, 0) + n
 
-    reader = spark.readStream.schema(f"{_ddl(BRONZE)}, {', '.join(f'{k} long' for k in KEY_HASH)}").option("recursiveFileLookup", "true")
+    reader = spark.readStream.schema(f"{ddl(BRONZE)}, {', '.join(f'{k} long' for k in KEY_HASH)}").option("recursiveFileLookup", "true")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     second = reader.parquet(thinned).dropDuplicates(KEY_HASH).writeStream.foreachBatch(append)
     return second.option("checkpointLocation", f"{checkpoint}/state").trigger(availableNow=True).start()
 
 
-def _ddl(schema: StructType) -> str:
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-
-
 def run_state_silver(spark: SparkSession, bronze_path: str, silver_path: str, checkpoint: str, **kwargs) -> StreamingQuery:
     """``start_state_silver`` to its end; what was thinned is taken then, and deleted."""
     query = start_state_silver(spark, bronze_path, silver_path, checkpoint, **kwargs)
