@@ -35,6 +35,7 @@ from estatelake.sinks.compaction import compact, silver_rows
 KEY_HASH = ["key_hash_1", "key_hash_2"]
 APPEND_ID = "append_id"
 STORED = ", ".join([ddl(SILVER), *[f"{k} long" for k in KEY_HASH], f"{APPEND_ID} string"])  # silver's files with what readers skip
+MOST_BUCKETS = 4096  # a key table of 10^11 keys has 400 MB a bucket then
 PARTIAL_FOLDERS = 32  # appends whose partials are kept apart; more are added up at the next merge
 
 
@@ -42,11 +43,17 @@ def columns_of_silver() -> list[str]:
     return [f.name for f in SILVER.fields]
 
 
+def default_buckets(spark: SparkSession) -> int:
+    """Buckets of a new key table: enough to keep all cores busy in a join, but an append writes up to a file for each."""
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, min(partitions, 4 * spark.sparkContext.defaultParallelism, MOST_BUCKETS))
+
+
 class AppendLog:
     """The side tables of one silver folder."""
 
     def __init__(self, spark: SparkSession, silver_path: str, buckets: int | None = None):
-        """``buckets`` of the key table: fixed when it is made (default: the shuffle partitions of that session)."""
+        """``buckets`` of the key table: fixed when it is made (default: ``default_buckets`` of that session)."""
         self.spark, self.path, self._buckets = spark, silver_path, buckets
         self.key_root, self.partial_root = f"{silver_path}/_keys", f"{silver_path}/_partials"
 
@@ -103,7 +110,7 @@ class AppendLog:
         """The keys that silver holds; the table is made from silver's files where there is none yet."""
         folder = self._current_keys()
         if folder is None:
-            buckets = self._buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+            buckets = self._buckets or default_buckets(self.spark)
             folder = self._made_keys(self.rows() if self.has_rows() else None, buckets)
         name, _ = self._key_table(folder)
         self.spark.catalog.refreshTable(name)
