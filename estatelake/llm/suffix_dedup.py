@@ -8,6 +8,12 @@ Windows in a row with the same minimizer travel as one segment.  Equal segments
 documents are sent once, with their earliest place; the later ones are known to be repeats
 there and then, so a passage that very many documents share weighs one segment per block.
 
+*Hot minimizers.*  A string that is common and hashes low gathers windows that are all
+different.  A first pass over a sample of the text's pieces lists the minimizers whose segments hold
+more than ``HOT`` bytes (the ``LISTED`` heaviest); their windows meet by the minimizer among longer
+strings instead (``GRAMS``), and where that one is hot too, by the whole window.  The lists
+decide where windows meet and nothing else: equal windows always take the same way.
+
 *Sorting.*  A bucket's segments whose minimizer is not the only one of its kind form one text
 with an end mark after each, sorted in two stages: only the suffixes that are smaller than
 their successors are sorted directly; every other one is placed by scanning the buckets of
@@ -19,8 +25,8 @@ neighbours that agree so far is one repeated string, and all its places but the
 
 Results do not depend on how documents are dealt over tasks.  A bucket holds about
 ``BUCKET`` bytes of windows at any input size, plus, of a passage that many documents share, one
-segment per block and one for each of its different surroundings.  One suffix array
-covers the segments of a few minimizers, ``SORTED`` bytes or those of one minimizer.
+segment per block.  One suffix array covers the segments of a few minimizers, ``SORTED`` bytes or
+those of one minimizer, which are about ``HOT`` bytes unless more than ``LISTED`` are as heavy.
 
 Defined results: a null text is an empty one; a null id is smaller than all others;
 earlier means a smaller (id, start), so of rows that repeat an id, the places with equal
@@ -30,6 +36,7 @@ starts are on a par; other columns are ignored.
 from __future__ import annotations
 
 import struct
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,18 +46,24 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from estatelake.llm.shared import give_back, tuples
+from estatelake.llm.shared import BROADCAST_ROWS, cut_lineage, give_back, tuples
 from estatelake.session import ship_package
 
 LENGTH = 100
 GRAM = 16
+GRAMS = (GRAM, 48)  # bytes of a minimizer, and of that which takes the place of a hot one
+PAD = 48  # bytes behind the texts of a block, so that every place has a gram
 BUCKET = 1 << 19
 SORTED = 1 << 20  # bytes of segments in one suffix array, or those of one minimizer if they are more
 UNIT = 8 << 20  # bytes of documents whose equal segments are sent once
+HOT = 4 << 20  # bytes of one minimizer's segments beyond which they are dealt anew
+LISTED = 1 << 17  # hot minimizers at most, the heaviest
+PIECE = 1 << 16  # bytes of the pieces that are sampled to find them
+SAMPLE = 16  # one piece in so many
 BLOCK = 1 << 18  # bytes hashed at a time; below 2^24, so that a place fits beside 40 bits of hash
 PLACE = np.uint64((1 << 24) - 1)
 SPAN_BITS = 20  # a span is one long: start, then length in this many bits
-KINDS = ("<i8", "<i8", "<i4", "<u2", "<u2")  # of a segment: id (as a difference), start, mark, size, minimizer's place
+KINDS = ("<i8", "<i8", "<i8", "<u2", "<u2")  # of a segment: id (as a difference), start, mark, size, minimizer's place
 FIRST = -(1 << 63)  # stands for a null id
 
 # Odd multipliers of the hash, from the fractional parts of the golden ratio and of the roots of 2 and 3.
@@ -62,26 +75,36 @@ def words_at(raw: np.ndarray) -> np.ndarray:
     return np.ndarray((len(raw) - 7,), "<u8", raw, strides=(1,))
 
 
-def gram_hash(words: np.ndarray, at: np.ndarray | slice) -> np.ndarray:
-    """Hash of the ``GRAM`` bytes from each place on."""
-    low = words[at]
-    high = words[8:][at] if isinstance(at, slice) else words[at + 8]
-    mixed = low * MIX[0]
-    mixed ^= mixed >> np.uint64(31)
-    mixed += high * MIX[1]
-    mixed ^= mixed >> np.uint64(29)
-    mixed *= MIX[2]
-    mixed ^= mixed >> np.uint64(32)
+def gram_hash(words: np.ndarray, at: np.ndarray | slice, gram: int = GRAM) -> np.ndarray:
+    """Hash of the ``gram`` bytes from each place on."""
+
+    def read(k: int) -> np.ndarray:
+        return words[k:][at] if isinstance(at, slice) else words[at + k]
+
+    mixed = read(0) * MIX[0]
+    for k in [*range(8, gram - 7, 8), *([gram - 8] if gram % 8 else [])]:
+        mixed ^= mixed >> np.uint64(31)
+        mixed += read(k) * MIX[1]
+        mixed ^= mixed >> np.uint64(29)
+        mixed *= MIX[2]
+        mixed ^= mixed >> np.uint64(32)
     return mixed
 
 
-def segments(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
-    """Cut texts into segments: first byte, number of windows, place and hash of the minimizer.
+def run_places(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """``counts`` places in a row from each start on."""
+    return np.repeat(starts - np.r_[0, np.cumsum(counts)[:-1]], counts) + np.arange(counts.sum())
+
 
-    ``raw`` holds the texts from ``starts`` to ``ends`` and ``GRAM`` bytes of padding.
+def segments(words: np.ndarray, n: int, starts: np.ndarray, counts: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
+    """Cut runs of windows into segments: first byte, number of windows, place and hash of the minimizer.
+
+    ``words`` are those of ``n`` bytes and ``PAD`` more.
     """
-    n, width = len(raw) - GRAM, length - GRAM + 1
-    hashes = gram_hash(words_at(raw), slice(0, n))
+    if not len(starts):
+        return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64),)
+    width = length - gram + 1
+    hashes = gram_hash(words, slice(0, n), gram)
     least = (hashes & ~PLACE) | np.arange(n, dtype=np.uint64)
     reach = 1
     while 2 * reach <= width:
@@ -90,16 +113,49 @@ def segments(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, length: int)
     if reach < width:
         least = np.minimum(least[: len(least) - (width - reach)], least[width - reach :])
     place = (least & PLACE).astype(np.int64)
-    whole = ends - starts >= length
-    starts, counts = starts[whole], (ends - starts - length + 1)[whole]
-    if not len(starts):
-        return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64),)
-    window = np.repeat(starts - np.r_[0, np.cumsum(counts)[:-1]], counts) + np.arange(counts.sum())
+    window = run_places(starts, counts)
     place = place[window]
-    opens = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
+    new = np.r_[True, place[1:] != place[:-1]]
+    new[np.cumsum(counts)[:-1]] = True
+    opens = np.flatnonzero(new)
     return window[opens], np.diff(np.r_[opens, len(place)]), place[opens], hashes[place[opens]]
 
 
+def grams(length: int) -> list[int]:
+    return [g for g in GRAMS if g < length]
+
+
+def levels(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, length: int, hot: list[np.ndarray]) -> list[tuple[np.ndarray, ...]]:
+    """The segments of the texts from ``starts`` to ``ends``, by the gram whose minimizer they have; last, hot windows alone.
+
+    ``raw`` holds the texts and ``PAD`` bytes more; ``hot`` holds, gram by gram, the minimizers whose windows go to the next.
+    """
+    words, n = words_at(raw), len(raw) - PAD
+    whole = ends - starts >= length
+    starts, counts = starts[whole], (ends - starts - length + 1)[whole]
+    found = []
+    for gram, listed in zip(grams(length), hot, strict=False):
+        cut = segments(words, n, starts, counts, length, gram)
+        again = np.isin(cut[3], listed)
+        found.append(tuple(c[~again] for c in cut) if again.any() else cut)
+        starts, counts = cut[0][again], cut[1][again]
+        if not len(starts):
+            return found
+    window = run_places(starts, counts) if len(starts) else starts
+    found.append((window, np.ones(len(window), np.int64), window, gram_hash(words, window, length)))
+    return found
+
+
+def dealt_segments(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, length: int, hot: list[np.ndarray]) -> tuple[np.ndarray, ...]:
+    """All of ``levels``, in order of their first bytes."""
+    found = levels(raw, starts, ends, length, hot)
+    if len(found) == 1:
+        return found[0]
+    head, count, place, hashes = (np.concatenate(c) for c in zip(*found, strict=True))
+    order = np.argsort(head, kind="stable")
+    return head[order], count[order], place[order], hashes[order]
+
+
 def spans(doc: np.ndarray, mark: np.ndarray, start: np.ndarray, stop: np.ndarray) -> pa.RecordBatch:
     """Rows ``doc, mark, span`` of removed places; spans of a text that touch are merged."""
     if len(doc):
@@ -122,12 +178,15 @@ def spans(doc: np.ndarray, mark: np.ndarray, start: np.ndarray, stop: np.ndarray
             start = start + nth * most
             stop = np.minimum(stop, start + most)
     span = (start << SPAN_BITS) | (stop - start)
-    return pa.record_batch([pa.array(doc), pa.array(mark.astype(np.int32)), pa.array(span)], ["doc", "mark", "span"])
+    return pa.record_batch([pa.array(doc), pa.array(mark), pa.array(span)], ["doc", "mark", "span"])
 
 
-def cut_unit(rows: list[tuple[int, int, bytes]], buckets: int, length: int) -> Iterator[tuple[int, bytes]]:
+def cut_unit(
+    rows: list[tuple[int, int, bytes]], buckets: int, length: int, hot: list[np.ndarray] | None = None
+) -> Iterator[tuple[int, bytes]]:
     """The payloads of a unit of documents ``(doc, mark, text)``: known repeats, and segments by bucket."""
     rows.sort()
+    hot = [np.zeros(0, np.uint64)] * len(GRAMS) if hot is None else hot
     step = BLOCK - length + 1  # each window lies in one part
     parts = [(doc, mark, at, text[at : at + BLOCK]) for doc, mark, text in rows for at in range(0, max(1, len(text) - length + 1), step)]
     seen: dict[bytes, int] = {}
@@ -140,10 +199,10 @@ def cut_unit(rows: list[tuple[int, int, bytes]], buckets: int, length: int) -> I
             size += len(parts[at][3])
             at += 1
         block = parts[first:at]
-        data = b"".join(p[3] for p in block) + bytes(GRAM)
+        data = b"".join(p[3] for p in block) + bytes(PAD)
         ends = np.cumsum([len(p[3]) for p in block])
         starts = np.r_[0, ends[:-1]]
-        head, count, place, hashes = segments(np.frombuffer(data, np.uint8), starts, ends, length)
+        head, count, place, hashes = dealt_segments(np.frombuffer(data, np.uint8), starts, ends, length, hot)
         if not len(head):
             continue
         part = np.searchsorted(ends, head, side="right")
@@ -291,7 +350,7 @@ def solve(payloads: list[bytes], length: int) -> Iterator[pa.RecordBatch]:
         data = unpack.decompress(payload[1:])
         if payload[:1] == b"\0":
             doc, mark, span = np.frombuffer(data, "<i8").reshape(3, -1)
-            yield pa.record_batch([pa.array(doc), pa.array(mark.astype(np.int32)), pa.array(span)], ["doc", "mark", "span"])
+            yield pa.record_batch([pa.array(doc), pa.array(mark), pa.array(span)], ["doc", "mark", "span"])
             continue
         (n,) = struct.unpack_from("<q", data)
         read, at = [], 8
@@ -347,35 +406,92 @@ def repeated(text: bytes, doc: np.ndarray, start: np.ndarray, mark: np.ndarray,
     return spans(of[gone], mark[segment[gone]], at[gone], at[gone] + length)
 
 
-def mark(text: Column) -> Column:
-    """31 bits of a text's hash, to tell rows apart that repeat an id."""
-    return F.xxhash64(text).bitwiseAND(F.lit((1 << 31) - 1)).cast("int")
+def whole_id(id_col: str) -> Column:
+    return F.coalesce(F.col(id_col).cast("long"), F.lit(FIRST))
+
 
+def repeated_ids(docs: DataFrame, id_col: str) -> DataFrame:
+    """``again``: ids of more than one row, up to one more than are broadcast."""
+    ids = docs.groupBy(whole_id(id_col).alias("again")).agg(F.count("*").alias("n")).where("n > 1")
+    return cut_lineage(ids.select("again").limit(BROADCAST_ROWS + 1))
 
-def keyed(docs: DataFrame, id_col: str, text_col: str, *more: Column) -> DataFrame:
-    """``doc`` (a null id as the smallest), ``mark``, ``bytes`` of the text and ``more``."""
-    text = F.col(text_col)
-    return docs.select(
-        F.coalesce(F.col(id_col).cast("long"), F.lit(FIRST)).alias("doc"),
-        mark(text).alias("mark"),
-        F.coalesce(text.cast("binary"), F.lit(b"")).alias("bytes"),
-        *more,
-    )
 
+def keyed(docs: DataFrame, id_col: str, text_col: str, again: DataFrame, *more: Column) -> DataFrame:
+    """``doc`` (a null id as the smallest), ``mark``, ``bytes`` of the text and ``more``.
 
-def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> DataFrame:
+    ``mark`` tells rows apart that repeat an id: 64 bits of the text's hash, 0 for an id that stands alone (or is not in a
+    list of such ids because that would be too long to broadcast: then all rows have their hash).
+    """
+    text = F.coalesce(F.col(text_col).cast("binary"), F.lit(b""))
+    rows = docs.select(whole_id(id_col).alias("doc"), text.alias("bytes"), *more)
+    mark = F.xxhash64("bytes")
+    if again.count() <= BROADCAST_ROWS:
+        rows = rows.join(F.broadcast(again), F.col("doc") == F.col("again"), "left")
+        mark = F.when(F.col("again").isNotNull(), mark).otherwise(F.lit(0).cast("long"))
+    return rows.select("doc", mark.alias("mark"), *[c for c in rows.columns if c not in ("doc", "again")])
+
+
+def weighed(pieces: list[bytes], length: int, hot: list[np.ndarray]) -> pa.RecordBatch:
+    """``hash, size``: bytes of the different segments of each minimizer of the last gram that ``hot`` leads to."""
+    data = b"".join(pieces) + bytes(PAD)
+    ends = np.cumsum([len(p) for p in pieces])
+    cut = levels(np.frombuffer(data, np.uint8), np.r_[0, ends[:-1]], ends, length, [*hot, np.zeros(0, np.uint64)])
+    head, count, _, hashes = cut[-1] if len(cut) > len(hot) else (c[:0] for c in cut[-1])
+    stop = head + count + (length - 1)
+    once = {data[a:b]: i for i, (a, b) in enumerate(zip(head.tolist(), stop.tolist(), strict=True))}
+    mine = np.fromiter(once.values(), np.int64, len(once))
+    keys, whose = np.unique(hashes[mine], return_inverse=True)
+    sizes = np.bincount(whose, (stop - head)[mine], len(keys)).astype(np.int64)
+    return pa.record_batch([pa.array(keys.view(np.int64)), pa.array(sizes)], ["hash", "size"])
+
+
+def hot_minimizers(rows: DataFrame, length: int, total: int) -> list[np.ndarray]:
+    """Gram by gram, the hashes of the minimizers whose segments hold more than ``HOT`` bytes, from a sample of the pieces."""
+    hot: list[np.ndarray] = []
+    for _ in grams(length):
+        if total * length < HOT or (hot and not len(hot[-1])):
+            hot.append(np.zeros(0, np.uint64))
+            continue
+        known = list(hot)
+
+        def weigh(batches: Iterator[pa.RecordBatch], known: list[np.ndarray] = known) -> Iterator[pa.RecordBatch]:
+            held, size = [], 0
+            for batch in batches:
+                for doc, mark, text in tuples(batch):
+                    for at in range(0, len(text) - length + 1, PIECE):
+                        if zlib.crc32(b"%d %d %d" % (doc, mark, at)) % SAMPLE:
+                            continue
+                        held.append(text[at : at + PIECE + length - 1])
+                        size += len(held[-1])
+                        if size >= BLOCK:
+                            yield weighed(held, length, known)
+                            held, size = [], 0
+            if held:
+                yield weighed(held, length, known)
+            give_back()
+
+        sizes = rows.mapInArrow(weigh, "hash long, size long").groupBy("hash").agg(F.sum("size").alias("size"))
+        heavy = sizes.where(F.col("size") * SAMPLE > HOT).orderBy(F.desc("size"), "hash").limit(LISTED).select("hash")
+        hot.append(np.sort(np.array([r[0] for r in heavy.collect()], np.int64).view(np.uint64)))
+    return hot
+
+
+def repeated_spans(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, again: DataFrame | None = None
+) -> DataFrame:
     """``doc, mark, spans``: the removed places of each text that has any, as sorted packed spans."""
     if length < GRAM + 1:
         raise ValueError(f"strings must be longer than {GRAM} bytes")
     ship_package(docs.sparkSession)
-    rows = keyed(docs, id_col, text_col)
-    total = docs.agg(F.sum(F.octet_length(F.col(text_col)))).first()[0] or 0
-    buckets = max(1, -(-int(total) // BUCKET))
+    rows = keyed(docs, id_col, text_col, repeated_ids(docs, id_col) if again is None else again).select("doc", "mark", "bytes")
+    total = int(docs.agg(F.sum(F.octet_length(F.col(text_col)))).first()[0] or 0)
+    buckets = max(1, -(-total // BUCKET))
+    hot = hot_minimizers(rows, length, total)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def sent(unit: list[tuple[int, int, bytes]]) -> Iterator[pa.RecordBatch]:
             held: list[tuple[int, bytes]] = []
-            for bucket, payload in cut_unit(unit, buckets, length):
+            for bucket, payload in cut_unit(unit, buckets, length, hot):
                 held.append((bucket, payload))
                 if len(held) == 256:
                     yield packed(held)
@@ -401,11 +517,11 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     def solved(table: pa.Table) -> pa.Table:
         found = [b for b in solve(table.column("payload").to_pylist(), length) if b.num_rows]
-        schema = pa.schema([("doc", pa.int64()), ("mark", pa.int32()), ("span", pa.int64())])
+        schema = pa.schema([("doc", pa.int64()), ("mark", pa.int64()), ("span", pa.int64())])
         return pa.Table.from_batches(found, schema)
 
     dealt = rows.mapInArrow(cut, "bucket long, payload binary")
-    found = dealt.groupBy("bucket").applyInArrow(solved, "doc long, mark int, span long")
+    found = dealt.groupBy("bucket").applyInArrow(solved, "doc long, mark long, span long")
     return found.groupBy("doc", "mark").agg(F.array_sort(F.collect_list("span")).alias("spans"))
 
 
@@ -460,9 +576,10 @@ def remove_repeats(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, whole_characters: bool = False
 ) -> DataFrame:
     """``row`` (the input row without its text), ``n_bytes, n_removed, n_spans, kept`` (the bytes left; null for a null text)."""
-    found = repeated_spans(docs, id_col, text_col, length).withColumnsRenamed({"doc": "d", "mark": "m"})
+    again = repeated_ids(docs, id_col)
+    found = repeated_spans(docs, id_col, text_col, length, again).withColumnsRenamed({"doc": "d", "mark": "m"})
     others = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col]).alias("row")
-    rows = keyed(docs, id_col, text_col, others, F.col(text_col).isNotNull().alias("given"))
+    rows = keyed(docs, id_col, text_col, again, others, F.col(text_col).isNotNull().alias("given"))
     rows = rows.select("doc", "mark", "row", "given", squeezed(F.col("bytes")).alias("packed"))
     joined = rows.join(found, (rows["doc"] == found["d"]) & (rows["mark"] == found["m"]), "left")
     cut = joined.select("row", "given", cut_out(F.col("packed"), F.col("spans"), whole_characters).alias("cut"))

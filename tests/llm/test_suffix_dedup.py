@@ -54,6 +54,84 @@ def test_small_blocks_units_and_buckets(hard, documents, monkeypatch):
         assert len(found.get((doc, mark), ())) == gone, doc
 
 
+def dealt_by_hand(rows, length, hot, buckets=64):
+    """Removed places per (doc, mark), and the segment bytes that meet under each minimizer of each bucket."""
+    payloads, found, groups = {}, {}, {}
+    for at in range(0, len(rows), 7):
+        for bucket, payload in S.cut_unit(rows[at : at + 7], buckets, length, hot):
+            payloads.setdefault(bucket, []).append(payload)
+    solved = S.repeated
+
+    def watched(text, doc, start, mark, size, length):
+        groups[len(groups)] = len(text)
+        return solved(text, doc, start, mark, size, length)
+
+    S.repeated = watched
+    try:
+        for bucket in payloads.values():
+            for batch in S.solve(bucket, length):
+                for doc, mark, span in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                    start = span >> S.SPAN_BITS
+                    found.setdefault((doc, mark), set()).update(range(start, start + (span & ((1 << S.SPAN_BITS) - 1))))
+    finally:
+        S.repeated = solved
+    return found, groups
+
+
+def common_gram(n, rng):
+    """Texts that are all different but for one 16-byte string, which hashes low, and a passage in every fifth."""
+    letters = b"abcdefghijklmnopqrstuvwxyz     "
+    word = lambda k: bytes(rng.choice(letters) for _ in range(k))
+    grams = [word(16) for _ in range(20000)]
+    raw = np.frombuffer(b"".join(grams) + bytes(16), np.uint8)
+    common = grams[int(S.gram_hash(S.words_at(raw), np.arange(20000) * 16).argmin())]
+    passage = word(300)
+    return [word(150) + common + word(150) + (passage + word(20) if i % 5 == 0 else b"") for i in range(n)]
+
+
+def test_hot_minimizers_are_dealt_anew(monkeypatch):
+    """A gram that all documents have, each with other words around it, gathers no group; nothing else changes."""
+    monkeypatch.setattr(S, "SORTED", 2000)
+    texts = common_gram(400, random.Random(8))
+    rows = [(i, 0, t) for i, t in enumerate(texts)]
+    want = [gone for _, gone, _, _ in brute.remove_repeats([(i, t.decode()) for i, t in enumerate(texts)])]
+    cold, before = dealt_by_hand(rows, 100, None)
+    hot = []
+    for _ in S.grams(100):
+        batch = S.weighed(texts, 100, hot)
+        heavy = [h for h, size in zip(*(c.to_pylist() for c in batch.columns), strict=True) if size > 4000]
+        hot.append(np.sort(np.array(heavy, np.int64).view(np.uint64)))
+    assert len(hot[0]) and len(hot[1])  # the common gram, and at the passage's edges a longer one
+    found, after = dealt_by_hand(rows, 100, hot)
+    assert max(before.values()) > 50_000 and max(after.values()) < 25_000
+    for got in (cold, found):
+        assert [len(got.get((i, 0), ())) for i in range(len(texts))] == want
+
+
+@pytest.mark.parametrize("length", [100, 40])
+def test_hot_minimizers_found_by_spark(hard, documents, monkeypatch, length):
+    """With a bound that nearly every sampled minimizer passes, windows go all three ways and the result is the same."""
+    monkeypatch.setattr(S, "HOT", 2000)
+    lists = []
+    found = S.hot_minimizers
+    monkeypatch.setattr(S, "hot_minimizers", lambda *a: lists.append(found(*a)) or lists[-1])
+    assert result(documents, length=length) == wanted(hard[0], length)
+    assert all(len(h) for h in lists[0])
+
+
+def test_marks_stand_only_where_ids_repeat(spark, monkeypatch):
+    rows = [(1, "a"), (2, "b"), (2, "c"), (None, "d"), (None, None), (None, ""), (3, "e")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    again = S.repeated_ids(df, "doc_id")
+    marks = {(r["doc"], bytes(r["bytes"])): r["mark"] for r in S.keyed(df, "doc_id", "text", again).collect()}
+    assert marks[1, b"a"] == marks[3, b"e"] == 0
+    assert len({marks[2, b"b"], marks[2, b"c"], marks[S.FIRST, b"d"], marks[S.FIRST, b""], 0}) == 5
+    assert max(abs(m) for m in marks.values()) > 1 << 40
+    monkeypatch.setattr(S, "BROADCAST_ROWS", 1)  # too many repeated ids for a broadcast: every row has its hash
+    again = S.repeated_ids(df, "doc_id")
+    assert all(r["mark"] for r in S.keyed(df, "doc_id", "text", again).collect())
+
+
 def test_whole_characters(spark):
     shared = "".join(chr(0xE0 + i) for i in range(60))
     rows = [(1, "x" + shared + "yy"), (2, shared + "ß" * 10), (3, None)]
