@@ -12,17 +12,18 @@ the default tables, pairs above 0.95 nearly always (tests/llm/test_lattice_neard
 
 Equal vectors are collapsed first and counted with their number of copies.  A cell that
 holds, or is asked by, more than ``CELL`` vectors is dealt into blocks of about so many, and
-each pair of blocks is compared for itself, so that no group holds more than two blocks.
+each pair of blocks is compared for itself, so that no group holds more than two blocks.  Which
+cells are large is counted on a sample of the vectors; it decides where pairs meet and nothing else.
 
 Defined results: vectors that are null, empty, zero, or hold null or non-finite components, and
 vectors without an id, link with nothing (no links, own id as component); vectors of
-different lengths never link; rows that repeat an id are one node with the links of all its
-vectors; other columns are ignored.
+different lengths never link; rows that repeat an id are vectors of their own, each with the links
+and the component of its own vector, so a row is never a link of itself; other columns are ignored.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations, product
 
 import numpy as np
@@ -39,7 +40,8 @@ TABLES = 8
 PROBES = 4
 SCALE = 0.8
 CELL = 2_000
-PAIRS = 1 << 16  # pairs compared at once
+SURVEY = 16  # one vector in so many is posted to count the cells, more where cells are small
+BYTES = 1 << 24  # of either side of the pairs compared at once
 
 
 def roots() -> np.ndarray:
@@ -81,15 +83,18 @@ def cells(units: np.ndarray, tables: int, probes: int, scale: float) -> Iterator
 
 
 def unit_vectors(rows: DataFrame) -> DataFrame:
-    """Distinct valid vectors of ``id, vec``: ``node`` (least id), ``copies``, ``vec, hash, unit`` (vec scaled to length 1)."""
+    """Distinct valid vectors of ``id, vec``: ``node``, ``least`` (id), ``copies``, ``vec, hash, unit`` (vec scaled to length 1).
+
+    ``node`` is a number of the vector's own, which holds once the rows are written.
+    """
     fine = F.forall("vec", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     valid = F.col("id").isNotNull() & F.col("vec").isNotNull() & fine & F.exists("vec", lambda x: x != 0)
-    distinct = rows.where(valid).groupBy("hash", "vec").agg(F.min("id").alias("node"), F.count("*").alias("copies"))
+    distinct = rows.where(valid).groupBy("hash", "vec").agg(F.min("id").alias("least"), F.count("*").alias("copies"))
     most = F.array_max(F.transform("vec", F.abs))
     scaled = distinct.withColumn("scaled", F.transform("vec", lambda x: x / most))
     norm = F.sqrt(F.aggregate("scaled", F.lit(0.0), lambda s, x: s + x * x))
     return scaled.withColumn("norm", norm).select(
-        "node", "copies", "vec", "hash", F.transform("scaled", lambda x: x / F.col("norm")).alias("unit")
+        F.monotonically_increasing_id().alias("node"), "least", "copies", "vec", "hash", F.transform("scaled", lambda x: x / F.col("norm")).alias("unit")
     )
 
 
@@ -130,9 +135,10 @@ def close_pairs(cell: np.ndarray, stored: np.ndarray, asks: np.ndarray, node: np
     found = [np.zeros((0, 2), np.int64)]
     sizes = np.array([len(c) for c in codes])
     total = np.cumsum(count[asking])
+    pairs = max(1, BYTES // (4 * int(sizes.max(initial=1))))
     at = 0
     while at < len(asking):
-        to = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + PAIRS, side="right")))
+        to = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + pairs, side="right")))
         some = asking[at:to]
         at = to
         left = np.repeat(some, count[some])
@@ -154,14 +160,16 @@ def close_pairs(cell: np.ndarray, stored: np.ndarray, asks: np.ndarray, node: np
     return np.unique(np.concatenate(found), axis=0)
 
 
-def dealt_cells(posted: DataFrame, cell_size: int) -> DataFrame:
+def dealt_cells(posted: DataFrame, cell_size: int, survey: DataFrame | None = None, one_in: int = 1) -> DataFrame:
     """``cell, part, stored, asks, node, code, error``: every vector that is stored in a part meets every one that asks there.
 
     Stored vectors of a large cell are dealt into blocks, and so are those that only ask.  A part is a pair of blocks, the
-    first of stored vectors, and holds about two times ``cell_size`` vectors at most.
+    first of stored vectors, and holds about two times ``cell_size`` vectors at most.  Cells are counted on ``survey``, the
+    postings of one vector ``one_in`` so many (all of ``posted`` if not given).
     """
-    sizes = posted.groupBy("cell").agg(F.count_if("stored").alias("n"), F.count_if(~F.col("stored")).alias("m"))
-    blocks = lambda c: F.ceil(F.col(c) / cell_size).cast("int")
+    counted = (posted if survey is None else survey).groupBy("cell")
+    sizes = counted.agg((F.count_if("stored") * one_in).alias("n"), (F.count_if(~F.col("stored")) * one_in).alias("m"))
+    blocks = lambda c: F.greatest(F.ceil(F.col(c) / cell_size), F.lit(int(one_in > 1))).cast("int")
     large = sizes.where((F.col("n") > cell_size) | (F.col("m") > cell_size))
     large = cut_lineage(large.select(F.col("cell").alias("large"), blocks("n").alias("p"), blocks("m").alias("q")))
     dealt = posted.join(small(large), F.col("cell") == F.col("large"), "left")
@@ -186,9 +194,18 @@ def dealt_cells(posted: DataFrame, cell_size: int) -> DataFrame:
     )
 
 
-def candidates(posted: DataFrame, cosine: float, cell_size: int = CELL) -> DataFrame:
-    """``a, b``: distinct pairs that meet in a cell and may reach ``cosine``."""
-    dealt = dealt_cells(posted, cell_size)
+def candidates(
+    posted: DataFrame, cosine: float, cell_size: int = CELL, *, vectors: DataFrame | None = None, post: Callable | None = None
+) -> DataFrame:
+    """``a, b``: distinct pairs that meet in a cell and may reach ``cosine``.
+
+    With ``vectors`` and ``post`` (which makes ``posted`` of them), large cells are found by a sample of the vectors.
+    """
+    if vectors is None or post is None:
+        dealt = dealt_cells(posted, cell_size)
+    else:
+        one_in = max(1, min(SURVEY, cell_size // 64))
+        dealt = dealt_cells(posted, cell_size, post(vectors.where(F.pmod(F.xxhash64("node"), F.lit(one_in)) == 0)), one_in)
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def pairs(table: pa.Table) -> pa.RecordBatch:
@@ -229,27 +246,26 @@ def near_vectors(
     rows = embeddings.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("vec"))
     rows = rows.withColumn("hash", F.xxhash64("vec"))
     vectors = cut_lineage(unit_vectors(rows))
-    pairs = candidates(postings(vectors, tables, probes, scale), cosine)
+    post = lambda some: postings(some, tables, probes, scale)
+    pairs = candidates(post(vectors), cosine, vectors=vectors, post=post)
     dot = F.aggregate(F.zip_with("ua", "ub", lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
-    links = (
-        pairs.join(vectors.select(F.col("node").alias("a"), F.col("unit").alias("ua")), "a")
-        .join(vectors.select(F.col("node").alias("b"), F.col("unit").alias("ub")), "b")
-        .select("a", "b", dot.alias("cosine"))
-        .where(F.col("cosine") >= cosine)
-        .groupBy("a", "b")
-        .agg(F.max("cosine").alias("cosine"))
+    side = lambda end: vectors.select(
+        F.col("node").alias(end), F.col("least").alias(f"id_{end}"), F.col("unit").alias(f"u{end}")
     )
-    links = cut_lineage(links)
-    nodes = vectors.groupBy("node").agg(F.sum("copies").alias("copies"))
+    links = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "id_a", "id_b", dot.alias("cosine"))
+    links = cut_lineage(links.where(F.col("cosine") >= cosine))
+    nodes = vectors.select("node", "least", "copies")
     ends = links.select(F.col("a").alias("node"), F.col("b").alias("other")).union(links.select("b", "a"))
     linked = (
         ends.join(nodes.select(F.col("node").alias("other"), "copies"), "other").groupBy("node").agg(F.sum("copies").alias("linked"))
     )
-    rooted = components(links.select("a", "b"))
+    rooted = components(links.select("a", "b")).join(nodes.select("node", "least"), "node")
+    least = rooted.groupBy("root").agg(F.min("least").alias("root_id"))
+    named = rooted.join(least, "root").select("node", "root_id")
     known = (
         nodes.join(linked, "node", "left")
-        .join(rooted, "node", "left")
-        .select("node", (F.col("copies") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links"), F.coalesce("root", "node").alias("component"))
+        .join(named, "node", "left")
+        .select("node", (F.col("copies") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links"), F.coalesce("root_id", "least").alias("component"))
     )
     placed = vectors.select("hash", "vec", "node").join(known, "node").withColumnsRenamed({"hash": "h", "vec": "v"})
     out = rows.join(placed, (F.col("hash") == F.col("h")) & (F.col("vec") == F.col("v")) & F.col("id").isNotNull(), "left")
@@ -257,5 +273,5 @@ def near_vectors(
         out.select(
             "id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component", "id").alias("component")
         ),
-        links,
+        links.select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b"), "cosine"),
     )

@@ -71,6 +71,37 @@ def test_matches_all_pairs(spark):
             S.candidates.__defaults__ = before
 
 
+def test_repeated_ids_do_not_link_with_themselves(spark):
+    """Each row has the links and the component of its own vector."""
+    rows = [(1, [1.0, 0.0]), (1, [0.0, 1.0]), (5, [1.0, 0.1]), (0, [0.1, 1.0]), (9, [-1.0, 0.0]), (9, [-1.0, 0.0]), (8, [-1.0, -1.0]), (8, [1.0, -1.0])]
+    out, links = S.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    want = [(1, 1, 1), (1, 1, 0), (5, 1, 1), (0, 1, 0), (9, 1, 9), (9, 1, 9), (8, 0, 8), (8, 0, 8)]
+    assert [(d, *x) for (d, _), x in zip(rows, brute.vector_links(rows), strict=True)] == want
+    assert as_rows(out, "id", "n_links", "component") == expected(want)
+    assert sorted((r["a"], r["b"]) for r in links.collect()) == [(0, 1), (1, 5)]
+
+
+def test_sampled_cells_lose_no_pair(spark):
+    """Large cells that only a sample counted, and counted unevenly, still let all their pairs meet."""
+    rng = np.random.default_rng(6)
+    rows = []
+    for cell, stored, asking in ((1, 300, 200), (2, 3, 250), (3, 40, 1)):
+        for i in range(stored + asking):
+            code = np.rint(np.ones(8) / np.sqrt(8) * 127 + rng.normal(size=8)).astype(np.int8)
+            rows.append((cell, i < stored, cell * 1000 + i, code.tobytes(), 0.05))
+    posted = spark.createDataFrame(rows, "cell long, stored boolean, node long, code binary, error float")
+    vectors = posted.select("node").distinct()
+    post = lambda some: posted.join(some, "node", "left_semi")
+    size = 64 * 3
+    groups = S.dealt_cells(posted, 25, posted.where("node % 3 = 0 AND stored"), 3).groupBy("cell", "part").count().collect()
+    assert max(r["count"] for r in groups) < 500
+    met = {(r["a"], r["b"]) for r in S.candidates(posted, 0.9, size, vectors=vectors, post=post).collect()}
+    want = set()
+    for cell, stored, asking in ((1, 300, 200), (2, 3, 250), (3, 40, 1)):
+        want |= {(cell * 1000 + i, cell * 1000 + j) for i in range(stored) for j in range(i + 1, stored + asking)}
+    assert met == want
+
+
 def test_empty_table(spark):
     out, links = S.near_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>"))
     assert out.count() == 0 and links.count() == 0
