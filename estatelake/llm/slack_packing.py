@@ -35,13 +35,32 @@ PLAIN = 0x250  # below it both tokenizer libraries class characters alike (teste
 RUN = 4_000  # longer unbroken runs go to the library that merges them in n log n
 
 
+def byte_level(spec: dict) -> bool:
+    """Whether a tokenizer file does nothing but cut by ``PATTERN`` and merge bytes in the order of their ids."""
+    model, cut = spec["model"], spec.get("pre_tokenizer") or {}
+    plain_cut = cut.get("type") == "ByteLevel" and not cut.get("add_prefix_space") and cut.get("use_regex", True)
+    extras = ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "fuse_unk", "byte_fallback", "ignore_merges")
+    if not plain_cut or spec.get("normalizer") or spec.get("truncation") or spec.get("padding"):
+        return False
+    if model.get("type") != "BPE" or any(model.get(x) for x in extras):
+        return False
+    vocabulary = model["vocab"]
+    pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+    made = [vocabulary["".join(pair)] for pair in pairs]
+    special = {t["content"] for t in spec["added_tokens"]}
+    single = sum(len(token) == 1 for token in vocabulary if token not in special)
+    # Every token is a byte or the result of one merge.
+    return made == sorted(set(made)) and single == 256 and len(vocabulary.keys() - special) == 256 + len(made)
+
+
 @lru_cache(maxsize=2)
 def encoder(path: str):
     """A function from text to the ids that the tokenizer file at ``path`` gives, as an array.
 
     Most texts are encoded by tiktoken over the same vocabulary, which gives the same
     ids several times faster; texts with characters or runs that it may treat
-    differently are encoded by tokenizers itself.
+    differently are encoded by tokenizers itself, and so are all texts if the file is
+    not a plain ``byte_level`` one.
     """
     import tiktoken
     from tokenizers import Tokenizer
@@ -49,6 +68,9 @@ def encoder(path: str):
     exact: list[Tokenizer] = []  # loaded when first needed
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
+    if not byte_level(spec):
+        whole = Tokenizer.from_file(path)
+        return lambda text: np.array(whole.encode(text, add_special_tokens=False).ids, np.uint32)
     special = {t["content"]: t["id"] for t in spec["added_tokens"]}
     # Byte-level vocabularies write printable bytes as themselves and the others, in order, from U+0100 on.
     shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b]
@@ -159,16 +181,25 @@ def places(plan: list[tuple[int, dict[int, int]]]) -> np.ndarray:
     return np.array(sorted(rows), np.int64).reshape(-1, 5)
 
 
+def salted(cut: DataFrame, histogram: dict[int, int], size: int) -> DataFrame:
+    """Written pieces with a ``salt``, by which each length is ranked in parts of about ``SALT_ROWS`` rows.
+
+    Equal rows differ by their place in what was written, so they are dealt over the parts too.
+    """
+    parts = F.lit([max(1, -(-histogram.get(length, 0) // SALT_ROWS)) for length in range(size + 1)])
+    place = F.monotonically_increasing_id()
+    return cut.withColumn("salt", F.pmod(F.xxhash64("doc", "piece", "crc", place), F.get(parts, F.col("length").cast("int"))))
+
+
 def pack(docs: DataFrame, tokenizer: str | None = None, size: int = SIZE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Every piece with its sequence and its offset there."""
     cut = cut_lineage(pieces(docs, tokenizer, size, id_col, text_col))
     histogram = {r["length"]: r["count"] for r in cut.groupBy("length").count().collect()}  # `size` rows at most
     table = places(plan_bins(histogram, size))
-    salts = max(1, -(-sum(histogram.values()) // SALT_ROWS))
-    salted = cut.withColumn("salt", F.pmod(F.xxhash64("doc", "piece", "crc"), F.lit(salts)))
+    dealt = salted(cut, histogram, size)
     part = Window.partitionBy("length", "salt")
-    ranked = salted.withColumn("rank", F.row_number().over(part.orderBy("doc", "piece", "start", "crc")) - 1)
-    sizes = salted.groupBy("length", "salt").count()
+    ranked = dealt.withColumn("rank", F.row_number().over(part.orderBy("doc", "piece", "start", "crc")) - 1)
+    sizes = dealt.groupBy("length", "salt").count()
     before = F.sum("count").over(Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1))
     firsts = sizes.select("length", "salt", F.coalesce(before, F.lit(0)).alias("first"))
     ranked = ranked.join(firsts, ["length", "salt"]).select(

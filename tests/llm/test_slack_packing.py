@@ -92,3 +92,45 @@ def test_ranks_in_many_parts(hard, documents, monkeypatch):
     rows = S.pack(documents).collect()
     assert len(rows) == sum(brute.pieces(hard[0]).values())
     check_places(rows)
+
+
+def test_equal_rows_are_ranked_in_many_parts(spark, monkeypatch):
+    """Rows that repeat id and text are dealt over the parts of their length, and each finds a place of its own."""
+    monkeypatch.setattr(S, "SALT_ROWS", 50)
+    rows = [(None, "")] * 1000 + [(i, "one two three " * (i % 7)) for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    out = S.pack(df).collect()
+    assert len(out) == 1300
+    check_places(out)
+    assert len({(r["sequence"], r["offset"]) for r in out}) == 1300
+    cut = S.cut_lineage(S.pieces(df))
+    parts = S.salted(cut, {r["length"]: r["count"] for r in cut.groupBy("length").count().collect()}, 2048)
+    assert max(r["count"] for r in parts.groupBy("length", "salt").count().collect()) < 100
+
+
+def test_other_tokenizer_files_go_through_the_library(tmp_path):
+    """A file with another cut, a normalizer, or other merges than by id gives the ids of the tokenizer library."""
+    import json
+
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    with open(S.default_tokenizer(), encoding="utf-8") as f:
+        spec = json.load(f)
+    assert S.byte_level(spec)
+    files = [public_tokenizers.path("word_bpe_49k.json")]
+    for name, change in (
+        ("prefix", {"pre_tokenizer": {**spec["pre_tokenizer"], "add_prefix_space": True}}),
+        ("lower", {"normalizer": {"type": "Lowercase"}}),
+        ("merges", {"model": {**spec["model"], "merges": [*spec["model"]["merges"][1000:], *spec["model"]["merges"][:1000]]}}),
+        ("dropped", {"model": {**spec["model"], "merges": spec["model"]["merges"][:1000]}}),
+    ):
+        other = {**spec, **change}
+        assert not S.byte_level(other), name
+        files.append(str(tmp_path / f"{name}.json"))
+        with open(files[-1], "w", encoding="utf-8") as f:
+            json.dump(other, f)
+    for path in files:
+        whole = Tokenizer.from_file(path)
+        for text in ("The quick Brown fox, 123 times.", "naïve  ÉLAN\n\n日本 it's", " a", "<|endoftext|>x"):
+            assert S.encoder(path)(text).tolist() == whole.encode(text, add_special_tokens=False).ids, (path, text)
