@@ -65,6 +65,7 @@ PLACE = np.uint64((1 << 24) - 1)
 SPAN_BITS = 20  # a span is one long: start, then length in this many bits
 KINDS = ("<i8", "<i8", "<i8", "<u2", "<u2")  # of a segment: id (as a difference), start, mark, size, minimizer's place
 FIRST = -(1 << 63)  # stands for a null id
+UPPER = np.array([(1 << 64) - (1 << (64 - 8 * n)) for n in range(9)], np.uint64)  # masks of the first so many of eight bytes
 
 # Odd multipliers of the hash, from the fractional parts of the golden ratio and of the roots of 2 and 3.
 MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0x6A09E667F3BCC909, 0xBB67AE8584CAA73B)]
@@ -262,6 +263,47 @@ def from_planes(data: bytes, kind: str, n: int, at: int) -> np.ndarray:
     return np.frombuffer(data, np.uint8, n * width, at).reshape(width, n).T.copy().view(kind).ravel().astype(np.int64)
 
 
+def byte_order(text: bytes, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The order of the strings ``text[b : b + s]`` by their bytes (of equal ones: any).
+
+    Eight bytes at a time: strings that are still tied go on to their next eight.  Those behind a string's end count as
+    zeros, so that it is tied at worst with a longer one that goes on in zeros; of these the shorter one is the smaller.
+    """
+    if not len(begin):
+        return begin
+    words = words_at(np.frombuffer(text + bytes(8), np.uint8))
+
+    def read(which: np.ndarray, at: int) -> np.ndarray:
+        left = np.clip(size[which] - at, 0, 8)
+        word = words[np.minimum(begin[which] + at, len(text))].byteswap()
+        return word & UPPER[left]
+
+    word = read(np.arange(len(begin)), 0)
+    order = np.argsort(word)
+    word = word[order]
+    new = np.r_[True, word[1:] != word[:-1]]
+    slot = np.arange(len(order))
+    for at in [*range(8, int(size.max()), 8), None]:  # last, the sizes
+        open_ = new[slot]
+        slot = slot[~(open_ & np.r_[open_[1:], True])]  # of ``order``: those that are tied
+        if not len(slot):
+            break
+        which, opens = order[slot], new[slot]
+        word = size[which] if at is None else read(which, at)
+        differs = ~opens & np.r_[False, word[1:] != word[:-1]]
+        # Ties of strings that go on alike, as repeats do, stay as they are.
+        group = np.cumsum(opens) - 1
+        mixed = np.zeros(group[-1] + 1, bool)
+        mixed[group[differs]] = True
+        some = np.flatnonzero(mixed[group])
+        if len(some):
+            by = some[np.lexsort((word[some], group[some]))]
+            word = word[by]
+            order[slot[some]] = which[by]
+            new[slot[some[1:]]] |= word[1:] != word[:-1]
+    return order
+
+
 def suffix_order(text: bytes, heads: np.ndarray, ends: np.ndarray, windows: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     """Places of the suffixes, in order of their first ``depth`` bytes, from each segment's windows; and their segments.
 
@@ -295,14 +337,11 @@ def suffix_order(text: bytes, heads: np.ndarray, ends: np.ndarray, windows: np.n
     chosen = np.flatnonzero(direct & wanted)
     segment = segment_at[chosen]
     begin = chosen - segment
-    finish = np.minimum(begin + depth, ends[segment])
-    keys = [text[a:b] for a, b in zip(begin.tolist(), finish.tolist(), strict=True)]
-    chosen = chosen[sorted(range(len(keys)), key=keys.__getitem__)]
-    del keys
+    chosen = chosen[byte_order(text, begin, np.minimum(ends[segment] - begin, depth))]
 
     # Second stage: scan the buckets of first symbols; each suffix places its predecessor.
     induced = wanted & ~direct
-    first = symbols[chosen]
+    edge = np.searchsorted(symbols[chosen], np.arange(259, dtype=np.int16))
     waiting: list[list[np.ndarray]] = [[] for _ in range(258)]
     order = []
     for symbol in range(258):
@@ -312,7 +351,7 @@ def suffix_order(text: bytes, heads: np.ndarray, ends: np.ndarray, windows: np.n
             level = level[level > 0] - 1
             level = level[induced[level] & (symbols[level] == symbol)]
             placed.append(level)
-        placed.append(chosen[np.searchsorted(first, symbol) : np.searchsorted(first, symbol, side="right")])
+        placed.append(chosen[edge[symbol] : edge[symbol + 1]])
         bucket = np.concatenate(placed)
         if not len(bucket):
             continue

@@ -171,3 +171,18 @@ def test_long_spans_are_split_and_merged():
     batch = S.spans(doc, mark, np.array([10, 0, 3_000_000]), np.array([2_500_000, 20, 3_000_100]))
     got = [(s >> S.SPAN_BITS, s & ((1 << S.SPAN_BITS) - 1)) for s in batch.column(2).to_pylist()]
     assert sum(n for _, n in got) == 2_500_000 + 100 and got[0][0] == 0 and got[-1] == (3_000_000, 100)
+
+
+@pytest.mark.parametrize("letters", [b"\0a", b"\0\1\xff", b"ab"])
+def test_byte_order_is_that_of_the_strings(letters):
+    """Sorting by words of eight bytes agrees with sorting the strings, with zeros, ends within a word and long ties."""
+    rng = np.random.default_rng(5)
+    text = bytes(rng.choice(list(letters), 400).astype(np.uint8)) + b"ab" * 60 + bytes(40)
+    text += text[:200]
+    begin = np.r_[rng.integers(0, len(text) + 1, 3000), len(text)]
+    size = np.minimum(rng.integers(0, 101, len(begin)), len(text) - begin)
+    strings = [text[b : b + s] for b, s in zip(begin.tolist(), size.tolist(), strict=True)]
+    order = S.byte_order(text, begin, size).tolist()
+    assert sorted(order) == list(range(len(begin)))
+    assert [strings[i] for i in order] == sorted(strings)
+    assert len(S.byte_order(text, begin[:0], size[:0])) == 0
