@@ -24,14 +24,24 @@ def safe_ratio(num: str | Column, den: str | Column) -> Column:
     return F.try_divide(_col(num), _col(den))
 
 
+def exact_parts(c: str | Column) -> dict[str, Column]:
+    """What a row gives to ``exact_sums``: ``sum`` (decimal, where it fits), ``rest`` (double, where it does not) and ``n``, the value."""
+    x = _col(c)
+    fitting = x.try_cast(EXACT)
+    return {"sum": fitting, "rest": F.when(fitting.isNull(), x), "n": x}
+
+
+def sums_of_parts(parts: dict[str, Column]) -> dict[str, Column]:
+    """``exact_sums`` of a column from its ``exact_parts``, which may have been made before (below an Expand, say)."""
+    return {"sum": F.sum(parts["sum"]), "rest": F.sum(parts["rest"]), "n": F.count(parts["n"])}
+
+
 def exact_sums(c: str | Column) -> dict[str, Column]:
     """The aggregates that an exact average is made of: ``sum`` (decimal), ``rest`` (double) and ``n``.
 
     They can be added up over any parts of the rows and in any order: ``merged_sums``.
     """
-    x = _col(c)
-    fitting = x.try_cast(EXACT)
-    return {"sum": F.sum(fitting), "rest": F.sum(F.when(fitting.isNull(), x)), "n": F.count(x)}
+    return sums_of_parts(exact_parts(c))
 
 
 def merged_sums(prefix: str) -> dict[str, Column]:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 
-from estatelake.functions.exact import avg_of_sums, exact_avg, exact_sums, merged_sums
+from estatelake.functions.exact import avg_of_sums, exact_avg, exact_parts, merged_sums, sums_of_parts
 
 # The columns that the marts average.
 MEASURES = ("price", "price_per_sqm", "area")
@@ -81,17 +81,25 @@ def order_by_rooms(mart: DataFrame) -> DataFrame:
 
 
 def _grouped(silver: DataFrame) -> GroupedData:
-    """Silver grouped for all three marts at once (GROUPING SETS)."""
+    """Silver grouped for all three marts at once (GROUPING SETS).
+
+    The measures are made decimals here, once per row of silver: above, each row stands once per grouping set.
+    """
     rows = silver.select(
         "district",
         F.to_date("published_at").alias("listing_date"),
         "rooms",
-        *MEASURES,
+        *[part.alias(f"_{m}_{k}") for m in MEASURES for k, part in exact_parts(m).items()],
         (F.col("rooms").isNotNull() & (F.col("rooms") > 0)).alias("_rooms_ok"),
     )
     return rows.groupingSets([["district"], ["listing_date"], ["rooms", "_rooms_ok"]], *GROUPS)
 
 
+def _sums(measure: str) -> dict[str, Column]:
+    """``exact_sums`` of a measure over the rows of ``_grouped``."""
+    return sums_of_parts({k: F.col(f"_{measure}_{k}") for k in ("sum", "rest", "n")})
+
+
 def marts_aggregate(silver: DataFrame) -> DataFrame:
     """All three marts' groups from one scan of silver and one shuffle (GROUPING SETS).
 
@@ -102,7 +110,7 @@ def marts_aggregate(silver: DataFrame) -> DataFrame:
     """
     return _grouped(silver).agg(
         F.grouping_id().alias("_gid"),
-        *[exact_avg(m).alias(f"avg_{m}") for m in MEASURES],
+        *[avg_of_sums(_sums(m)).alias(f"avg_{m}") for m in MEASURES],
         F.count(F.lit(1)).alias("n"),
     ).withColumnRenamed("avg_area", "avg_area_sqm")
 
@@ -112,7 +120,7 @@ def marts_partial(silver: DataFrame) -> DataFrame:
 
     Partials of disjoint sets of rows are merged by ``merge_partials``, so a run needs to read its new rows only.
     """
-    parts = [col.alias(f"{m}_{k}") for m in MEASURES for k, col in exact_sums(m).items()]
+    parts = [col.alias(f"{m}_{k}") for m in MEASURES for k, col in _sums(m).items()]
     return _grouped(silver).agg(F.grouping_id().alias("_gid"), *parts, F.count(F.lit(1)).alias("n"))
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from estatelake.operators.marts import marts_aggregate, merge_partials, split_marts
+from estatelake.session import fine_splits
 from estatelake.sinks.jdbc import JdbcMarts
 from estatelake.sinks.parquet import MartStore
 from estatelake.sources.files import read_silver
@@ -77,10 +78,11 @@ def run_gold(
     store = JdbcMarts(spark, jdbc_url, jdbc_properties) if jdbc_url else MartStore(spark, layout.gold)
     counts: dict[str, int] = {}
     try:
-        for name, df in split_marts(agg).items():
-            df, written = counted(df, name)
-            store.write(name, df)
-            counts[name] = int(written.get.get("rows", 0))
+        with fine_splits(spark):
+            for name, df in split_marts(agg).items():
+                df, written = counted(df, name)
+                store.write(name, df)
+                counts[name] = int(written.get.get("rows", 0))
         if mode == "full":
             counts["silver_rows"] = int(seen.get.get("rows", 0))
         else:  # each row of silver is in one district's group

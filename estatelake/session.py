@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
 from pathlib import Path
 
 from py4j.protocol import Py4JJavaError
@@ -172,6 +174,34 @@ def ship_package(spark: SparkSession) -> None:
     _shipped.add(spark.sparkContext.applicationId)
 
 
+# Bytes of files that one task reads where it sorts or adds up their rows: bronze and silver hold few bytes a row
+# (dictionaries), so that a task over Spark's default of 128 MB may have tens of millions of rows to sort.
+SPLIT_BYTES = 16 * 1024 * 1024
+SPLITS_PER_CORE = 4  # at least, for files of enough bytes: the last round of tasks leaves few cores idle
+
+
+@contextlib.contextmanager
+def fine_splits(spark: SparkSession) -> Iterator[None]:
+    """While open, files are read in splits of ``SPLIT_BYTES`` at most (or the session's, if smaller), ``SPLITS_PER_CORE`` or more.
+
+    The session's settings are put back at the end.  Which rows are read does not change.
+    """
+    most, fewest = "spark.sql.files.maxPartitionBytes", "spark.sql.files.minPartitionNum"
+    before = {name: spark.conf.get(name, None) for name in (most, fewest)}
+    limit = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(most))
+    cores = spark.sparkContext.defaultParallelism
+    try:
+        spark.conf.set(most, str(min(limit, SPLIT_BYTES)))
+        spark.conf.set(fewest, str(max(SPLITS_PER_CORE * cores, int(before[fewest] or 0))))
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
 def object_store_conf(
     endpoint: str,
     access_key: str,

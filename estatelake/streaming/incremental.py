@@ -29,7 +29,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from estatelake.operators.refine import deduplicate, derive, drop_incomplete, key_hash, normalize_types
 from estatelake.schemas import BRONZE, CRITICAL, DEDUP_KEY, ddl
-from estatelake.session import delete, list_names, make_folder, read_text, replace_text
+from estatelake.session import delete, fine_splits, list_names, make_folder, read_text, replace_text
 from estatelake.sinks.parquet import append_partitioned
 from estatelake.sources.files import read_bronze
 from estatelake.streaming.append_log import KEY_HASH, AppendLog, columns_of_silver
@@ -159,8 +159,10 @@ def _bronze_stream(spark: SparkSession, bronze_path: str, max_files_per_trigger:
 
 
 def run_incremental_silver(spark: SparkSession, *args, **kwargs) -> StreamingQuery:
-    query = start_incremental_silver(spark, *args, **kwargs)
-    query.awaitTermination()
+    """``start_incremental_silver`` to its end, with bronze in splits that a task can sort."""
+    with fine_splits(spark):
+        query = start_incremental_silver(spark, *args, **kwargs)
+        query.awaitTermination()
     return query
 
 
@@ -229,8 +231,9 @@ def start_state_silver(
 
 def run_state_silver(spark: SparkSession, bronze_path: str, silver_path: str, checkpoint: str, **kwargs) -> StreamingQuery:
     """``start_state_silver`` to its end; what was thinned is taken then, and deleted."""
-    query = start_state_silver(spark, bronze_path, silver_path, checkpoint, **kwargs)
-    query.awaitTermination()
+    with fine_splits(spark):
+        query = start_state_silver(spark, bronze_path, silver_path, checkpoint, **kwargs)
+        query.awaitTermination()
     for name in list_names(spark, f"{checkpoint}/thinned"):
         delete(spark, f"{checkpoint}/thinned/{name}")
     return query
