@@ -23,6 +23,7 @@ from estatelake.plans.feed import publish_from_csv
 from estatelake.plans.pipeline import Layout, run_pipeline, run_silver
 from estatelake.schemas import DEDUP_KEY
 from estatelake.session import scratch_path
+from estatelake.sinks.messages import write_messages
 from estatelake.sinks.parquet import MartStore, append_partitioned
 from estatelake.sources.files import read_bronze, read_csv, read_mart, read_silver
 from estatelake.sources.listings import COPY_EVERY, as_bronze, bronze_listings, listings, read_table
@@ -171,7 +172,7 @@ def listings_of_run(spark: SparkSession, sf_dir: str, run: int) -> DataFrame:
 
 def _deliver(spark: SparkSession, sf_dir: str, inbox: str, run: int) -> None:
     """Land the messages of one run as JSON-lines files in the inbox folder."""
-    messages.encode(listings_of_run(spark, sf_dir, run)).write.mode("append").text(inbox)
+    write_messages(messages.encode(listings_of_run(spark, sf_dir, run)), "text", inbox)
 
 
 def q_bronze_stream(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from estatelake.operators.marts import marts_aggregate, merge_partials, split_marts
-from estatelake.session import fine_splits
+from estatelake.session import fine_splits, lean_shuffles
 from estatelake.sinks.jdbc import JdbcMarts
 from estatelake.sinks.parquet import MartStore
 from estatelake.sources.files import read_silver
@@ -72,21 +72,22 @@ def run_gold(
         silver, seen = counted(read_silver(spark, layout.silver), "silver_rows")
         agg = marts_aggregate(silver).persist()
     elif mode == "merge":
-        agg = merge_partials(AppendLog(spark, layout.silver).partials()).persist()
+        with lean_shuffles(spark):
+            agg = merge_partials(AppendLog(spark, layout.silver).partials()).persist()
     else:
         raise ValueError(f"unknown gold mode: {mode}")
     store = JdbcMarts(spark, jdbc_url, jdbc_properties) if jdbc_url else MartStore(spark, layout.gold)
     counts: dict[str, int] = {}
     try:
-        with fine_splits(spark):
+        with fine_splits(spark), lean_shuffles(spark):
             for name, df in split_marts(agg).items():
                 df, written = counted(df, name)
                 store.write(name, df)
                 counts[name] = int(written.get.get("rows", 0))
-        if mode == "full":
-            counts["silver_rows"] = int(seen.get.get("rows", 0))
-        else:  # each row of silver is in one district's group
-            counts["silver_rows"] = split_marts(agg)["mart_avg_price_by_district"].agg(F.sum("listing_count")).first()[0] or 0
+            if mode == "full":
+                counts["silver_rows"] = int(seen.get.get("rows", 0))
+            else:  # each row of silver is in one district's group
+                counts["silver_rows"] = split_marts(agg)["mart_avg_price_by_district"].agg(F.sum("listing_count")).first()[0] or 0
         store.show()
     finally:
         agg.unpersist()

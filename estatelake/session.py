@@ -181,18 +181,12 @@ SPLITS_PER_CORE = 4  # at least, for files of enough bytes: the last round of ta
 
 
 @contextlib.contextmanager
-def fine_splits(spark: SparkSession) -> Iterator[None]:
-    """While open, files are read in splits of ``SPLIT_BYTES`` at most (or the session's, if smaller), ``SPLITS_PER_CORE`` or more.
-
-    The session's settings are put back at the end.  Which rows are read does not change.
-    """
-    most, fewest = "spark.sql.files.maxPartitionBytes", "spark.sql.files.minPartitionNum"
-    before = {name: spark.conf.get(name, None) for name in (most, fewest)}
-    limit = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(most))
-    cores = spark.sparkContext.defaultParallelism
+def changed_conf(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """While open, the session has these settings; those before are put back at the end."""
+    before = {name: spark.conf.get(name, None) for name in values}
     try:
-        spark.conf.set(most, str(min(limit, SPLIT_BYTES)))
-        spark.conf.set(fewest, str(max(SPLITS_PER_CORE * cores, int(before[fewest] or 0))))
+        for name, value in values.items():
+            spark.conf.set(name, value)
         yield
     finally:
         for name, value in before.items():
@@ -202,6 +196,29 @@ def fine_splits(spark: SparkSession) -> Iterator[None]:
                 spark.conf.set(name, value)
 
 
+@contextlib.contextmanager
+def fine_splits(spark: SparkSession) -> Iterator[None]:
+    """While open, files are read in splits of ``SPLIT_BYTES`` at most (or the session's, if smaller), ``SPLITS_PER_CORE`` or more.
+
+    The session's settings are put back at the end.  Which rows are read does not change.
+    """
+    most, fewest = "spark.sql.files.maxPartitionBytes", "spark.sql.files.minPartitionNum"
+    limit = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(most))
+    parts = max(SPLITS_PER_CORE * spark.sparkContext.defaultParallelism, int(spark.conf.get(fewest, None) or 0))
+    with changed_conf(spark, {most: str(min(limit, SPLIT_BYTES)), fewest: str(parts)}):
+        yield
+
+
+@contextlib.contextmanager
+def lean_shuffles(spark: SparkSession) -> Iterator[None]:
+    """While open, the shuffle files of a job go when it ends, not when the driver's garbage collector finds them unused.
+
+    A step that reads a shuffle again later (a cached block was dropped) has it made again by a stage retry.
+    """
+    with changed_conf(spark, {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}):
+        yield
+
+
 def object_store_conf(
     endpoint: str,
     access_key: str,

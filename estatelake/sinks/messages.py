@@ -4,6 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from estatelake.session import lean_shuffles
+
+# Text files, of messages or of CSV rows: about a twelfth of the plain size.  A reader cannot split them, so each holds
+# a bounded number of rows.
+TEXT_FILES = {"compression": "gzip", "maxRecordsPerFile": "500000"}
+
 
 def write_messages(
     encoded: DataFrame,
@@ -17,7 +23,8 @@ def write_messages(
 
     ``kafka`` needs the ``spark-sql-kafka`` package; each task is a producer and
     failed sends are retried with the task.  ``text`` appends newline-delimited
-    files to ``path`` (the offline inbox that ``file_messages`` reads).
+    files to ``path`` (the offline inbox that ``file_messages`` reads), written as ``TEXT_FILES`` says
+    unless ``options`` say otherwise.
     """
     if fmt == "kafka":
         (
@@ -29,6 +36,7 @@ def write_messages(
             .save()
         )
     elif fmt == "text":
-        encoded.select("value").write.mode("append").text(path)
+        with lean_shuffles(encoded.sparkSession):
+            encoded.select("value").write.mode("append").options(**(TEXT_FILES | (options or {}))).text(path)
     else:
         raise ValueError(f"unsupported message sink format: {fmt}")

@@ -13,6 +13,7 @@ without a scan of silver.  Kept from the first merge on.
 it that the key table and the partials have its rows too.  An append found under way is completed
 first: the rows of it that silver shows are what it wrote, whole or in part, and their keys and partials are written
 (again).  A batch that is played again adds what its earlier attempts did not.
+The rows of an append are made once, in a hidden folder of Parquet files that goes when the append is done.
 One writer at a time, as for any checkpoint.
 """
 
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 
 from estatelake.operators.marts import add_partials, marts_partial
 from estatelake.schemas import SILVER, ddl
-from estatelake.session import list_names, make_folder, read_text, replace_text, shared_root
+from estatelake.session import delete, list_names, make_folder, read_text, replace_text
 from estatelake.sinks import versions
 from estatelake.sinks.compaction import compact, silver_rows
 
@@ -36,6 +37,7 @@ KEY_HASH = ["key_hash_1", "key_hash_2"]
 APPEND_ID = "append_id"
 STORED = ", ".join([ddl(SILVER), *[f"{k} long" for k in KEY_HASH], f"{APPEND_ID} string"])  # silver's files with what readers skip
 MOST_BUCKETS = 4096  # a key table of 10^11 keys has 400 MB a bucket then
+STAGED = "_appends"  # the folder beside silver's districts for the rows of an append under way
 PARTIAL_FOLDERS = 32  # appends whose partials are kept apart; more are added up at the next merge
 
 
@@ -186,11 +188,17 @@ class AppendLog:
     def append(self, rows: DataFrame, write, batch: str | None = None, attempts: Sequence[str] = ()) -> None:
         """Append ``rows`` (silver columns and key hashes) by ``write``, and tell the side tables."""
         attempt = uuid.uuid4().hex
-        rows = rows.withColumn(APPEND_ID, F.lit(attempt))
-        if self.keeps():  # silver, keys and partials must have the same rows, also if an executor is lost in between
-            shared_root(self.spark)
-            rows = rows.checkpoint()
+        self._drop_staged()
+        staged = f"{self.path}/{STAGED}/{attempt}"
+        rows.withColumn(APPEND_ID, F.lit(attempt)).write.option("compression", "zstd").parquet(staged)
+        # Silver, keys and partials must have the same rows, also if an executor is lost in between.
+        rows = self.spark.read.schema(STORED).parquet(staged)
         self._note(batch, [*attempts, attempt], False)
         write(rows)
         self._tell(attempt, rows)
         self._note(batch, [*attempts, attempt], True)
+        self._drop_staged()
+
+    def _drop_staged(self) -> None:
+        """Delete the staged rows of this append, and of those that were lost."""
+        delete(self.spark, f"{self.path}/{STAGED}")

@@ -29,7 +29,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from estatelake.operators.refine import deduplicate, derive, drop_incomplete, key_hash, normalize_types
 from estatelake.schemas import BRONZE, CRITICAL, DEDUP_KEY, ddl
-from estatelake.session import delete, fine_splits, list_names, make_folder, read_text, replace_text
+from estatelake.session import delete, fine_splits, lean_shuffles, list_names, make_folder, read_text, replace_text
 from estatelake.sinks.parquet import append_partitioned
 from estatelake.sources.files import read_bronze
 from estatelake.streaming.append_log import KEY_HASH, AppendLog, columns_of_silver
@@ -160,7 +160,7 @@ def _bronze_stream(spark: SparkSession, bronze_path: str, max_files_per_trigger:
 
 def run_incremental_silver(spark: SparkSession, *args, **kwargs) -> StreamingQuery:
     """``start_incremental_silver`` to its end, with bronze in splits that a task can sort."""
-    with fine_splits(spark):
+    with fine_splits(spark), lean_shuffles(spark):
         query = start_incremental_silver(spark, *args, **kwargs)
         query.awaitTermination()
     return query
@@ -231,7 +231,7 @@ def start_state_silver(
 
 def run_state_silver(spark: SparkSession, bronze_path: str, silver_path: str, checkpoint: str, **kwargs) -> StreamingQuery:
     """``start_state_silver`` to its end; what was thinned is taken then, and deleted."""
-    with fine_splits(spark):
+    with fine_splits(spark), lean_shuffles(spark):
         query = start_state_silver(spark, bronze_path, silver_path, checkpoint, **kwargs)
         query.awaitTermination()
     for name in list_names(spark, f"{checkpoint}/thinned"):
@@ -259,5 +259,6 @@ def refine_batch(
     claim(spark, silver_path, mode)
     counts: dict[str, int] = {} if report is None else report
     before = counts.get("silver_appended", 0)
-    append_new(read_bronze(spark, bronze_path), silver_path, order_by, counts, against_silver=mode == "new_only")
+    with lean_shuffles(spark):
+        append_new(read_bronze(spark, bronze_path), silver_path, order_by, counts, against_silver=mode == "new_only")
     return counts["silver_appended"] - before

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from estatelake.operators.messages import parse
+from estatelake.session import fine_splits
 
 
 def start_bronze(
@@ -40,6 +41,7 @@ def start_bronze(
 
 def run_bronze(messages: DataFrame, bronze_path: str, checkpoint: str, **kwargs) -> StreamingQuery:
     """Drain the backlog into bronze and wait for the end of the run."""
-    query = start_bronze(messages, bronze_path, checkpoint, available_now=True, **kwargs)
-    query.awaitTermination()
+    with fine_splits(messages.sparkSession):  # packed text: few bytes a message
+        query = start_bronze(messages, bronze_path, checkpoint, available_now=True, **kwargs)
+        query.awaitTermination()
     return query
