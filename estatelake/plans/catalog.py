@@ -322,7 +322,7 @@ def q_gold_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     layout = Layout(scratch_path(spark, "end_to_end"))
     inbox = f"{layout.root}/inbox"
-    messages.encode(listings(spark, sf_dir)).write.mode("append").text(inbox)
+    write_messages(messages.encode(listings(spark, sf_dir)), "text", inbox)
     run_pipeline(spark, file_messages(spark, inbox), layout, silver_mode="stream")
     return read_mart(spark, layout.gold, "mart_avg_price_by_district")
 
