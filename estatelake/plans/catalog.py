@@ -22,8 +22,8 @@ from estatelake.plans import sqlapi
 from estatelake.plans.feed import publish_from_csv
 from estatelake.plans.pipeline import Layout, run_pipeline, run_silver
 from estatelake.schemas import DEDUP_KEY
-from estatelake.session import scratch_path
-from estatelake.sinks.messages import write_messages
+from estatelake.session import lean_shuffles, scratch_path
+from estatelake.sinks.messages import TEXT_FILES, write_messages
 from estatelake.sinks.parquet import MartStore, append_partitioned
 from estatelake.sources.files import read_bronze, read_csv, read_mart, read_silver
 from estatelake.sources.listings import COPY_EVERY, as_bronze, bronze_listings, listings, read_table
@@ -198,7 +198,8 @@ def q_feed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The feed step over a listing CSV, with all rows sent."""
     root = scratch_path(spark, "feed")
     sent = listings(spark, sf_dir)
-    sent.write.options(header="true", escape='"').csv(f"{root}/csv")
+    with lean_shuffles(spark):
+        sent.write.options(header="true", escape='"', **TEXT_FILES).csv(f"{root}/csv")
     publish_from_csv(spark, f"{root}/csv", fraction=1.0, fmt="text", path=f"{root}/inbox")
     received = spark.read.text(f"{root}/inbox")
     return messages.parse(received, time_col=None).select(*LISTING_COLUMNS)

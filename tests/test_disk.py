@@ -73,6 +73,14 @@ def test_a_query_keeps_its_steps_and_nothing_else(spark, scratch, monkeypatch, n
     assert at_most(spark, held, marts)
 
 
+def test_csv_and_inbox_of_the_feed_are_packed(spark, scratch, monkeypatch):
+    made = scratch_of(monkeypatch, scratch)
+    assert catalog.q_feed_messages(spark, tables(spark, scratch)).count() > 0
+    for part in ("csv", "inbox"):
+        held = files(spark, f"{made[0]}/{part}")
+        assert held and all(f.endswith(".gz") for f in held)
+
+
 @pytest.mark.parametrize("against_silver", [True, False])
 def test_rows_of_a_lost_append_go_with_the_next(spark, scratch, monkeypatch, against_silver):
     path = scratch("lost_rows")
