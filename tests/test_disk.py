@@ -60,7 +60,7 @@ def test_messages_are_packed_in_bounded_files(spark, scratch):
     assert int(sink.TEXT_FILES["maxRecordsPerFile"]) <= 1_000_000
 
 
-@pytest.mark.parametrize("name", ["gold_merged", "gold_end_to_end"])
+@pytest.mark.parametrize("name", ["gold_merged", "gold_end_to_end", "silver_incremental"])
 def test_a_query_keeps_its_steps_and_nothing_else(spark, scratch, monkeypatch, name):
     made, kept, held = scratch_of(monkeypatch, scratch), checkpoints(spark), shuffles(spark)
     assert catalog.QUERIES[name](spark, tables(spark, scratch)).collect()
