@@ -29,7 +29,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from estatelake.operators.refine import deduplicate, derive, drop_incomplete, key_hash, normalize_types
 from estatelake.schemas import BRONZE, CRITICAL, DEDUP_KEY, ddl
-from estatelake.session import delete, fine_splits, lean_shuffles, list_names, make_folder, read_text, replace_text
+from estatelake.session import changed_conf, delete, fine_splits, lean_shuffles, list_names, make_folder, read_text, replace_text
 from estatelake.sinks.parquet import append_partitioned
 from estatelake.sources.files import read_bronze
 from estatelake.streaming.append_log import KEY_HASH, AppendLog, columns_of_silver
@@ -166,6 +166,16 @@ def run_incremental_silver(spark: SparkSession, *args, **kwargs) -> StreamingQue
     return query
 
 
+def state_store(spark: SparkSession) -> dict[str, str]:
+    """RocksDB for the seen keys, unless the session names a state store: the default one holds all keys in the heap.
+
+    A checkpoint keeps the store that it was begun with.
+    """
+    name = "spark.sql.streaming.stateStore.providerClass"
+    rocks = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    return {} if spark.conf.get(name, None) else {name: rocks}
+
+
 def thin(batch: DataFrame) -> DataFrame:
     """Bronze rows that can reach silver, the smallest one of each key, with the key hash.
 
@@ -192,7 +202,7 @@ def start_state_silver(
     against its own keys only, and a hot key reaches its state partition as one row per micro-batch of
     bronze.  Rows that can never reach silver (NULL/NaN price or area) are dropped before the state,
     which keeps the same key set as the batch order dedup → filter.  The survivor among
-    duplicates is arbitrary.  For large state use the RocksDB state store (``scale_conf`` sets it).
+    duplicates is arbitrary.  For large state use the RocksDB state store (``scale_conf`` and ``run_state_silver`` set it).
 
     A replayed micro-batch of the first query overwrites its own folder; one of the second adds what its earlier
     attempts did not.  Thinned rows go when the second query has taken them.  The number of state
@@ -207,7 +217,7 @@ def start_state_silver(
         seen = None
         if report is not None:
             batch, seen = _count(batch, "bronze_rows")
-        thin(batch).hint("rebalance").write.mode("overwrite").parquet(f"{thinned}/batch-{batch_id}")
+        thin(batch).write.mode("overwrite").parquet(f"{thinned}/batch-{batch_id}")
         if seen is not None:
             report["bronze_rows"] = report.get("bronze_rows", 0) + _observed(seen)
 
@@ -231,7 +241,7 @@ def start_state_silver(
 
 def run_state_silver(spark: SparkSession, bronze_path: str, silver_path: str, checkpoint: str, **kwargs) -> StreamingQuery:
     """``start_state_silver`` to its end; what was thinned is taken then, and deleted."""
-    with fine_splits(spark), lean_shuffles(spark):
+    with fine_splits(spark), lean_shuffles(spark), changed_conf(spark, state_store(spark)):
         query = start_state_silver(spark, bronze_path, silver_path, checkpoint, **kwargs)
         query.awaitTermination()
     for name in list_names(spark, f"{checkpoint}/thinned"):

@@ -60,7 +60,7 @@ def test_messages_are_packed_in_bounded_files(spark, scratch):
     assert int(sink.TEXT_FILES["maxRecordsPerFile"]) <= 1_000_000
 
 
-@pytest.mark.parametrize("name", ["gold_merged", "gold_end_to_end", "silver_incremental"])
+@pytest.mark.parametrize("name", ["gold_merged", "gold_end_to_end", "silver_incremental", "silver_incremental_state"])
 def test_a_query_keeps_its_steps_and_nothing_else(spark, scratch, monkeypatch, name):
     made, kept, held = scratch_of(monkeypatch, scratch), checkpoints(spark), shuffles(spark)
     assert catalog.QUERIES[name](spark, tables(spark, scratch)).collect()
@@ -97,3 +97,21 @@ def test_rows_of_a_lost_append_go_with_the_next(spark, scratch, monkeypatch, aga
     incremental.append_new(bronze(spark, [(1.0, "A", day(1)), (2.0, None, "")]), path, against_silver=against_silver, name="q-0")
     assert prices(spark, path) == [1.0, 2.0] and read_silver(spark, path).where("district IS NULL").count() == 1
     assert not exists(spark, f"{path}/_appends")
+
+
+def test_seen_keys_lie_in_rocksdb_unless_the_session_says_otherwise(spark, scratch):
+    at, name = scratch("store"), "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name, None)
+    try:
+        for kind, own in (("rocks", None), ("heap", "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider")):
+            spark.conf.unset(name) if own is None else spark.conf.set(name, own)
+            root = f"{at}/{kind}"
+            for run in range(2):
+                bronze(spark, [(float(i), f"d{i % 3}", day(i)) for i in range(10 * run, 10 * run + 15)]).write.mode("append").parquet(f"{root}/bronze")
+                incremental.run_state_silver(spark, f"{root}/bronze", f"{root}/silver", f"{root}/ck")
+                assert spark.conf.get(name, None) == own
+            assert prices(spark, f"{root}/silver") == [float(i) for i in range(25)]
+            kinds = {f.rsplit(".", 1)[1] for f in files(spark, f"{root}/ck/state/state/0") if "." in os.path.basename(f)}
+            assert ("zip" in kinds) == (own is None) and ("delta" in kinds) == (own is not None)
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
