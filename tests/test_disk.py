@@ -54,7 +54,7 @@ def test_messages_are_packed_in_bounded_files(spark, scratch):
     sent = spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1)
     sink.write_messages(sent, "text", path, options={"maxRecordsPerFile": "600"})
     held = files(spark, path)
-    assert len(held) == 4 and all(f.endswith(".gz") for f in held)
+    assert len(held) == 4 and all(f.endswith(".lz4") for f in held)
     assert sum(os.path.getsize(f) for f in held) < sum(map(len, lines)) / 3
     assert sorted(r["value"] for r in spark.read.text(path).collect()) == sorted(lines)
     assert int(sink.TEXT_FILES["maxRecordsPerFile"]) <= 1_000_000
@@ -66,7 +66,7 @@ def test_a_query_keeps_its_steps_and_nothing_else(spark, scratch, monkeypatch, n
     assert catalog.QUERIES[name](spark, tables(spark, scratch)).collect()
     assert checkpoints(spark) == kept
     inbox = files(spark, f"{made[0]}/inbox")
-    assert inbox and all(f.endswith(".gz") for f in inbox)
+    assert inbox and all(f.endswith(".lz4") for f in inbox)
     places = list_names(spark, f"{made[0]}/silver") + list_names(spark, f"{made[0]}/silver/listings")
     assert any(n.startswith("district=") for n in places) and not "_appends" in places
     marts = 2 if name.startswith("gold") else 0  # a run's marts are held in memory, over a shuffle of one row per group
@@ -78,7 +78,7 @@ def test_csv_and_inbox_of_the_feed_are_packed(spark, scratch, monkeypatch):
     assert catalog.q_feed_messages(spark, tables(spark, scratch)).count() > 0
     for part in ("csv", "inbox"):
         held = files(spark, f"{made[0]}/{part}")
-        assert held and all(f.endswith(".gz") for f in held)
+        assert held and all(f.endswith(".lz4") for f in held)
 
 
 @pytest.mark.parametrize("against_silver", [True, False])
